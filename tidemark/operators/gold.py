@@ -2,12 +2,14 @@
 
 Plans (checked with ``explain``):
 
-* ``repo_daily_activity``/``dim_*``: one exact distinct count next to plain
-  counts. Catalyst splits it into two aggregations, first keyed by
-  (group keys, distinct column) and then by the group keys, each with a
-  map-side partial step. A repository with a third of all events therefore
-  spreads over its actors in the first shuffle, and only one row per
-  (repository, day, actor) reaches the second.
+* ``repo_daily_activity``/``dim_*``: an exact distinct count next to plain
+  counts and a max name. Counts go through two hash aggregates, first keyed
+  by (group keys, member) and then by the group keys, each with a map-side
+  partial step: a repository with a third of all events spreads over its
+  actors in the first shuffle, and only one row per (repository, day,
+  actor) reaches the second. The max name comes from distinct
+  (keys, name) rows and is joined back on keys that both sides are already
+  hash-partitioned by, so no raw event goes through a sort-based aggregate.
 * ``repo_momentum``: the ``lag`` window runs after the daily rollup, one row
   per (repository, day), so its shuffle by ``repo_id`` moves aggregated rows only.
 * ``fact_events``: surrogate keys are computed from the ids, so building
@@ -23,30 +25,70 @@ from tidemark.functions.columns import ACTIVITY_COLUMNS, momentum_score, surroga
 from tidemark.schemas import FACT_COLUMNS
 
 
-def _name(column: str, rule: str) -> Column:
-    """The name label of a group.
+def _names(stg: DataFrame, keys: list[str], column: str, rule: str) -> DataFrame:
+    """The name label of each group, one row per key.
 
     ``max`` (default) is the lexicographic maximum, which is what the studied
     pipeline reports as the "latest-seen" name; ``latest`` is the name on
     the group's most recent event.
+
+    A string buffer forces a sort-based aggregate, so ``max`` first reduces
+    the rows to one per (keys, name) with a hash aggregate (the name is a key,
+    the only buffer a count) and takes the maximum over that short list; the
+    sort then runs on a handful of rows per group instead of every event.
+    The maximum reads the count (always positive) so that the optimizer,
+    which would otherwise fold a duplicate-agnostic ``max`` over a distinct
+    back into one sort-based aggregate of the raw rows, keeps both steps.
     """
     if rule == "max":
-        return F.max(column)
+        per_name = stg.groupBy(*keys, column).agg(F.count("*").alias("__n"))
+        return per_name.groupBy(*keys).agg(
+            F.max(F.when(F.col("__n") > 0, F.col(column))).alias(column))
     if rule == "latest":
-        return F.max_by(column, F.col("created_at_utc"))
+        return stg.groupBy(*keys).agg(F.max_by(column, F.col("created_at_utc")).alias(column))
     raise ValueError(f"unknown name rule {rule!r}")
 
 
+def _with_names(counts: DataFrame, names: DataFrame, keys: list[str]) -> DataFrame:
+    """Attach the name to its group.
+
+    A plain equi-join on the group keys, which are never null in the silver
+    table (its contract rejects null ids and times). Both sides come out of
+    aggregations hash-partitioned on exactly these keys, so the join adds no
+    exchange; a null-safe condition would rewrite the keys and force one.
+    """
+    return counts.join(names, keys)
+
+
+def _per_member(stg: DataFrame, keys: list[str], member: str, *aggs: Column) -> DataFrame:
+    """First step of an exact distinct count: one row per (keys, member).
+
+    All buffers are fixed-width, so this is a hash aggregate with a map-side
+    partial step; a group holding a large share of the rows spreads over its
+    members, and a single hot member collapses inside each map task.
+    """
+    return stg.groupBy(*keys, member).agg(*aggs)
+
+
 def repo_daily_activity(stg: DataFrame, name_rule: str = "max") -> DataFrame:
     """A1: per (repo, UTC day) event counts, distinct actors, six type counts."""
-    return stg.groupBy("repo_id", "event_date").agg(
-        _name("repo_name", name_rule).alias("repo_name"),
-        F.count("*").alias("total_events"),
-        F.count_distinct("actor_id").alias("active_actors"),
+    keys = ["repo_id", "event_date"]
+    kinds = [c for c, _ in ACTIVITY_COLUMNS]
+    per_actor = _per_member(
+        stg, keys, "actor_id",
+        F.count("*").alias("n"),
         *[F.count_if(F.col("event_type") == F.lit(t)).alias(c) for c, t in ACTIVITY_COLUMNS],
-    ).select(
-        "repo_id", "repo_name", "event_date", "total_events", "active_actors",
-        *[c for c, _ in ACTIVITY_COLUMNS],
+    )
+    counts = per_actor.groupBy(*keys).agg(
+        F.sum("n").alias("total_events"),
+        F.count("actor_id").alias("active_actors"),
+        *[F.sum(c).alias(c) for c in kinds],
+    )
+    return _with_names(counts, _names(stg, keys, "repo_name", name_rule), keys).select(
+        "repo_id", "repo_name", "event_date",
+        F.col("total_events").cast("bigint").alias("total_events"),
+        "active_actors",
+        *[F.col(c).cast("bigint").alias(c) for c in kinds],
     )
 
 
@@ -68,15 +110,26 @@ def repo_momentum(daily: DataFrame) -> DataFrame:
     )
 
 
+def _dimension(stg: DataFrame, key: str, name: str, member: str, members_as: str,
+               name_rule: str) -> DataFrame:
+    per_member = _per_member(
+        stg, [key], member,
+        F.count("*").alias("n"),
+        F.min("created_at_utc").alias("lo"),
+        F.max("created_at_utc").alias("hi"),
+    )
+    counts = per_member.groupBy(key).agg(
+        F.min("lo").alias("first_seen_at"),
+        F.max("hi").alias("last_seen_at"),
+        F.sum("n").cast("bigint").alias("total_events"),
+        F.count(member).alias(members_as),
+    )
+    return _with_names(counts, _names(stg, [key], name, name_rule), [key])
+
+
 def dim_repo(stg: DataFrame, name_rule: str = "max") -> DataFrame:
     """A2: one row per repository."""
-    return stg.groupBy("repo_id").agg(
-        _name("repo_name", name_rule).alias("repo_name"),
-        F.min("created_at_utc").alias("first_seen_at"),
-        F.max("created_at_utc").alias("last_seen_at"),
-        F.count("*").alias("total_events"),
-        F.count_distinct("actor_id").alias("distinct_actors"),
-    ).select(
+    return _dimension(stg, "repo_id", "repo_name", "actor_id", "distinct_actors", name_rule).select(
         surrogate_key("repo_id").alias("repo_sk"), "repo_id", "repo_name",
         "first_seen_at", "last_seen_at", "total_events", "distinct_actors",
     )
@@ -84,13 +137,7 @@ def dim_repo(stg: DataFrame, name_rule: str = "max") -> DataFrame:
 
 def dim_actor(stg: DataFrame, name_rule: str = "max") -> DataFrame:
     """A3: one row per actor."""
-    return stg.groupBy("actor_id").agg(
-        _name("actor_login", name_rule).alias("actor_login"),
-        F.min("created_at_utc").alias("first_seen_at"),
-        F.max("created_at_utc").alias("last_seen_at"),
-        F.count("*").alias("total_events"),
-        F.count_distinct("repo_id").alias("distinct_repos"),
-    ).select(
+    return _dimension(stg, "actor_id", "actor_login", "repo_id", "distinct_repos", name_rule).select(
         surrogate_key("actor_id").alias("actor_sk"), "actor_id", "actor_login",
         "first_seen_at", "last_seen_at", "total_events", "distinct_repos",
     )
