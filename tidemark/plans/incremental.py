@@ -64,17 +64,28 @@ def _or_empty(df: DataFrame | None, like: DataFrame, columns: list[str]) -> Data
 
 def refresh(store: TableStore, batch: DataFrame, batch_id: str, name_rule: str = "max") -> bool:
     """Apply one batch of landed rows. Returns False for a replayed batch."""
-    if store.processed(batch_id):
+    current, done = store.snapshot()
+    if batch_id in done:
         return False
     spark = batch.sparkSession
-    batch = batch.select(*BRONZE_COLUMNS)
-    current = store.current()
+    # The batch feeds the merge and the key set of every upsert; keep it
+    # instead of re-deriving it for each (lost blocks recompute from lineage).
+    batch = batch.select(*BRONZE_COLUMNS).persist()
+    try:
+        return _apply(store, batch, batch_id, current, name_rule)
+    finally:
+        batch.unpersist()
+
+
+def _apply(store: TableStore, batch: DataFrame, batch_id: str,
+           current: dict[str, tuple[int, str]], name_rule: str) -> bool:
+    spark = batch.sparkSession
 
     def read(name):
         return spark.read.parquet(current[name][1]) if name in current else None
 
     staged = {}
-    staged["bronze"] = store.stage("bronze", merge_bronze(read("bronze"), batch))
+    staged["bronze"] = store.stage("bronze", merge_bronze(read("bronze"), batch), current=current)
     bronze = spark.read.parquet(staged["bronze"][1])
 
     keys = batch.where(F.col("event_id").isNotNull()).select("event_id").distinct()
@@ -89,16 +100,18 @@ def refresh(store: TableStore, batch: DataFrame, batch_id: str, name_rule: str =
     fact_new_rows = gold.fact_events(clean)
     fact_old = _or_empty(read("fact"), fact_new_rows, FACT_COLUMNS)
 
-    staged["stg"] = store.stage("stg", upsert(stg_old, clean, delete_keys=keys), "event_date")
-    staged["quarantine"] = store.stage("quarantine", upsert(q_old, rejected, delete_keys=keys))
+    staged["stg"] = store.stage("stg", upsert(stg_old, clean, delete_keys=keys), "event_date",
+                                current)
+    staged["quarantine"] = store.stage("quarantine", upsert(q_old, rejected, delete_keys=keys),
+                                       None, current)
     staged["fact"] = store.stage("fact", upsert(fact_old, fact_new_rows, delete_keys=keys),
-                                 "event_date")
+                                 "event_date", current)
 
     stg = spark.read.parquet(staged["stg"][1])
     daily = gold.repo_daily_activity(stg, name_rule)
-    staged["momentum"] = store.stage("momentum", gold.repo_momentum(daily))
-    staged["dim_repo"] = store.stage("dim_repo", gold.dim_repo(stg, name_rule))
-    staged["dim_actor"] = store.stage("dim_actor", gold.dim_actor(stg, name_rule))
+    staged["momentum"] = store.stage("momentum", gold.repo_momentum(daily), None, current)
+    staged["dim_repo"] = store.stage("dim_repo", gold.dim_repo(stg, name_rule), None, current)
+    staged["dim_actor"] = store.stage("dim_actor", gold.dim_actor(stg, name_rule), None, current)
     store.commit(staged, batch_id)
     return True
 

@@ -64,7 +64,16 @@ PARTITION_BY = {
 
 def write_model(df: DataFrame, path: str, mode: str = "overwrite",
                 partition_by: str | None = None) -> None:
-    """Materialise a model as Parquet."""
+    """Materialise a model as Parquet.
+
+    A partitioned write is preceded by a ``rebalance`` on the partition
+    column: AQE hashes rows by partition value and splits any value larger
+    than the advisory size, so each day becomes a few right-sized files
+    instead of one file per (task, day), and a huge day is still written by
+    many tasks.
+    """
+    if partition_by:
+        df = df.hint("rebalance", partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(partition_by)
@@ -76,6 +85,11 @@ def materialize(spark: SparkSession, bronze: DataFrame, root: str,
     """Write bronze, silver and gold under ``root`` in DAG order; return the
     models re-read from their files."""
     write_model(bronze, f"{root}/bronze")
+    return materialize_from_bronze(spark, root, name_rule)
+
+
+def materialize_from_bronze(spark: SparkSession, root: str, name_rule: str = "max") -> Models:
+    """Silver and gold from the bronze table already written under ``root``."""
     b = spark.read.parquet(f"{root}/bronze")
     stg_path, q_path = f"{root}/stg", f"{root}/quarantine"
     write_model(silver.stg_events(b), stg_path, partition_by=PARTITION_BY["stg"])
@@ -91,5 +105,11 @@ def materialize(spark: SparkSession, bronze: DataFrame, root: str,
     }
     for name, df in out.items():
         write_model(df, f"{root}/{name}", partition_by=PARTITION_BY[name])
-    read = {name: spark.read.parquet(f"{root}/{name}") for name in out}
-    return Models(bronze=b, stg=stg, quarantine=quarantine, daily=daily, **read)
+    return read_models(spark, root, name_rule)
+
+
+def read_models(spark: SparkSession, root: str, name_rule: str = "max") -> Models:
+    """The models of a materialized build, read from their files."""
+    read = {n: spark.read.parquet(f"{root}/{n}")
+            for n in ("bronze", "stg", "quarantine", "momentum", "dim_repo", "dim_actor", "fact")}
+    return Models(daily=gold.repo_daily_activity(read["stg"], name_rule), **read)

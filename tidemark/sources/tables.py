@@ -51,18 +51,35 @@ class TableStore:
         log = self._log()
         return log is not None and not log.where(F.col("batch_id") == batch_id).isEmpty()
 
+    def snapshot(self) -> tuple[dict[str, tuple[int, str]], set[str]]:
+        """Current versions and processed batch ids, from one read of the log."""
+        log = self._log()
+        if log is None:
+            return {}, set()
+        rows = log.select("table", "version", "path", "batch_id").collect()
+        current: dict[str, tuple[int, str]] = {}
+        for r in rows:
+            if r["table"] not in current or r["version"] > current[r["table"]][0]:
+                current[r["table"]] = (int(r["version"]), r["path"])
+        return current, {r["batch_id"] for r in rows}
+
     def read(self, table: str) -> DataFrame | None:
         entry = self.current().get(table)
         return None if entry is None else self.spark.read.parquet(entry[1])
 
-    def stage(self, table: str, df: DataFrame, partition_by: str | None = None) -> tuple[int, str]:
-        """Write ``df`` as the next version of ``table`` (not yet visible)."""
-        version = self.current().get(table, (0, ""))[0] + 1
+    def stage(self, table: str, df: DataFrame, partition_by: str | None = None,
+              current: dict[str, tuple[int, str]] | None = None) -> tuple[int, str]:
+        """Write ``df`` as the next version of ``table`` (not yet visible).
+
+        ``current`` is a snapshot from ``current()``, to save re-reading the
+        log when several tables are staged for one commit.
+        """
+        snapshot = self.current() if current is None else current
+        version = snapshot.get(table, (0, ""))[0] + 1
         path = f"{self.root}/{table}/v{version:08d}-{uuid.uuid4().hex[:12]}"
-        w = df.write.mode("errorifexists")
-        if partition_by:
-            w = w.partitionBy(partition_by)
-        w.parquet(path)
+        from tidemark.plans.medallion import write_model
+
+        write_model(df, path, mode="errorifexists", partition_by=partition_by)
         return version, path
 
     def commit(self, staged: dict[str, tuple[int, str]], batch_id: str) -> None:
@@ -74,6 +91,8 @@ class TableStore:
 
     def write(self, tables: dict[str, DataFrame], batch_id: str,
               partition_by: dict[str, str | None] | None = None) -> dict[str, tuple[int, str]]:
-        staged = {n: self.stage(n, df, (partition_by or {}).get(n)) for n, df in tables.items()}
+        snapshot = self.current()
+        staged = {n: self.stage(n, df, (partition_by or {}).get(n), snapshot)
+                  for n, df in tables.items()}
         self.commit(staged, batch_id)
         return staged
