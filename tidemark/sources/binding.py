@@ -34,7 +34,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def landing(events: DataFrame) -> DataFrame:
-    """Delivered rows, redeliveries included (bronze schema)."""
+    """Delivered rows, redeliveries included (bronze schema).
+
+    One scan of ``events``: a row that is redelivered is exploded into its
+    two deliveries (copy 0 and copy 1) instead of unioning a second scan.
+    """
     k = F.get_json_object("props", "$.k").cast("bigint")
     src = events.select(
         F.col("event_id").alias("eid"),
@@ -44,14 +48,25 @@ def landing(events: DataFrame) -> DataFrame:
         k.alias("k"),
     )
     eid, uid, et, ts, kk = F.col("eid"), F.col("uid"), F.col("et"), F.col("ts"), F.col("k")
-    rid = kk * 1000 + eid % (kk + 1)
-    keyed = src.withColumn("rid", rid)
-    rid = F.col("rid")
+    redelivered = (eid % 113 != 0) & (eid % 50 == 0)
+    keyed = src.select(
+        "*",
+        (kk * 1000 + eid % (kk + 1)).alias("rid"),
+        F.explode(F.when(redelivered, F.array(F.lit(0), F.lit(1)))
+                  .otherwise(F.array(F.lit(0)))).alias("copy"),
+    )
+    rid, copy = F.col("rid"), F.col("copy")
 
     def none():
         return F.lit(None)
 
-    base = keyed.select(
+    action = (
+        F.when(et.isin("purchase", "error"),
+               F.when(eid % 3 == 0, F.lit("closed")).otherwise(F.lit("opened")))
+        .when(et == "view", F.lit("started"))
+    )
+    loaded = (F.date_trunc("hour", ts) + F.expr("INTERVAL 1 HOUR")).cast("timestamp_ntz")
+    return keyed.select(
         F.when(eid % 113 == 0, none()).otherwise(eid.cast("string")).alias("event_id"),
         F.when(eid % 107 == 0, none())
         .when(et == "click", "PushEvent")
@@ -72,20 +87,11 @@ def landing(events: DataFrame) -> DataFrame:
             rid.cast("string"),
         ).alias("repo_name"),
         F.when(eid % 109 == 0, none()).otherwise(ts).cast("timestamp_ntz").alias("created_at"),
-        F.when(et.isin("purchase", "error"),
-               F.when(eid % 3 == 0, F.lit("closed")).otherwise(F.lit("opened")))
-        .when(et == "view", F.lit("started")).alias("payload_action"),
+        F.when(copy == 1, F.lit("redelivered")).otherwise(action).alias("payload_action"),
         F.concat(F.to_date(ts).cast("string"), F.lit("-"), F.hour(ts).cast("string"),
                  F.lit(".json.gz")).alias("_source_file"),
-        (F.date_trunc("hour", ts) + F.expr("INTERVAL 1 HOUR"))
-        .cast("timestamp_ntz").alias("_loaded_at"),
+        F.when(copy == 1, loaded + F.expr("INTERVAL 1 DAY")).otherwise(loaded).alias("_loaded_at"),
     )
-    redelivered = base.where(F.col("event_id").cast("bigint") % 50 == 0).select(
-        *[c for c in BRONZE_COLUMNS if c not in ("payload_action", "_loaded_at")],
-        F.lit("redelivered").alias("payload_action"),
-        (F.col("_loaded_at") + F.expr("INTERVAL 1 DAY")).alias("_loaded_at"),
-    ).select(*BRONZE_COLUMNS)
-    return base.unionByName(redelivered)
 
 
 def bronze(events: DataFrame) -> DataFrame:
