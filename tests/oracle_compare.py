@@ -24,13 +24,16 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+EXACT = False
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return float(f"{v:.9g}")
+        return v if EXACT else float(f"{v:.9g}")
     if isinstance(v, Decimal):
         return float(f"{float(v):.9g}")
     if isinstance(v, (dt.datetime, dt.date)):
@@ -81,8 +84,11 @@ def main(argv):
     from tidemark.session import local_session
     import __spark_entry__ as E
 
-    sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
-    names = argv[2:]
+    global EXACT
+    args = [a for a in argv[1:] if a != "--exact"]
+    EXACT = "--exact" in argv
+    sf_dir = args[0] if args else "/root/testdata/sf0.01"
+    names = args[1:]
     spark = local_session(8)
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
