@@ -103,3 +103,30 @@ def test_batch_splits_equal_one_build(spark):
     stg_full = catalog.models(spark, SF_SMALL).stg
     assert read_model(store, "stg").count() == stg_full.count()
     assert read_model(store, "momentum").count() == catalog.models(spark, SF_SMALL).momentum.count()
+
+
+def test_refresh_rewrites_only_touched_days(spark):
+    store = _store(spark, "t-days")
+    first = [event(str(i), created=f"2024-01-{d:02d} 05:00:00", source=f"2024-01-{d:02d}-5.json.gz")
+             for i, d in enumerate([10, 11, 12], start=1)]
+    refresh(store, bronze_rows(spark, first), "b1")
+    before = store.current()["stg"].parts
+    refresh(store, bronze_rows(spark, [event("2", action="again", created="2024-01-11 05:00:00",
+                                             source="2024-01-11-5.json.gz",
+                                             loaded="2024-01-16 06:00:00")]), "b2")
+    after = store.current()["stg"].parts
+    assert after["2024-01-10"] == before["2024-01-10"]
+    assert after["2024-01-12"] == before["2024-01-12"]
+    assert after["2024-01-11"] != before["2024-01-11"]
+    assert read_model(store, "stg").where("event_id = '2'").first()["payload_action"] == "again"
+
+
+def test_row_that_changes_day_leaves_its_old_day(spark):
+    store = _store(spark, "t-move")
+    refresh(store, bronze_rows(spark, [event("1", created="2024-01-10 05:00:00")]), "b1")
+    refresh(store, bronze_rows(spark, [event("1", created="2024-01-14 05:00:00",
+                                             loaded="2024-01-20 00:00:00")]), "b2")
+    stg = read_model(store, "stg").collect()
+    assert [(r["event_id"], str(r["event_date"])) for r in stg] == [("1", "2024-01-14")]
+    assert read_model(store, "bronze").count() == 1
+    assert read_model(store, "fact").count() == 1

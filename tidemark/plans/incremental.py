@@ -17,6 +17,10 @@ Per batch:
 3. dimensions, daily activity and momentum are rebuilt from the new silver
    table (they are full-refresh models);
 4. all versions become visible in one commit.
+
+Event-grain tables are day-partitioned in the store and upserted day by
+day: a batch rewrites the days it lands in and the days that held its keys,
+nothing else.
 """
 
 from __future__ import annotations
@@ -30,10 +34,7 @@ from tidemark.functions.columns import EPOCH_FLOOR
 from tidemark.operators import gold, silver
 from tidemark.operators.merge import merge_bronze, upsert
 from tidemark.schemas import BRONZE_COLUMNS, FACT_COLUMNS, QUARANTINE_COLUMNS, STG_COLUMNS
-from tidemark.sources.tables import TableStore
-
-PARTITION_BY = {"stg": "event_date", "fact": "event_date"}
-
+from tidemark.sources.tables import Entry, TableStore, day_values
 
 def watermark(target: DataFrame | None) -> Column:
     """``coalesce(max(_loaded_at), 1900-01-01)`` of the target, as a scalar."""
@@ -56,10 +57,48 @@ def new_rows(source: DataFrame, target: DataFrame | None, eager: bool = True) ->
     return source.where(F.col("_loaded_at") > wm)
 
 
-def _or_empty(df: DataFrame | None, like: DataFrame, columns: list[str]) -> DataFrame:
-    if df is not None:
-        return df.select(*columns)
-    return like.select(*columns).limit(0)
+# Day partition of each event-grain table (null days share one partition).
+DAY = {
+    "bronze": lambda: F.to_date("created_at"),
+    "stg": lambda: F.col("event_date"),
+    "quarantine": lambda: F.to_date("created_at_tz"),
+    "fact": lambda: F.col("event_date"),
+}
+
+
+def upsert_days(store: TableStore, current: dict[str, Entry], table: str,
+                new_rows: DataFrame, keys: DataFrame, combine) -> Entry:
+    """Stage ``table`` with ``new_rows`` upserted, rewriting only touched days.
+
+    Touched days are those of the new rows plus those where the target holds
+    one of ``keys`` (found by scanning only the key and day columns), so a
+    row whose day changed is removed from its old day as well.
+    ``combine(old)`` returns the new content of the touched days from their
+    old content (``None`` for a new table).
+    """
+    day = DAY[table]()
+    target = store.read(table, current)
+    if target is None:
+        entry = store.stage_parts(table, combine(None), day, set(), current)
+        entry.touched = None  # every day is new
+        return entry
+    hit = target.join(keys, "event_id", "left_semi")
+    touched = day_values(hit, day) | day_values(new_rows, day)
+    old = store.read(table, current, days=touched)
+    entry = store.stage_parts(table, combine(old), day, touched, current)
+    entry.touched = touched
+    return entry
+
+
+def merge_into_bronze(store: TableStore, current: dict[str, Entry], batch: DataFrame,
+                      keys: DataFrame) -> Entry:
+    """S5 at day granularity: the batch merged into bronze, staged."""
+    return upsert_days(store, current, "bronze", batch, keys,
+                       lambda old: merge_bronze(old, batch))
+
+
+def batch_keys(batch: DataFrame) -> DataFrame:
+    return batch.where(F.col("event_id").isNotNull()).select("event_id").distinct()
 
 
 def refresh(store: TableStore, batch: DataFrame, batch_id: str, name_rule: str = "max") -> bool:
@@ -67,53 +106,47 @@ def refresh(store: TableStore, batch: DataFrame, batch_id: str, name_rule: str =
     current, done = store.snapshot()
     if batch_id in done:
         return False
-    spark = batch.sparkSession
     # The batch feeds the merge and the key set of every upsert; keep it
     # instead of re-deriving it for each (lost blocks recompute from lineage).
     batch = batch.select(*BRONZE_COLUMNS).persist()
     try:
-        return _apply(store, batch, batch_id, current, name_rule)
+        _apply(store, batch, batch_id, current, name_rule)
     finally:
         batch.unpersist()
+    return True
 
 
 def _apply(store: TableStore, batch: DataFrame, batch_id: str,
-           current: dict[str, tuple[int, str]], name_rule: str) -> bool:
-    spark = batch.sparkSession
-
-    def read(name):
-        return spark.read.parquet(current[name][1]) if name in current else None
-
-    staged = {}
-    staged["bronze"] = store.stage("bronze", merge_bronze(read("bronze"), batch), current=current)
-    bronze = spark.read.parquet(staged["bronze"][1])
-
-    keys = batch.where(F.col("event_id").isNotNull()).select("event_id").distinct()
-    changed = bronze.join(keys, "event_id", "left_semi").unionByName(
+           current: dict[str, Entry], name_rule: str) -> None:
+    keys = batch_keys(batch)
+    staged: dict[str, Entry] = {}
+    staged["bronze"] = merge_into_bronze(store, current, batch, keys)
+
+    # Winning rows of this batch's keys (they sit in the days just staged),
+    # plus its null-key rows, typed and tagged once.
+    bronze_days = store.read("bronze", staged, days=staged["bronze"].touched)
+    changed = bronze_days.join(keys, "event_id", "left_semi").unionByName(
         batch.where(F.col("event_id").isNull()))
     tagged = silver.base_events(changed)
     clean = tagged.where(F.col("dq_reason").isNull()).select(*STG_COLUMNS)
     rejected = tagged.where(F.col("dq_reason").isNotNull()).select(*QUARANTINE_COLUMNS)
-
-    stg_old = _or_empty(read("stg"), clean, STG_COLUMNS)
-    q_old = _or_empty(read("quarantine"), rejected, QUARANTINE_COLUMNS)
-    fact_new_rows = gold.fact_events(clean)
-    fact_old = _or_empty(read("fact"), fact_new_rows, FACT_COLUMNS)
-
-    staged["stg"] = store.stage("stg", upsert(stg_old, clean, delete_keys=keys), "event_date",
-                                current)
-    staged["quarantine"] = store.stage("quarantine", upsert(q_old, rejected, delete_keys=keys),
-                                       None, current)
-    staged["fact"] = store.stage("fact", upsert(fact_old, fact_new_rows, delete_keys=keys),
-                                 "event_date", current)
-
-    stg = spark.read.parquet(staged["stg"][1])
+    fact_rows = gold.fact_events(clean)
+
+    # Keys leave both silver tables, so a repaired row leaves quarantine.
+    for table, rows, cols in (("stg", clean, STG_COLUMNS),
+                              ("quarantine", rejected, QUARANTINE_COLUMNS),
+                              ("fact", fact_rows, FACT_COLUMNS)):
+        staged[table] = upsert_days(
+            store, current, table, rows, keys,
+            lambda old, rows=rows, cols=cols: rows.select(*cols) if old is None
+            else upsert(old.select(*cols), rows, delete_keys=keys))
+
+    stg = store.read("stg", staged)
     daily = gold.repo_daily_activity(stg, name_rule)
     staged["momentum"] = store.stage("momentum", gold.repo_momentum(daily), None, current)
     staged["dim_repo"] = store.stage("dim_repo", gold.dim_repo(stg, name_rule), None, current)
     staged["dim_actor"] = store.stage("dim_actor", gold.dim_actor(stg, name_rule), None, current)
     store.commit(staged, batch_id)
-    return True
 
 
 def read_model(store: TableStore, name: str, columns: list[str] | None = None) -> DataFrame:

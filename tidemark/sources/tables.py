@@ -1,25 +1,49 @@
 """Versioned Parquet tables with an append-only commit log (S6, I2 storage).
 
 No table format is available, so an upsert never rewrites files it reads:
-``stage`` writes a complete new version of a table into a fresh, uniquely
-named folder, and ``commit`` then appends one small log file naming the
-staged versions and the batch id. Readers take the newest committed version
-of each table; a run that dies before its commit leaves only an orphan
-folder, invisible to readers, and a retry stages afresh. The log is also
-the processed-batch ledger that turns replays into no-ops.
-
-Layout: ``{root}/{table}/v{N}-{id}/...parquet`` and ``{root}/_commits/*.json``.
+``stage`` writes new data into a fresh, uniquely named folder, and
+``commit`` then appends one small log file naming what was staged and the
+batch id. Readers take the newest committed entry of each table; a run that
+dies before its commit leaves only an orphan folder, invisible to readers,
+and a retry stages afresh. The log doubles as the processed-batch ledger
+that turns replays into no-ops.
+
+Two kinds of table:
+
+* whole tables (rebuilt models): each version is one folder;
+* day-partitioned tables (event grain): each entry carries a manifest
+  ``day -> folder``. ``stage_parts`` writes only the days it is given and
+  keeps every other day's folder from the previous manifest, so an upsert
+  costs the batch plus the days it touches, not the whole table.
+
+Layout: ``{root}/{table}/v{N}-{id}/[__p={day}/]...parquet``,
+``{root}/_commits/*.json``.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-COMMIT_SCHEMA = "table string, version long, path string, batch_id string, committed_at timestamp_ntz"
+from pyspark.sql import types as T
+
+COMMIT_SCHEMA = T.StructType([
+    T.StructField("table", T.StringType()),
+    T.StructField("version", T.LongType()),
+    T.StructField("path", T.StringType()),
+    T.StructField("parts", T.ArrayType(T.StructType([
+        T.StructField("p", T.StringType()),
+        T.StructField("path", T.StringType()),
+    ]))),
+    T.StructField("schema", T.StringType()),
+    T.StructField("batch_id", T.StringType()),
+    T.StructField("committed_at", T.TimestampNTZType()),
+])
+PART_DIR = "__p"
+NULL_PART = "__null__"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -28,71 +52,137 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p))
 
 
+def _list_parts(spark: SparkSession, folder: str) -> dict[str, str]:
+    """``{day: path}`` of the ``__p=day`` sub-folders Spark wrote (a listing)."""
+    sc = spark.sparkContext
+    Path = sc._jvm.org.apache.hadoop.fs.Path
+    fs = Path(folder).getFileSystem(sc._jsc.hadoopConfiguration())
+    out = {}
+    for st in fs.listStatus(Path(folder)):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(PART_DIR + "="):
+            out[name.split("=", 1)[1]] = f"{folder}/{name}"
+    return out
+
+
+class Entry:
+    """A committed (or staged) state of one table."""
+
+    def __init__(self, version: int, path: str | None = None,
+                 parts: dict[str, str] | None = None, schema: str | None = None):
+        self.version = version
+        self.path = path
+        self.parts = parts
+        self.schema = schema
+        self.touched: set[str] | None = None  # days rewritten by a staged upsert
+
+    def row(self, table: str, batch_id: str, now: datetime) -> tuple:
+        parts = None if self.parts is None else [(p, q) for p, q in sorted(self.parts.items())]
+        return (table, self.version, self.path, parts, self.schema, batch_id, now)
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
+    # ------------------------------------------------------------ the log
     def _log(self) -> DataFrame | None:
         path = f"{self.root}/_commits"
         if not path_exists(self.spark, path):
             return None
         return self.spark.read.schema(COMMIT_SCHEMA).json(path)
 
-    def current(self) -> dict[str, tuple[int, str]]:
-        """Newest committed (version, path) per table: one small log read."""
-        log = self._log()
-        if log is None:
-            return {}
-        rows = log.groupBy("table").agg(F.max(F.struct("version", "path")).alias("v")).collect()
-        return {r["table"]: (int(r["v"]["version"]), r["v"]["path"]) for r in rows}
-
-    def processed(self, batch_id: str) -> bool:
-        log = self._log()
-        return log is not None and not log.where(F.col("batch_id") == batch_id).isEmpty()
+    def snapshot(self) -> tuple[dict[str, Entry], set[str]]:
+        """Current entry per table and processed batch ids, from one log read.
 
-    def snapshot(self) -> tuple[dict[str, tuple[int, str]], set[str]]:
-        """Current versions and processed batch ids, from one read of the log."""
+        The log holds one small row per table and commit; it is metadata,
+        not data, and is read on the driver.
+        """
         log = self._log()
         if log is None:
             return {}, set()
-        rows = log.select("table", "version", "path", "batch_id").collect()
-        current: dict[str, tuple[int, str]] = {}
-        for r in rows:
-            if r["table"] not in current or r["version"] > current[r["table"]][0]:
-                current[r["table"]] = (int(r["version"]), r["path"])
-        return current, {r["batch_id"] for r in rows}
+        current: dict[str, Entry] = {}
+        done: set[str] = set()
+        for r in log.collect():
+            done.add(r["batch_id"])
+            if r["table"] in current and current[r["table"]].version >= r["version"]:
+                continue
+            parts = None if r["parts"] is None else {x["p"]: x["path"] for x in r["parts"]}
+            current[r["table"]] = Entry(int(r["version"]), r["path"], parts, r["schema"])
+        return current, done
+
+    def current(self) -> dict[str, Entry]:
+        return self.snapshot()[0]
 
-    def read(self, table: str) -> DataFrame | None:
-        entry = self.current().get(table)
-        return None if entry is None else self.spark.read.parquet(entry[1])
+    def processed(self, batch_id: str) -> bool:
+        return batch_id in self.snapshot()[1]
+
+    # ---------------------------------------------------------- reading
+    def read(self, table: str, current: dict[str, Entry] | None = None,
+             days: set[str] | None = None) -> DataFrame | None:
+        """The table, or for a partitioned table only ``days`` of it."""
+        entry = (self.current() if current is None else current).get(table)
+        if entry is None:
+            return None
+        if entry.parts is None:
+            return self.spark.read.parquet(entry.path)
+        schema = T.StructType.fromJson(json.loads(entry.schema))
+        paths = [p for d, p in sorted(entry.parts.items()) if days is None or d in days]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    # ---------------------------------------------------------- writing
+    def _folder(self, table: str, version: int) -> str:
+        return f"{self.root}/{table}/v{version:08d}-{uuid.uuid4().hex[:12]}"
 
     def stage(self, table: str, df: DataFrame, partition_by: str | None = None,
-              current: dict[str, tuple[int, str]] | None = None) -> tuple[int, str]:
-        """Write ``df`` as the next version of ``table`` (not yet visible).
-
-        ``current`` is a snapshot from ``current()``, to save re-reading the
-        log when several tables are staged for one commit.
-        """
-        snapshot = self.current() if current is None else current
-        version = snapshot.get(table, (0, ""))[0] + 1
-        path = f"{self.root}/{table}/v{version:08d}-{uuid.uuid4().hex[:12]}"
+              current: dict[str, Entry] | None = None) -> Entry:
+        """Write ``df`` as the next whole version of ``table`` (not yet visible)."""
         from tidemark.plans.medallion import write_model
 
+        snapshot = self.current() if current is None else current
+        version = snapshot[table].version + 1 if table in snapshot else 1
+        path = self._folder(table, version)
         write_model(df, path, mode="errorifexists", partition_by=partition_by)
-        return version, path
+        return Entry(version, path=path)
 
-    def commit(self, staged: dict[str, tuple[int, str]], batch_id: str) -> None:
-        """Make staged versions visible, all at once, recording ``batch_id``."""
+    def stage_parts(self, table: str, df: DataFrame, day: Column, touched: set[str],
+                    current: dict[str, Entry]) -> Entry:
+        """Write the rows of the ``touched`` days; keep all other days.
+
+        ``df`` must hold the complete new content of every touched day. A
+        touched day left without rows disappears from the manifest.
+        """
+        from tidemark.plans.medallion import write_model
+
+        prev = current.get(table)
+        version = prev.version + 1 if prev else 1
+        folder = self._folder(table, version)
+        tagged = df.withColumn(PART_DIR, F.coalesce(day.cast("string"), F.lit(NULL_PART)))
+        write_model(tagged, folder, mode="errorifexists", partition_by=PART_DIR)
+        kept = {d: p for d, p in (prev.parts or {}).items() if d not in touched} if prev else {}
+        return Entry(version, parts={**kept, **_list_parts(self.spark, folder)},
+                     schema=df.schema.json())
+
+    def commit(self, staged: dict[str, Entry], batch_id: str) -> None:
+        """Make staged entries visible, all at once, recording ``batch_id``."""
         now = datetime.now(timezone.utc).replace(tzinfo=None)
-        entries = [(t, v, p, batch_id, now) for t, (v, p) in staged.items()]
-        (self.spark.createDataFrame(entries, COMMIT_SCHEMA).coalesce(1)
+        rows = [e.row(t, batch_id, now) for t, e in staged.items()]
+        (self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1)
          .write.mode("append").json(f"{self.root}/_commits"))
 
     def write(self, tables: dict[str, DataFrame], batch_id: str,
-              partition_by: dict[str, str | None] | None = None) -> dict[str, tuple[int, str]]:
+              partition_by: dict[str, str | None] | None = None) -> dict[str, Entry]:
         snapshot = self.current()
         staged = {n: self.stage(n, df, (partition_by or {}).get(n), snapshot)
                   for n, df in tables.items()}
         self.commit(staged, batch_id)
         return staged
+
+
+def day_values(df: DataFrame, day: Column) -> set[str]:
+    """Distinct partition days of ``df`` (a short list: one per day)."""
+    rows = df.select(F.coalesce(day.cast("string"), F.lit(NULL_PART)).alias("d")).distinct().collect()
+    return {r["d"] for r in rows}

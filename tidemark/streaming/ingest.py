@@ -6,7 +6,8 @@ time, i.e. its arrival), and each micro-batch merged into the bronze table
 of a ``TableStore`` inside ``foreachBatch``:
 
 * the merge is order-independent (greatest ``_loaded_at``, then file hour),
-  so micro-batches may arrive in any file order;
+  so micro-batches may arrive in any file order, and rewrites only the days
+  a micro-batch touches;
 * every micro-batch commits under the id ``{stream}-{epoch}``, and an epoch
   already in the commit log is skipped, so a restart that replays the last
   epoch adds nothing;
@@ -20,8 +21,8 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators.merge import merge_bronze
-from tidemark.schemas import RAW_EVENT
+from tidemark.plans.incremental import batch_keys, merge_into_bronze
+from tidemark.schemas import BRONZE_COLUMNS, RAW_EVENT
 from tidemark.sources.events_json import flatten_events, stamp_lineage
 from tidemark.sources.tables import TableStore
 
@@ -45,10 +46,11 @@ def stream_ingest(spark: SparkSession, landing: str, store: TableStore, checkpoi
         batch_id = f"{stream_id}-{epoch_id}"
         if store.processed(batch_id):
             return
-        batch = batch.persist()
+        batch = batch.select(*BRONZE_COLUMNS).persist()
         try:
-            merged = merge_bronze(store.read("bronze"), batch)
-            store.write({"bronze": merged}, batch_id)
+            current, _ = store.snapshot()
+            staged = merge_into_bronze(store, current, batch, batch_keys(batch))
+            store.commit({"bronze": staged}, batch_id)
             committed.append(epoch_id)
         finally:
             batch.unpersist()
