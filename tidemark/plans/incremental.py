@@ -67,14 +67,16 @@ DAY = {
 
 
 def upsert_days(store: TableStore, current: dict[str, Entry], table: str,
-                new_rows: DataFrame, keys: DataFrame, combine) -> Entry:
+                new_rows: DataFrame, keys: DataFrame, combine,
+                touched: set[str] | None = None) -> Entry:
     """Stage ``table`` with ``new_rows`` upserted, rewriting only touched days.
 
     Touched days are those of the new rows plus those where the target holds
     one of ``keys`` (found by scanning only the key and day columns), so a
     row whose day changed is removed from its old day as well.
     ``combine(old)`` returns the new content of the touched days from their
-    old content (``None`` for a new table).
+    old content (``None`` for a new table). ``touched`` may be given when
+    another table with the same keys and days already found it.
     """
     day = DAY[table]()
     target = store.read(table, current)
@@ -82,8 +84,9 @@ def upsert_days(store: TableStore, current: dict[str, Entry], table: str,
         entry = store.stage_parts(table, combine(None), day, set(), current)
         entry.touched = None  # every day is new
         return entry
-    hit = target.join(keys, "event_id", "left_semi")
-    touched = day_values(hit, day) | day_values(new_rows, day)
+    if touched is None:
+        hit = target.join(keys, "event_id", "left_semi").select(day.alias("d"))
+        touched = day_values(hit.unionByName(new_rows.select(day.alias("d"))), F.col("d"))
     old = store.read(table, current, days=touched)
     entry = store.stage_parts(table, combine(old), day, touched, current)
     entry.touched = touched
@@ -127,19 +130,24 @@ def _apply(store: TableStore, batch: DataFrame, batch_id: str,
     bronze_days = store.read("bronze", staged, days=staged["bronze"].touched)
     changed = bronze_days.join(keys, "event_id", "left_semi").unionByName(
         batch.where(F.col("event_id").isNull()))
-    tagged = silver.base_events(changed)
-    clean = tagged.where(F.col("dq_reason").isNull()).select(*STG_COLUMNS)
-    rejected = tagged.where(F.col("dq_reason").isNotNull()).select(*QUARANTINE_COLUMNS)
-    fact_rows = gold.fact_events(clean)
-
-    # Keys leave both silver tables, so a repaired row leaves quarantine.
-    for table, rows, cols in (("stg", clean, STG_COLUMNS),
-                              ("quarantine", rejected, QUARANTINE_COLUMNS),
-                              ("fact", fact_rows, FACT_COLUMNS)):
-        staged[table] = upsert_days(
-            store, current, table, rows, keys,
-            lambda old, rows=rows, cols=cols: rows.select(*cols) if old is None
-            else upsert(old.select(*cols), rows, delete_keys=keys))
+    tagged = silver.base_events(changed).persist()  # batch-sized, feeds three tables
+    try:
+        clean = tagged.where(F.col("dq_reason").isNull()).select(*STG_COLUMNS)
+        rejected = tagged.where(F.col("dq_reason").isNotNull()).select(*QUARANTINE_COLUMNS)
+        fact_rows = gold.fact_events(clean)
+
+        # Keys leave both silver tables, so a repaired row leaves quarantine.
+        # The fact has the staged table's keys and days, so it reuses its days.
+        for table, rows, cols, same_days_as in (("stg", clean, STG_COLUMNS, None),
+                                                ("quarantine", rejected, QUARANTINE_COLUMNS, None),
+                                                ("fact", fact_rows, FACT_COLUMNS, "stg")):
+            staged[table] = upsert_days(
+                store, current, table, rows, keys,
+                lambda old, rows=rows, cols=cols: rows.select(*cols) if old is None
+                else upsert(old.select(*cols), rows, delete_keys=keys),
+                touched=staged[same_days_as].touched if same_days_as else None)
+    finally:
+        tagged.unpersist()
 
     stg = store.read("stg", staged)
     daily = gold.repo_daily_activity(stg, name_rule)
