@@ -23,6 +23,7 @@ from tidemark.sources.tables import TableStore
 from tidemark.streaming.ingest import stream_ingest
 
 CUTOFFS = [datetime(2024, 1, 11), datetime(2024, 1, 21)]
+CAP = 2  # lines per file for the sampling read
 
 
 def load_batches(rows):
@@ -52,6 +53,15 @@ def q_read_event_files(spark, sf_dir):
     return events_json.read_event_files(spark, f"{root}/*/*.json.gz", loaded_at="file_time")
 
 
+@register("read_event_files_capped")
+def q_read_event_files_capped(spark, sf_dir):
+    """The hour files read with a cap of 2 lines per file; rows per file."""
+    root = landing_files(spark, sf_dir)
+    capped = events_json.read_event_files(spark, f"{root}/*/*.json.gz", max_events=CAP,
+                                          loaded_at="file_time")
+    return capped.groupBy("_source_file", "_loaded_at").agg(F.count("*").alias("rows"))
+
+
 @register("read_event_csv")
 def q_read_event_csv(spark, sf_dir):
     """Bronze written as an offset-timestamp CSV sample and parsed back."""

@@ -43,7 +43,8 @@ def flatten_events(raw: DataFrame, keep_split: bool = False) -> DataFrame:
         F.col("payload.action").alias("payload_action"),
         F.col("_metadata.file_name").alias("_source_file"),
         F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("_file_time"),
-        *([F.col("_metadata.file_block_start").alias("__split")] if keep_split else []),
+        *([F.col("_metadata.file_path").alias("__file"),
+           F.col("_metadata.file_block_start").alias("__split")] if keep_split else []),
     )
 
 
@@ -63,7 +64,7 @@ def stamp_lineage(flat: DataFrame, loaded_at: datetime | str | None = None) -> D
 
 
 def _first_lines_in_task(limit: int):
-    """Per task, keep the first ``limit`` rows of each (file, split).
+    """Per task, keep the first ``limit`` rows of each (file path, split).
 
     Rows of one split arrive in line order within its task, so a running
     counter per split is exact; it bounds how many rows of any one file
@@ -75,23 +76,26 @@ def _first_lines_in_task(limit: int):
             if pdf.empty:
                 yield pdf
                 continue
-            key = list(zip(pdf["_source_file"], pdf["__split"]))
-            rank = pdf.groupby(["_source_file", "__split"], sort=False).cumcount().to_numpy()
+            key = list(zip(pdf["__file"], pdf["__split"]))
+            rank = pdf.groupby(["__file", "__split"], sort=False).cumcount().to_numpy()
             offset = [seen.get(k, 0) for k in key]
             pos = rank + pd.Series(offset).to_numpy()
-            for k, n in pdf.groupby(["_source_file", "__split"], sort=False).size().items():
+            for k, n in pdf.groupby(["__file", "__split"], sort=False).size().items():
                 seen[k] = seen.get(k, 0) + int(n)
             yield pdf[pos < limit]
     return keep
 
 
 def cap_per_file(raw_with_meta: DataFrame, max_events: int) -> DataFrame:
-    """The first ``max_events`` lines of every file (0 = unlimited)."""
+    """The first ``max_events`` lines of every file (0 = unlimited).
+
+    Per file path: the same hour name delivered twice is two files.
+    """
     if not max_events:
         return raw_with_meta
     df = raw_with_meta.withColumn("__pos", F.monotonically_increasing_id())
     kept = df.mapInPandas(_first_lines_in_task(max_events), df.schema)
-    w = Window.partitionBy("_source_file").orderBy("__split", "__pos")
+    w = Window.partitionBy("__file").orderBy("__split", "__pos")
     return (
         kept.withColumn("__rank", F.row_number().over(w))
         .where(F.col("__rank") <= max_events)
@@ -108,7 +112,8 @@ def read_event_files(spark: SparkSession, paths: str | list[str], max_events: in
     """
     raw = spark.read.schema(RAW_EVENT).option("mode", mode).json(paths)
     if max_events:
-        flat = cap_per_file(flatten_events(raw, keep_split=True), max_events).drop("__split")
+        flat = cap_per_file(flatten_events(raw, keep_split=True), max_events).drop(
+            "__split", "__file")
     else:
         flat = flatten_events(raw)
     return stamp_lineage(flat, loaded_at)
