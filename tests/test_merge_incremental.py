@@ -100,9 +100,19 @@ def test_batch_splits_equal_one_build(spark):
     for i in (2, 0, 1):  # out of load order
         refresh(store, batches[i], f"b{i}")
     assert _rows(read_model(store, "bronze")) == full
-    stg_full = catalog.models(spark, SF_SMALL).stg
-    assert read_model(store, "stg").count() == stg_full.count()
-    assert read_model(store, "momentum").count() == catalog.models(spark, SF_SMALL).momentum.count()
+    full_models = catalog.models(spark, SF_SMALL)
+    assert read_model(store, "stg").count() == full_models.stg.count()
+
+    def same(name, df_full):
+        cols = sorted(df_full.columns)
+        got = sorted(map(tuple, read_model(store, name).select(*cols).collect()), key=repr)
+        want = sorted(map(tuple, df_full.select(*cols).collect()), key=repr)
+        assert got == want, name
+
+    same("momentum", full_models.momentum)
+    same("dim_repo", full_models.dim_repo)
+    same("dim_actor", full_models.dim_actor)
+    same("fact", full_models.fact)
 
 
 def test_refresh_rewrites_only_touched_days(spark):

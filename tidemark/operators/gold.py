@@ -70,8 +70,63 @@ def _per_member(stg: DataFrame, keys: list[str], member: str, *aggs: Column) ->
     return stg.groupBy(*keys, member).agg(*aggs)
 
 
+ROLLUP_KEYS = ["repo_id", "event_date", "actor_id", "repo_name", "actor_login"]
+
+
+def activity_rollup(stg: DataFrame) -> DataFrame:
+    """One row per (repo, day, actor, repo name, actor login): the compact
+    base that daily activity and both dimensions are derived from.
+
+    A single hash aggregate over the raw events (names are keys, every buffer
+    is fixed-width), with a map-side partial step, so silver is scanned and
+    shuffled once for all three models. A hot repository spreads over its
+    actors; a hot actor collapses inside each map task. The rollup is
+    day-partitionable: a day's rows depend only on that day's events.
+    """
+    return stg.groupBy(*ROLLUP_KEYS).agg(
+        F.count("*").alias("n"),
+        *[F.count_if(F.col("event_type") == F.lit(t)).alias(c) for c, t in ACTIVITY_COLUMNS],
+        F.min("created_at_utc").alias("first_seen_at"),
+        F.max("created_at_utc").alias("last_seen_at"),
+    )
+
+
+def _max_name(rollup: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """Maximum name per group over rollup rows.
+
+    A string maximum is a sort-based aggregate, so it runs here, on the
+    rollup (a handful of rows per group), never on raw events. The maximum
+    reads the row count (always positive) so that the optimizer cannot fold
+    it back onto the raw rows, which it would do for a duplicate-agnostic
+    ``max`` over a pure distinct.
+    """
+    return rollup.groupBy(*keys).agg(
+        F.max(F.when(F.col("n") > 0, F.col(column))).alias(column))
+
+
+def daily_from_rollup(rollup: DataFrame) -> DataFrame:
+    """A1 from the rollup: per (repo, day) counts, distinct actors, names."""
+    keys = ["repo_id", "event_date"]
+    kinds = [c for c, _ in ACTIVITY_COLUMNS]
+    per_actor = rollup.groupBy(*keys, "actor_id").agg(
+        F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in kinds])
+    counts = per_actor.groupBy(*keys).agg(
+        F.sum("n").alias("total_events"),
+        F.count("actor_id").alias("active_actors"),
+        *[F.sum(c).alias(c) for c in kinds],
+    )
+    return _with_names(counts, _max_name(rollup, keys, "repo_name"), keys).select(
+        "repo_id", "repo_name", "event_date",
+        F.col("total_events").cast("bigint").alias("total_events"),
+        "active_actors",
+        *[F.col(c).cast("bigint").alias(c) for c in kinds],
+    )
+
+
 def repo_daily_activity(stg: DataFrame, name_rule: str = "max") -> DataFrame:
     """A1: per (repo, UTC day) event counts, distinct actors, six type counts."""
+    if name_rule == "max":
+        return daily_from_rollup(activity_rollup(stg))
     keys = ["repo_id", "event_date"]
     kinds = [c for c, _ in ACTIVITY_COLUMNS]
     per_actor = _per_member(
@@ -110,34 +165,55 @@ def repo_momentum(daily: DataFrame) -> DataFrame:
     )
 
 
-def _dimension(stg: DataFrame, key: str, name: str, member: str, members_as: str,
-               name_rule: str) -> DataFrame:
-    per_member = _per_member(
-        stg, [key], member,
-        F.count("*").alias("n"),
-        F.min("created_at_utc").alias("lo"),
-        F.max("created_at_utc").alias("hi"),
+def _dimension_counts(rows: DataFrame, key: str, member: str, members_as: str,
+                      n: str | None) -> DataFrame:
+    count = F.sum(n) if n else F.count("*")
+    per_member = rows.groupBy(key, member).agg(
+        count.alias("n"),
+        F.min("first_seen_at" if n else "created_at_utc").alias("lo"),
+        F.max("last_seen_at" if n else "created_at_utc").alias("hi"),
     )
-    counts = per_member.groupBy(key).agg(
+    return per_member.groupBy(key).agg(
         F.min("lo").alias("first_seen_at"),
         F.max("hi").alias("last_seen_at"),
         F.sum("n").cast("bigint").alias("total_events"),
         F.count(member).alias(members_as),
     )
+
+
+def _dimension(stg: DataFrame, key: str, name: str, member: str, members_as: str,
+               name_rule: str) -> DataFrame:
+    if name_rule == "max":
+        return dimension_from_rollup(activity_rollup(stg), key, name, member, members_as)
+    counts = _dimension_counts(stg, key, member, members_as, None)
     return _with_names(counts, _names(stg, [key], name, name_rule), [key])
 
 
-def dim_repo(stg: DataFrame, name_rule: str = "max") -> DataFrame:
+def dimension_from_rollup(rollup: DataFrame, key: str, name: str, member: str,
+                          members_as: str) -> DataFrame:
+    """A2/A3 from the rollup: exact, since sums, min/max and the distinct
+    member count all combine over (key, member) rows across days."""
+    counts = _dimension_counts(rollup, key, member, members_as, "n")
+    return _with_names(counts, _max_name(rollup, [key], name), [key])
+
+
+def dim_repo(stg: DataFrame, name_rule: str = "max", rollup: DataFrame | None = None) -> DataFrame:
     """A2: one row per repository."""
-    return _dimension(stg, "repo_id", "repo_name", "actor_id", "distinct_actors", name_rule).select(
+    base = (dimension_from_rollup(rollup, "repo_id", "repo_name", "actor_id", "distinct_actors")
+            if rollup is not None else
+            _dimension(stg, "repo_id", "repo_name", "actor_id", "distinct_actors", name_rule))
+    return base.select(
         surrogate_key("repo_id").alias("repo_sk"), "repo_id", "repo_name",
         "first_seen_at", "last_seen_at", "total_events", "distinct_actors",
     )
 
 
-def dim_actor(stg: DataFrame, name_rule: str = "max") -> DataFrame:
+def dim_actor(stg: DataFrame, name_rule: str = "max", rollup: DataFrame | None = None) -> DataFrame:
     """A3: one row per actor."""
-    return _dimension(stg, "actor_id", "actor_login", "repo_id", "distinct_repos", name_rule).select(
+    base = (dimension_from_rollup(rollup, "actor_id", "actor_login", "repo_id", "distinct_repos")
+            if rollup is not None else
+            _dimension(stg, "actor_id", "actor_login", "repo_id", "distinct_repos", name_rule))
+    return base.select(
         surrogate_key("actor_id").alias("actor_sk"), "actor_id", "actor_login",
         "first_seen_at", "last_seen_at", "total_events", "distinct_repos",
     )

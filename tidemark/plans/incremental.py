@@ -149,14 +149,44 @@ def _apply(store: TableStore, batch: DataFrame, batch_id: str,
     finally:
         tagged.unpersist()
 
-    stg = store.read("stg", staged)
-    daily = gold.repo_daily_activity(stg, name_rule)
-    staged["momentum"] = store.stage("momentum", gold.repo_momentum(daily), None, current)
-    staged["dim_repo"] = store.stage("dim_repo", gold.dim_repo(stg, name_rule), None, current)
-    staged["dim_actor"] = store.stage("dim_actor", gold.dim_actor(stg, name_rule), None, current)
+    _stage_gold(store, current, staged, name_rule)
     store.commit(staged, batch_id)
 
 
+def _stage_gold(store: TableStore, current: dict[str, Entry], staged: dict[str, Entry],
+                name_rule: str) -> None:
+    """Gold after a silver upsert.
+
+    The activity rollup and daily activity are day-partitioned and only the
+    days whose silver rows changed are recomputed (a day's rows depend only
+    on that day's events). Momentum and the dimensions are then rebuilt
+    from those compact tables, not from silver.
+    """
+    if name_rule != "max":
+        stg = store.read("stg", staged)
+        daily = gold.repo_daily_activity(stg, name_rule)
+        staged["momentum"] = store.stage("momentum", gold.repo_momentum(daily), None, current)
+        staged["dim_repo"] = store.stage("dim_repo", gold.dim_repo(stg, name_rule), None, current)
+        staged["dim_actor"] = store.stage("dim_actor", gold.dim_actor(stg, name_rule), None, current)
+        return
+    touched = staged["stg"].touched  # None: every day is new
+    if touched is not None and "rollup" not in current:
+        touched = None  # a store without a rollup yet: build it whole
+    day = F.col("event_date")
+    days = set() if touched is None else touched
+    stg_days = store.read("stg", staged, days=touched)
+    staged["rollup"] = store.stage_parts("rollup", gold.activity_rollup(stg_days), day, days, current)
+    rollup_days = store.read("rollup", staged, days=touched)
+    staged["daily"] = store.stage_parts("daily", gold.daily_from_rollup(rollup_days), day, days,
+                                        current)
+    daily = store.read("daily", staged)
+    rollup = store.read("rollup", staged)
+    staged["momentum"] = store.stage("momentum", gold.repo_momentum(daily), None, current)
+    staged["dim_repo"] = store.stage("dim_repo", gold.dim_repo(None, rollup=rollup), None, current)
+    staged["dim_actor"] = store.stage("dim_actor", gold.dim_actor(None, rollup=rollup), None,
+                                      current)
+
+
 def read_model(store: TableStore, name: str, columns: list[str] | None = None) -> DataFrame:
     df = store.read(name)
     if df is None:

@@ -34,19 +34,32 @@ class Models:
         return dict(self.__dict__)
 
 
+def gold_models(stg: DataFrame, rollup: DataFrame | None, name_rule: str = "max") -> dict:
+    """Daily activity, momentum and both dimensions.
+
+    With the default name rule all of them derive from the shared activity
+    rollup (silver scanned and shuffled once); the opt-in ``latest`` rule
+    needs event times per name and reads silver directly.
+    """
+    if name_rule == "max":
+        rollup = gold.activity_rollup(stg) if rollup is None else rollup
+        daily = gold.daily_from_rollup(rollup)
+        return {"daily": daily, "momentum": gold.repo_momentum(daily),
+                "dim_repo": gold.dim_repo(stg, rollup=rollup),
+                "dim_actor": gold.dim_actor(stg, rollup=rollup)}
+    daily = gold.repo_daily_activity(stg, name_rule)
+    return {"daily": daily, "momentum": gold.repo_momentum(daily),
+            "dim_repo": gold.dim_repo(stg, name_rule), "dim_actor": gold.dim_actor(stg, name_rule)}
+
+
 def build(bronze: DataFrame, name_rule: str = "max") -> Models:
     stg = silver.stg_events(bronze)
-    quarantine = silver.quarantine_events(bronze)
-    daily = gold.repo_daily_activity(stg, name_rule)
     return Models(
         bronze=bronze,
         stg=stg,
-        quarantine=quarantine,
-        daily=daily,
-        momentum=gold.repo_momentum(daily),
-        dim_repo=gold.dim_repo(stg, name_rule),
-        dim_actor=gold.dim_actor(stg, name_rule),
+        quarantine=silver.quarantine_events(bronze),
         fact=gold.fact_events(stg),
+        **gold_models(stg, None, name_rule),
     )
 
 
@@ -95,12 +108,15 @@ def materialize_from_bronze(spark: SparkSession, root: str, name_rule: str = "ma
     write_model(silver.stg_events(b), stg_path, partition_by=PARTITION_BY["stg"])
     write_model(silver.quarantine_events(b), q_path)
     stg = spark.read.parquet(stg_path)
-    quarantine = spark.read.parquet(q_path)
-    daily = gold.repo_daily_activity(stg, name_rule)
+    rollup = None
+    if name_rule == "max":
+        write_model(gold.activity_rollup(stg), f"{root}/rollup", partition_by="event_date")
+        rollup = spark.read.parquet(f"{root}/rollup")
+    models = gold_models(stg, rollup, name_rule)
     out = {
-        "momentum": gold.repo_momentum(daily),
-        "dim_repo": gold.dim_repo(stg, name_rule),
-        "dim_actor": gold.dim_actor(stg, name_rule),
+        "momentum": models["momentum"],
+        "dim_repo": models["dim_repo"],
+        "dim_actor": models["dim_actor"],
         "fact": gold.fact_events(stg),
     }
     for name, df in out.items():
@@ -112,4 +128,9 @@ def read_models(spark: SparkSession, root: str, name_rule: str = "max") -> Model
     """The models of a materialized build, read from their files."""
     read = {n: spark.read.parquet(f"{root}/{n}")
             for n in ("bronze", "stg", "quarantine", "momentum", "dim_repo", "dim_actor", "fact")}
-    return Models(daily=gold.repo_daily_activity(read["stg"], name_rule), **read)
+    rollup_path = f"{root}/rollup"
+    from tidemark.sources.tables import path_exists
+
+    daily = (gold.daily_from_rollup(spark.read.parquet(rollup_path))
+             if path_exists(spark, rollup_path) else gold.repo_daily_activity(read["stg"], name_rule))
+    return Models(daily=daily, **read)
