@@ -3,7 +3,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tidemark import catalog
-from tidemark.operators import gold, health, quality
+from tidemark.operators import health, quality
 from tidemark.sources import run_ledger
 from tidemark.session import scratch_path
 from conftest import SF_SMALL, bronze_rows, event

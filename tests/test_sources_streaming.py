@@ -3,7 +3,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark import catalog
 from tidemark.session import scratch_path

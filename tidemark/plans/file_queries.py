@@ -12,8 +12,8 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from tidemark.catalog import AS_OF, bronze, landing, models, register
-from tidemark.operators import gold, silver
+from tidemark.catalog import bronze, landing, models, register
+from tidemark.operators import silver
 from tidemark.operators.merge import merge_bronze, upsert
 from tidemark.plans.incremental import new_rows, read_model, refresh
 from tidemark.schemas import FACT_COLUMNS, STG_COLUMNS

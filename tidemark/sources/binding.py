@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.merge import merge_bronze
-from tidemark.schemas import BRONZE_COLUMNS
 
 # ---------------------------------------------------------------------------
 # Fixed values of the binding (FIXTURES.md §2).
