@@ -98,3 +98,21 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark):
     assert got == want
     batch = events_json.read_event_files(spark, f"{root}/*/*.json.gz", loaded_at="file_time")
     assert batch.count() == landing_rows.count()
+
+
+def test_stream_file_order_does_not_decide_the_winner(spark):
+    # Hazard C: same event in two hour files, one file per micro-batch, equal
+    # load times; the later hour (10, which sorts before 5 as text) must win.
+    root = scratch_path(spark, "t-hazard-c")
+    folder = _local(root) + "/d1"
+    for h in (10, 5):
+        _write_gz(folder, f"2024-01-15-{h}.json.gz",
+                  [{"id": "42", "type": "PushEvent", "actor": {"id": 1, "login": "a"},
+                    "repo": {"id": 2, "name": "o/r"}, "payload": {"action": f"h{h}"},
+                    "created_at": "2024-01-15T05:00:00Z"}])
+        os.utime(os.path.join(folder, f"2024-01-15-{h}.json.gz"), (1705300000, 1705300000))
+    store = TableStore(spark, scratch_path(spark, "t-hazard-c-store"))
+    n = stream_ingest(spark, f"{root}/*/*.json.gz", store, scratch_path(spark, "t-hazard-c-ckpt"),
+                      max_files_per_trigger=1)
+    rows = store.read("bronze").collect()
+    assert n == 2 and len(rows) == 1 and rows[0]["payload_action"] == "h10"

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import file_hour
 
 
-def _order_key(df: DataFrame) -> list[Column]:
+def _order_key() -> list[Column]:
     return [
         F.col("_loaded_at").alias("__o1"),
         F.coalesce(file_hour("_source_file"), F.lit(-1)).alias("__o2"),
@@ -33,7 +33,7 @@ def latest_per_key(df: DataFrame, key: str = "event_id") -> DataFrame:
     """
     cols = df.columns
     others = [c for c in cols if c != key]
-    packed = F.struct(*_order_key(df), *[F.col(c) for c in others]).alias("__w")
+    packed = F.struct(*_order_key(), *[F.col(c) for c in others]).alias("__w")
     winners = (
         df.where(F.col(key).isNotNull())
         .groupBy(key)
