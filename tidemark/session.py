@@ -43,6 +43,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Local disks only: skip the .crc side file the checksummed local
+        # filesystem writes next to every output file (cluster stores have none).
+        .config("spark.hadoop.fs.file.impl", "org.apache.hadoop.fs.RawLocalFileSystem")
     )
     for key, value in _RUNTIME_CONF.items():
         builder = builder.config(key, value)
