@@ -5,9 +5,10 @@ At ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on ``local[$BENCH_CPUS]``:
 * ``build_bronze``: landing rows merged into bronze, written as Parquet;
 * ``build_silver_gold``: staged, quarantined, fact, momentum and both
   dimensions built from that bronze and written (the daily refresh);
-* serving and check queries over the written models, each run to
-  completion with the ``noop`` sink (the whole plan runs, nothing is
-  collected);
+* serving and check queries over the written models, each planned afresh
+  and run to completion with the ``noop`` sink (the whole plan runs,
+  nothing is collected); best of two runs, so one-off JIT and GC pauses
+  do not swamp sub-second queries;
 * ``refresh_one_batch``: one load batch through the incremental refresh
   into a warm versioned store;
 * ``e2e_momentum_leaderboard``: the flagship registered query from the raw
@@ -80,7 +81,12 @@ def main() -> None:
         "run_kpis": lambda: health.run_kpis(runs),
     }
     for name, build in serving_queries.items():
-        timed(name, lambda: run(build()))
+        best = None
+        for _ in range(2):
+            t0 = time.perf_counter()
+            run(build())
+            best = min(best or 1e9, time.perf_counter() - t0)
+        times[name] = round(best, 3)
 
     store = TableStore(spark, scratch_path(spark, "bench-warehouse"))
     batches = file_queries.load_batches(catalog.landing(spark, sf_dir))

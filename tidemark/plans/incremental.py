@@ -137,15 +137,18 @@ def _apply(store: TableStore, batch: DataFrame, batch_id: str,
         fact_rows = gold.fact_events(clean)
 
         # Keys leave both silver tables, so a repaired row leaves quarantine.
-        # The fact has the staged table's keys and days, so it reuses its days.
-        for table, rows, cols, same_days_as in (("stg", clean, STG_COLUMNS, None),
-                                                ("quarantine", rejected, QUARANTINE_COLUMNS, None),
-                                                ("fact", fact_rows, FACT_COLUMNS, "stg")):
+        # A row's day is the UTC date of its event time in every event-grain
+        # table, so the days bronze touched cover every day a silver table
+        # or the fact can change on; no second scan for key days is needed.
+        days = staged["bronze"].touched
+        for table, rows, cols in (("stg", clean, STG_COLUMNS),
+                                  ("quarantine", rejected, QUARANTINE_COLUMNS),
+                                  ("fact", fact_rows, FACT_COLUMNS)):
             staged[table] = upsert_days(
                 store, current, table, rows, keys,
                 lambda old, rows=rows, cols=cols: rows.select(*cols) if old is None
                 else upsert(old.select(*cols), rows, delete_keys=keys),
-                touched=staged[same_days_as].touched if same_days_as else None)
+                touched=days)
     finally:
         tagged.unpersist()
 
