@@ -61,3 +61,22 @@ def test_daily_activity_never_sorts_raw_events_for_the_name(spark):
 def test_merge_does_not_use_a_window(spark):
     plan = catalog.bronze(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "partial_max" in plan
+
+
+def test_partitioned_write_is_rebalanced_by_day(spark):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from tidemark.plans.medallion import write_model
+    from tidemark.session import scratch_path
+
+    stg = catalog.models(spark, SF_SMALL).stg.repartition(8)  # rows of every day in every task
+    path = scratch_path(spark, "t-rebalance")
+    write_model(stg, path, partition_by="event_date")
+    local = path[len("file:"):] if path.startswith("file:") else path
+    days = [d for d in os.listdir(local) if d.startswith("event_date=")]
+    files = [f for d in days for f in os.listdir(os.path.join(local, d)) if f.endswith(".parquet")]
+    assert len(days) == stg.select(F.countDistinct("event_date")).first()[0]
+    assert len(files) == len(days)  # one right-sized file per small day, not 8 per day
+    assert spark.read.parquet(path).count() == stg.count()
