@@ -91,35 +91,33 @@ def activity_rollup(stg: DataFrame) -> DataFrame:
     )
 
 
-def _max_name(rollup: DataFrame, keys: list[str], column: str) -> DataFrame:
-    """Maximum name per group over rollup rows.
-
-    A string maximum is a sort-based aggregate, so it runs here, on the
-    rollup (a handful of rows per group), never on raw events. The maximum
-    reads the row count (always positive) so that the optimizer cannot fold
-    it back onto the raw rows, which it would do for a duplicate-agnostic
-    ``max`` over a pure distinct.
-    """
-    return rollup.groupBy(*keys).agg(
-        F.max(F.when(F.col("n") > 0, F.col(column))).alias(column))
+def _named(column: str) -> Column:
+    """Name maximum over rollup rows. It reads the row count (always
+    positive) so that the optimizer cannot fold it back onto the raw rows,
+    which it would do for a duplicate-agnostic ``max`` over a pure distinct."""
+    return F.max(F.when(F.col("n") > 0, F.col(column)))
 
 
 def daily_from_rollup(rollup: DataFrame) -> DataFrame:
-    """A1 from the rollup: per (repo, day) counts, distinct actors, names."""
+    """A1 from the rollup: per (repo, day) counts, distinct actors, names.
+
+    One pass over the rollup: per (repo, day, actor) and then per
+    (repo, day), the name maximum carried along. The string maximum makes
+    both steps sort-based, but they run on rollup rows, never raw events,
+    and no second pass or join is needed for the name.
+    """
     keys = ["repo_id", "event_date"]
     kinds = [c for c, _ in ACTIVITY_COLUMNS]
     per_actor = rollup.groupBy(*keys, "actor_id").agg(
-        F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in kinds])
-    counts = per_actor.groupBy(*keys).agg(
-        F.sum("n").alias("total_events"),
+        F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in kinds],
+        _named("repo_name").alias("repo_name"))
+    return per_actor.groupBy(*keys).agg(
+        F.max("repo_name").alias("repo_name"),
+        F.sum("n").cast("bigint").alias("total_events"),
         F.count("actor_id").alias("active_actors"),
-        *[F.sum(c).alias(c) for c in kinds],
-    )
-    return _with_names(counts, _max_name(rollup, keys, "repo_name"), keys).select(
-        "repo_id", "repo_name", "event_date",
-        F.col("total_events").cast("bigint").alias("total_events"),
-        "active_actors",
-        *[F.col(c).cast("bigint").alias(c) for c in kinds],
+        *[F.sum(c).cast("bigint").alias(c) for c in kinds],
+    ).select(
+        "repo_id", "repo_name", "event_date", "total_events", "active_actors", *kinds,
     )
 
 
@@ -191,10 +189,22 @@ def _dimension(stg: DataFrame, key: str, name: str, member: str, members_as: str
 
 def dimension_from_rollup(rollup: DataFrame, key: str, name: str, member: str,
                           members_as: str) -> DataFrame:
-    """A2/A3 from the rollup: exact, since sums, min/max and the distinct
-    member count all combine over (key, member) rows across days."""
-    counts = _dimension_counts(rollup, key, member, members_as, "n")
-    return _with_names(counts, _max_name(rollup, [key], name), [key])
+    """A2/A3 from the rollup: exact, since sums, min/max, the name maximum and
+    the distinct member count all combine over (key, member) rows across
+    days. One pass, the name carried along as in ``daily_from_rollup``."""
+    per_member = rollup.groupBy(key, member).agg(
+        F.sum("n").alias("n"),
+        F.min("first_seen_at").alias("lo"),
+        F.max("last_seen_at").alias("hi"),
+        _named(name).alias(name),
+    )
+    return per_member.groupBy(key).agg(
+        F.max(name).alias(name),
+        F.min("lo").alias("first_seen_at"),
+        F.max("hi").alias("last_seen_at"),
+        F.sum("n").cast("bigint").alias("total_events"),
+        F.count(member).alias(members_as),
+    )
 
 
 def dim_repo(stg: DataFrame, name_rule: str = "max", rollup: DataFrame | None = None) -> DataFrame:
