@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as E
+from tidemark import catalog, oracle
 from oracle_compare import compare, duck
 from conftest import SF_SMALL
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = catalog.queries()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -10,6 +10,8 @@ builds one for tests and the bench.
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -57,14 +59,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder: ``spark.checkpoint.dir`` of the session.
 
-    Only when the session names none (a bare local test session) is a local
-    folder set, so that ``checkpoint()`` and scratch tables still work.
+    A session of one process (``local[...]``: tests, bench) that names none
+    gets a folder of its own. On a cluster an unset folder is an error, as a
+    machine-local one would hide each executor's files from the others.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
-        import tempfile
-
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         sc.setCheckpointDir(base)
     elif sc.getCheckpointDir() is None:
