@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import html_text, sharding, url_filter
+from tidemark.llm import html_text, sharding, simhash, url_filter
 from tidemark.llm.common import table
 from tidemark.session import configure
 
@@ -37,7 +37,12 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  url_filter.rule_table(spark, URL_RULES))
 
 
-_QUERIES = [op4_html_text, op6_kd_shards, op7_url_filter]
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+_QUERIES = [op4_html_text, op6_kd_shards, op7_url_filter, op9_simhash]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
