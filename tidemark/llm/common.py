@@ -79,3 +79,53 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
+
+
+#: Buckets of the broadcast prefilter below; this bounds what is broadcast.
+FILTER_BUCKETS = 1 << 18
+
+
+def split_by_keys(df: DataFrame, keys: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``df`` that may have a key in ``keys``, and rows that have none.
+
+    Only the numbers of occupied hash buckets are broadcast, at most
+    ``FILTER_BUCKETS`` of them, so this never loses a key and costs the same at
+    any size; it saves shuffling rows without a partner where keys are few.
+    """
+    def bucket() -> Column:
+        return F.pmod(F.xxhash64(*on), F.lit(FILTER_BUCKETS))
+
+    used = F.broadcast(keys.select(bucket().alias("_bucket")).distinct())
+    tagged = df.withColumn("_bucket", bucket())
+    return (tagged.join(used, "_bucket", "left_semi").drop("_bucket"),
+            tagged.join(used, "_bucket", "left_anti").drop("_bucket"))
+
+
+class RangeHash:
+    """Hashes of any range of a sequence of 64-bit values, from prefix sums of
+    a polynomial; equal ranges have equal hashes wherever they stand."""
+
+    BASE = 0x9E3779B97F4A7C15 | 1
+
+    def __init__(self, values: np.ndarray):
+        n = len(values)
+        power = np.full(n + 1, self.BASE, np.uint64)
+        power[0] = 1
+        power = np.multiply.accumulate(power)
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(values * power[:n], out=self.sums[1:])
+        inverse = np.full(n + 1, pow(self.BASE, -1, 1 << 64), np.uint64)
+        inverse[0] = 1
+        self.inverse = np.multiply.accumulate(inverse)
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        value = (self.sums[end] - self.sums[start]) * self.inverse[start]
+        return mix(value + (end - start).astype(np.uint64))
+
+
+def ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """All integers of the ranges ``start .. start + count - 1``, in order."""
+    count = np.asarray(count, np.int64)
+    ends = np.cumsum(count)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.arange(total) + np.repeat(np.asarray(start, np.int64) - (ends - count), count)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import html_text, sharding, simhash, url_filter
+from tidemark.llm import html_text, sharding, simhash, substring_dedup, url_filter
 from tidemark.llm.common import table
 from tidemark.session import configure
 
@@ -21,6 +22,12 @@ URL_RULES = [
 SHARDS = 40
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its repeated 50-word windows, as a digest."""
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visible text of every page."""
     return html_text.extract_text(table(spark, sf_dir, "pages"))
@@ -42,7 +49,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-_QUERIES = [op4_html_text, op6_kd_shards, op7_url_filter, op9_simhash]
+_QUERIES = [op3_substring_dedup, op4_html_text, op6_kd_shards, op7_url_filter, op9_simhash]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
