@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import html_text, sharding, simhash, substring_dedup, url_filter
+from tidemark.llm import decontaminate, html_text, sharding, simhash, substring_dedup, url_filter
 from tidemark.llm.common import table
 from tidemark.session import configure
 
@@ -22,6 +22,14 @@ URL_RULES = [
 SHARDS = 40
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its repeated 50-word windows, as a digest."""
     kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
@@ -49,7 +57,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-_QUERIES = [op3_substring_dedup, op4_html_text, op6_kd_shards, op7_url_filter, op9_simhash]
+_QUERIES = [op2_decontaminate, op3_substring_dedup, op4_html_text, op6_kd_shards, op7_url_filter, op9_simhash]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -87,5 +95,39 @@ from urls u left join judged j on u.host = j.host and u.path = j.path
 """
 
 
+_OP2_SQL = r"""
+with words as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents),
+items as (
+  select item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark),
+item_windows as (
+  select distinct item_id, n, array_to_string(w[s : s + n - 1], ' ') as win
+  from (select item_id, w, least(10, len(w)) as n,
+               unnest(range(1, greatest(len(w) - 9, 1) + 1)) as s
+        from items where len(w) > 0)),
+sizes as (select distinct n from item_windows),
+doc_windows as (
+  select doc_id, n, s, array_to_string(w[s : s + n - 1], ' ') as win
+  from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as s
+        from words, sizes where len(w) >= n)),
+hits as (select doc_id, s, n, item_id from doc_windows join item_windows using (n, win)),
+places as (select distinct doc_id, unnest(range(s, s + n)) as p from (select distinct doc_id, s, n from hits)),
+counted as (select doc_id, count(*) as n_hit from places group by doc_id),
+listed as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as ids
+  from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by doc_id)
+select words.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
+       coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 as contaminated
+from words left join counted using (doc_id) left join listed using (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_url_filter": _OP7_SQL}
+    return {"op2_decontaminate": _OP2_SQL, "op7_url_filter": _OP7_SQL}
