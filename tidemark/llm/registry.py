@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html_text, sharding, simhash, substring_dedup, url_filter
+from tidemark.llm import decontaminate, html_text, packing, sharding, simhash, substring_dedup, url_filter
 from tidemark.llm.common import table
 from tidemark.session import configure
 
@@ -20,6 +20,14 @@ URL_RULES = [
     ("block", "com", "/de/"),
 ]
 SHARDS = 40
+#: Vocabulary of the packing query.
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(TOKENIZER))
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +65,12 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-_QUERIES = [op2_decontaminate, op3_substring_dedup, op4_html_text, op6_kd_shards, op7_url_filter, op9_simhash]
+def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token pieces and their places in packed sequences."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+_QUERIES = [op2_decontaminate, op3_substring_dedup, op4_html_text, op6_kd_shards, op7_url_filter, op9_simhash, op10_pack]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
