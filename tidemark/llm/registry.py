@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html_text, packing, sharding, simhash, substring_dedup, url_filter
+from tidemark.llm import decontaminate, html_text, packing, sharding, simhash, substring_dedup, toxicity, url_filter
 from tidemark.llm.common import table
 from tidemark.session import configure
 
@@ -30,6 +30,14 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path(TOKENIZER))
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; learned from labels outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    fold = toxicity.held_out(F.col("doc_id"))
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), ~fold)
+    return toxicity.score(docs, model).select("doc_id", fold.alias("held_out"), "score", "predicted", "clauses")
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -70,7 +78,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-_QUERIES = [op2_decontaminate, op3_substring_dedup, op4_html_text, op6_kd_shards, op7_url_filter, op9_simhash, op10_pack]
+_QUERIES = [op1_toxicity, op2_decontaminate, op3_substring_dedup, op4_html_text, op6_kd_shards, op7_url_filter, op9_simhash, op10_pack]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
