@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html_text, packing, sharding, simhash, substring_dedup, toxicity, url_filter
+from tidemark.llm import ann, decontaminate, html_text, packing, sharding, simhash, substring_dedup, toxicity, url_filter
 from tidemark.llm.common import table
 from tidemark.session import configure
 
@@ -57,6 +57,11 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows found for every 20th vector."""
+    return ann.search(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
+
+
 def op6_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 40 shards of near-equal bytes."""
     return sharding.law_columns(sharding.kd_shards(table(spark, sf_dir, "documents"), SHARDS))
@@ -78,7 +83,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-_QUERIES = [op1_toxicity, op2_decontaminate, op3_substring_dedup, op4_html_text, op6_kd_shards, op7_url_filter, op9_simhash, op10_pack]
+_QUERIES = [op1_toxicity, op2_decontaminate, op3_substring_dedup, op4_html_text, op5_ann, op6_kd_shards, op7_url_filter, op9_simhash, op10_pack]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
