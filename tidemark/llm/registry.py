@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, decontaminate, html_text, packing, sharding, simhash, substring_dedup, toxicity, url_filter
+from tidemark.llm import ann, decontaminate, html_text, lm_score, packing, sharding, simhash, substring_dedup, toxicity, url_filter
 from tidemark.llm.common import table
 from tidemark.session import configure
 
@@ -73,6 +73,12 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  url_filter.rule_table(spark, URL_RULES))
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model score of every document; learned outside the held-out fold."""
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2
+    return lm_score.score(table(spark, sf_dir, "documents"), fold)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -83,7 +89,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-_QUERIES = [op1_toxicity, op2_decontaminate, op3_substring_dedup, op4_html_text, op5_ann, op6_kd_shards, op7_url_filter, op9_simhash, op10_pack]
+_QUERIES = [op1_toxicity, op2_decontaminate, op3_substring_dedup, op4_html_text, op5_ann, op6_kd_shards, op7_url_filter, op8_lm_score, op9_simhash, op10_pack]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
