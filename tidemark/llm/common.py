@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +44,7 @@ def text_slices(batch: pa.RecordBatch, column: str = "text",
     """Cut a record batch into slices of about ``budget`` text bytes (one row
     at least), so that memory is bounded by that and by the longest text."""
     sizes = np.asarray(
-        pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), dtype=np.int64)
+        pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64)
     group = (np.cumsum(sizes) - sizes) // budget
     starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(sizes) else []
     for i, start in enumerate(starts):
@@ -53,19 +54,31 @@ def text_slices(batch: pa.RecordBatch, column: str = "text",
 
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; null counts as empty."""
-    return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
+    return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def word_codes(words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
-    """Integer code of each word, and the distinct words by code."""
-    coded = pa.array(words, pa.large_binary()).dictionary_encode()
-    return coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
+def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Words of each text: runs without ASCII white space (null: none).
 
-
-def hashes(values: list[bytes], seed: int) -> np.ndarray:
-    """XXH64 of each value."""
+    Returns the code of every word of all texts, the distinct words by code
+    (an unused empty one may be among them), and the number of words per text.
+    """
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    coded = lists.flatten().dictionary_encode()
+    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    empty = pc.index(coded.dictionary, "").as_py()
+    if empty >= 0:  # stands where a text begins or ends with white space
+        kept = codes != empty
+        sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[kept], minlength=len(sizes))
+        codes = codes[kept]
+    return codes, coded.dictionary, sizes
+
+
+def hashes(words: pa.Array, seed: int) -> np.ndarray:
+    """XXH64 of each word."""
     digest = xxhash.xxh64_intdigest
-    return np.fromiter((digest(v, seed) for v in values), np.uint64, len(values))
+    return np.fromiter((digest(w, seed) for w in words.cast(pa.binary()).to_pylist()), np.uint64, len(words))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

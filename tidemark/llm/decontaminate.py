@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import (doc_key, hashes, mix, ranges, signed, split_by_keys, stored, text_bytes,
-                                 text_slices, word_codes)
+from tidemark.llm.common import (doc_key, hashes, mix, ranges, signed, split_by_keys, split_words, stored,
+                                 text_bytes, text_slices)
 
 #: Words of an item window, and of the k-grams of its fingerprint.
 SPAN = 10
@@ -71,12 +71,10 @@ def fingerprints(words: np.ndarray, span: int, n: int) -> np.ndarray:
 def _hits(texts: list[bytes], span: int, lengths: list[int], keep):
     """Words per text, and the windows that ``keep(fingerprints)`` selects, as
     (text, start, n, fingerprint, words)."""
-    split = [words_of(t) for t in texts]
-    sizes = np.array([len(w) for w in split], np.int64)
+    codes, distinct, sizes = split_words(pa.array([t.translate(_TO_WORDS) for t in texts], pa.binary())
+                                         .cast(pa.string()))
     begin = np.cumsum(sizes) - sizes
-    flat = [w for words in split for w in words]
-    codes, distinct = word_codes(flat)
-    seq = hashes(distinct, 3)[codes] if flat else np.zeros(0, np.uint64)
+    seq = hashes(distinct, 3)[codes]
     out = []
     for n in lengths:
         starts = ranges(begin, np.maximum(sizes - n + 1, 0))
@@ -86,8 +84,10 @@ def _hits(texts: list[bytes], span: int, lengths: list[int], keep):
         at = np.flatnonzero(keep(prints))
         owner = np.searchsorted(begin, starts[at], "right") - 1
         # Empty texts share a begin with the text after them.
-        out += [(int(d), int(s - begin[d]), n, int(p), b" ".join(flat[s:s + n]))
-                for d, s, p in zip(owner, starts[at].tolist(), signed(prints[at]))]
+        wanted = starts[at][:, None] + np.arange(n)
+        spelled = distinct.take(pa.array(codes[wanted].reshape(-1))).to_pylist()
+        out += [(int(d), int(s - begin[d]), n, int(p), " ".join(spelled[i * n:i * n + n]))
+                for i, (d, s, p) in enumerate(zip(owner, starts[at].tolist(), signed(prints[at])))]
     return sizes, out
 
 
@@ -103,7 +103,7 @@ def item_windows(items: DataFrame, span: int = SPAN) -> DataFrame:
                     n = min(span, len(words_of(text)))
                     if n:
                         _, found = _hits([text], span, [n], lambda p: np.ones(len(p), bool))
-                        rows.update((n, h, win.decode(), item) for _, _, _, h, win in found)
+                        rows.update((n, h, win, item) for _, _, _, h, win in found)
                 cols = list(zip(*rows)) or [[], [], [], []]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()),
@@ -144,7 +144,7 @@ def _scan(docs: DataFrame, span: int, lengths: list[int], bitmap) -> DataFrame:
                 hit = pa.StructArray.from_arrays(
                     [pa.array([f[1] for f in found], pa.int32()), pa.array([f[2] for f in found], pa.int32()),
                      pa.array([f[3] for f in found], pa.int64()),
-                     pa.array([f[4] for f in found], pa.binary()).cast(pa.string())], fields=list(_HIT))
+                     pa.array([f[4] for f in found], pa.string())], fields=list(_HIT))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("id"), part.column("tk"), pa.array(sizes),
                      pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), hit)],
@@ -203,9 +203,8 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, span: int = SPAN) -> Da
     """Rows of ``docs``, all columns, whose text has no item window."""
     _, hits, _ = benchmark_hits(docs, items, span)
     bad = stored(hits.select("id", "tk").distinct(), "contaminated")
-    columns = docs.columns
-    keyed = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
-                              "_tk": doc_key(F.col("text"))})
-    bad = bad.select(F.col("id").alias("_id"), F.col("tk").alias("_tk"))
-    hit, miss = split_by_keys(keyed, bad, ["_id", "_tk"])
-    return hit.join(bad, ["_id", "_tk"], "left_anti").unionByName(miss).select(*columns)
+    keyed = docs.select(F.struct(*docs.columns).alias("doc"),
+                        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
+                        doc_key(F.col("text")).alias("tk"))
+    hit, miss = split_by_keys(keyed, bad, ["id", "tk"])
+    return hit.join(bad, ["id", "tk"], "left_anti").select("doc.*").union(miss.select("doc.*"))

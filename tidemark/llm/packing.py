@@ -17,11 +17,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import ranges, stored, text_bytes, text_slices, word_codes
+from tidemark.llm.common import CHUNK_BYTES, ranges, split_words, stored, text_slices
 
 CAPACITY = 4096
 END_ID = 1
@@ -31,7 +32,7 @@ PATTERN_DOCS = 3
 #: Documents of one length that one task ranks.
 RANK_ROWS = 4096
 #: Punctuation that the tokenizer splits from a word of letters as one piece.
-_PUNCTUATION = b'.,!?;:|*#%&$")('
+_PUNCTUATION = '.,!?;:|*#%&$")('
 
 
 # ---------------------------------------------------------------- tokenizing
@@ -40,59 +41,79 @@ class WordEncoder:
     """Token ids of texts, each distinct piece encoded once per task.
 
     The tokenizer drops white space and never joins across it, so a text's ids
-    are those of its words. A word of letters with punctuation behind it is two
-    pieces. Pieces of Latin-1 letters go straight to the tokenizer's model (for
-    them, normalizing is lower-casing, and there is nothing to split); all
-    others take the tokenizer's whole way.
+    are those of its words. A word of Latin-1 letters with punctuation behind
+    it is two pieces. Pieces of such letters go straight to the tokenizer's
+    model (for them, normalizing is lower-casing, and there is nothing to
+    split); all others take the tokenizer's whole way.
     """
 
+    #: Pieces remembered at a time.
+    MOST_PIECES = 1_500_000
+    LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
+
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.model = self.tokenizer.model
-        self.known: dict[bytes, list[int]] = {}
         # The byte-level alphabet. Printable Latin-1 bytes stand
         # for themselves, the others for the characters from U+0100 on.
         plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = [b for b in range(256) if b not in set(plain)]
         self.alphabet = {b: chr(256 + i) for i, b in enumerate(rest)}
-
-    def _learn(self, pieces: list[bytes]) -> None:
-        whole = []
-        for piece in pieces:
-            text = piece.decode()
-            if text.isalpha() and max(text) < "Ā":
-                mapped = text.lower().encode().decode("latin-1").translate(self.alphabet)
-                self.known[piece] = [t.id for t in self.model.tokenize(mapped)]
-            else:
-                whole.append(piece)
-        if whole:
-            texts = [p.decode() for p in whole]
-            for piece, e in zip(whole, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                self.known[piece] = e.ids
-
-    def _parts(self, word: bytes) -> tuple[bytes, ...]:
-        core = word.rstrip(_PUNCTUATION)
-        if core and len(core) < len(word) and core.decode().isalpha():
-            return core, word[len(core):]
-        return (word,)
-
-    def ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        self.row: dict[str, int] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.row = {"": 0}  # of a piece in the arrays below
+        self.begin = self.count = np.zeros(1, np.int64)
+        self.table = np.zeros(0, np.uint32)  # ids of all pieces, one after the other
+
+    def _rows(self, pieces: pa.Array) -> np.ndarray:
+        """Rows of the pieces, which are learned where new."""
+        coded = pieces.dictionary_encode()
+        texts = coded.dictionary.to_pylist()
+        new = [t for t in texts if t not in self.row]
+        if new:
+            letters = pc.match_substring_regex(pa.array(new), f"^[{self.LETTERS}]+$").to_pylist()
+            whole = iter(self.tokenizer.encode_batch_fast(
+                [t for t, plain in zip(new, letters) if not plain], add_special_tokens=False))
+            tokenize, alphabet = self.model.tokenize, self.alphabet
+            ids: list[int] = []
+            counts: list[int] = []
+            for text, plain in zip(new, letters):
+                if plain:
+                    text = text.lower()
+                    if not text.isascii():
+                        text = text.encode().decode("latin-1").translate(alphabet)
+                    ids += [t.id for t in tokenize(text)]
+                else:
+                    ids += next(whole).ids
+                counts.append(len(ids))
+            count = np.diff(np.array([0, *counts]))
+            self.row.update(zip(new, range(len(self.row), len(self.row) + len(new))))
+            self.begin = np.r_[self.begin, len(self.table) + np.cumsum(count) - count]
+            self.count = np.r_[self.count, count]
+            self.table = np.r_[self.table, np.array(ids, np.uint32)]
+        rows = np.fromiter(map(self.row.__getitem__, texts), np.int64, len(texts))
+        return rows[coded.indices.to_numpy(zero_copy_only=False)]
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the number of ids of each text."""
-        split = [t.split() for t in texts]
-        sizes = np.array([len(w) for w in split], np.int64)
-        flat = [w for words in split for w in words]
-        if not flat:
-            return np.zeros(0, np.uint32), sizes
-        codes, distinct = word_codes(flat)
-        # The tokenizer lower-cases; doing it here makes fewer pieces.
-        parts = [self._parts(w if b"<" in w else w.lower()) for w in distinct]
-        self._learn([p for p in dict.fromkeys(p for ps in parts for p in ps) if p not in self.known])
-        known = self.known
-        per_word = [known[ps[0]] if len(ps) == 1 else known[ps[0]] + known[ps[1]] for ps in parts]
-        count = np.fromiter(map(len, per_word), np.int64, len(per_word))
-        table = np.fromiter((i for ids in per_word for i in ids), np.uint32, int(count.sum()))
+        if len(self.row) > self.MOST_PIECES:
+            self._forget()
+        if not pc.any(pc.match_substring(texts, "<|")).as_py():
+            # The tokenizer lower-cases; doing it here makes fewer pieces. The
+            # names of special tokens are the exception.
+            texts = pc.ascii_lower(texts)
+        codes, words, sizes = split_words(texts)
+        core = pc.ascii_rtrim(words, characters=_PUNCTUATION)
+        plain = pc.match_substring_regex(core, f"^[{self.LETTERS}]+$")
+        tail = pc.replace_substring_regex(words, f"^[{self.LETTERS}]+", "")
+        rows = np.stack([self._rows(pc.if_else(plain, core, words)),
+                         self._rows(pc.if_else(plain, tail, ""))], axis=1)
+        table = self.table[ranges(self.begin[rows].reshape(-1), self.count[rows].reshape(-1))]
+        count = self.count[rows].sum(axis=1)
         begin = np.cumsum(count) - count
         out = table[ranges(begin[codes], count[codes])]
         ends = np.r_[0, np.cumsum(count[codes])]
@@ -112,8 +133,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
         encoder = None
         for batch in batches:
             encoder = encoder or WordEncoder(tokenizer.value)
-            for part in text_slices(batch):
-                ids, count = encoder.ids(text_bytes(part.column("text")))
+            for part in text_slices(batch, budget=2 * CHUNK_BYTES):
+                ids, count = encoder.ids(part.column("text"))
                 total = count + 1
                 ends = np.cumsum(total)
                 flat = np.full(int(ends[-1]), end_id, "<u4")

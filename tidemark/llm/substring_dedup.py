@@ -26,9 +26,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import (RangeHash, doc_key, hashes, mix, ranges, signed, split_by_keys,
-                                 stored, text_bytes, text_slices, word_codes)
+                                 split_words, stored, text_bytes, text_slices)
 
 WINDOW = 50
 #: Rounds of run and pair naming: symbols of about six words, four or five of
@@ -148,13 +149,11 @@ _ANCHOR = pa.struct([("sym", pa.int64()), ("ctx", pa.int64()), ("len", pa.int32(
                      ("at", pa.int32()), ("more", pa.list_(pa.int32()))])
 
 
-def _sequence(texts: list[bytes], seeds: tuple[int, ...]):
+def _sequence(texts: pa.Array, seeds: tuple[int, ...]):
     """Hash sequences of all words of the texts, with a separator of its own
     before each text and after the last, and the place of each text's words."""
-    split = [t.split() for t in texts]
-    sizes = np.array([len(w) for w in split], np.int64)
+    codes, distinct, sizes = split_words(texts)
     begin = np.cumsum(sizes) - sizes + np.arange(1, len(sizes) + 1)
-    codes, distinct = word_codes([w for words in split for w in words])
     total = int(sizes.sum()) + len(sizes) + 1
     is_word = np.ones(total, bool)
     is_word[begin - 1] = False
@@ -174,7 +173,7 @@ def parse(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
-                (seq,), begin, sizes = _sequence(text_bytes(part.column("text")), (7,))
+                (seq,), begin, sizes = _sequence(part.column("text"), (7,))
                 count = np.maximum(sizes - window + 1, 0)
                 symbol, digest, first, last = anchors(seq, ranges(begin, count), window)
                 doc = np.searchsorted(begin, first, "right") - 1
@@ -206,7 +205,7 @@ def _window_digests(docs: DataFrame, window: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
-                (one, two), begin, _ = _sequence(text_bytes(part.column("text")), (7, 11))
+                (one, two), begin, _ = _sequence(part.column("text"), (7, 11))
                 doc, at, length, more = [], [], [], []
                 for i, segs in enumerate(part.column("segs").to_pylist()):
                     for g in segs:
@@ -272,7 +271,10 @@ def _covered(n: int, cuts, window: int) -> np.ndarray:
     return np.cumsum(step[:n]) > 0
 
 
-def _keep_words(docs: DataFrame, window: int) -> DataFrame:
+def _keep_words(docs: DataFrame, window: int, columns: list[str]) -> DataFrame:
+    """``columns`` and ``n_words, n_removed, kept`` of every document."""
+    fields = [f for f in docs.schema.fields if f.name in columns]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
@@ -280,28 +282,25 @@ def _keep_words(docs: DataFrame, window: int) -> DataFrame:
                 texts = text_bytes(part.column("text"))
                 for text, cuts in zip(texts, part.column("cuts").to_pylist()):
                     words = text.split()
-                    gone = 0
-                    if cuts:
-                        covered = _covered(len(words), cuts, window)
-                        gone = int(covered.sum())
-                        left = [w for w, c in zip(words, covered.tolist()) if not c]
-                    else:
-                        left = words
+                    covered = _covered(len(words), cuts, window)
                     total.append(len(words))
-                    removed.append(gone)
-                    kept.append(b" ".join(left))
+                    removed.append(int(covered.sum()))
+                    kept.append(b" ".join(w for w, c in zip(words, covered.tolist()) if not c)
+                                if cuts else b" ".join(words))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
-                     pa.array(kept, pa.large_binary()).cast(pa.string())],
-                    ["doc_id", "n_words", "n_removed", "kept"])
+                    [*(part.column(c) for c in columns), pa.array(total, pa.int64()),
+                     pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
+                    [*columns, "n_words", "n_removed", "kept"])
 
-    return docs.select("doc_id", "text", "cuts").mapInArrow(
-        run, "doc_id long, n_words long, n_removed long, kept string")
+    return docs.select(*columns, "text", "cuts").mapInArrow(run, T.StructType(fields + [
+        T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
+        T.StructField("kept", T.StringType())]))
 
 
 def _with_cuts(docs: DataFrame, window: int) -> DataFrame:
-    """Documents with ``id``, ``tk`` and the array ``cuts`` (null: nothing to remove)."""
-    docs = docs.withColumns({"id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "tk": doc_key(F.col("text"))})
+    """Rows ``doc_id, text, ...`` with the array ``cuts`` (null: nothing goes)."""
+    docs = docs.withColumns({"id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
+                             "tk": doc_key(F.col("text"))})
     cuts = stored(repeated_ranges(docs.select("id", "tk", "text"), window), "cuts")
     hit, miss = split_by_keys(docs, cuts, ["id", "tk"])
     return hit.join(cuts, ["id", "tk"], "left").unionByName(miss, allowMissingColumns=True)
@@ -319,4 +318,17 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     repeated rows get equal results; an empty table gives no rows. Other
     columns are not read.
     """
-    return _keep_words(_with_cuts(docs.select("doc_id", "text"), window), window)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return _keep_words(_with_cuts(docs, window), window, ["doc_id"])
+
+
+def strip_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Rows of ``docs``, all columns, with the kept words as text where words
+    go (and ``n_chars``, if there, set to its length); other texts unchanged."""
+    whole = docs.select("doc_id", "text", F.struct(*docs.columns).alias("doc"))
+    judged = _keep_words(_with_cuts(whole, window), window, ["doc"])
+    changed = F.col("n_removed") > 0
+    new = {"text": F.col("kept"), "n_chars": F.length("kept")}
+    return judged.select(*[
+        (F.when(changed, new[f.name].cast(f.dataType)).otherwise(F.col("doc")[f.name])
+         if f.name in new else F.col("doc")[f.name]).alias(f.name) for f in docs.schema.fields])

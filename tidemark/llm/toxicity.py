@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, text_bytes, text_slices, word_codes
+from tidemark.llm.common import split_words, stored, text_bytes, text_slices
 
 THRESHOLD = 0.3
 #: Labelled documents that the grammar is learned from, at most.
@@ -65,7 +65,7 @@ SEEDS = {
 # ---------------------------------------------------------------------------
 
 _STRIP = "\"'.,;:!?()[]{}<>*#%&$|…„“”«»¡¿-_"
-_BREAKS = b".,;:!?"
+_BREAK_SET = frozenset((b".", b",", b";", b":", b"!", b"?"))
 
 #: State of the clause transducer: bits for a seen target and a report, then
 #: the words that a negation still governs.
@@ -135,24 +135,22 @@ class Lexicon:
         return hit
 
 
-def pattern_weights(texts: list[bytes], lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray]:
+def pattern_weights(texts: pa.Array, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray]:
     """Summed weight of each pattern in each text, a word form that repeats in
     a pattern counting once, and, as the last column, the
     number of words; and the number of matched clauses."""
-    split = [t.split() for t in texts]
-    sizes = np.array([len(w) for w in split], np.int64)
+    codes, distinct, sizes = split_words(texts)
+    distinct = distinct.cast(pa.binary()).to_pylist()
     weights = np.zeros((len(texts), len(PATTERNS) + 1))
     weights[:, -1] = sizes
     matched = np.zeros(len(texts), np.int64)
-    flat = [w for words in split for w in words]
-    if not flat:
+    if not len(codes):
         return weights, matched
-    codes, distinct = word_codes(flat)
     known = [lexicon(w) for w in distinct]
     cls = np.array([k[0] for k in known], np.int8)
-    ends = np.array([w[-1] in _BREAKS for w in distinct])
+    ends = np.array([w[-1:] in _BREAK_SET for w in distinct])
     text_of = np.repeat(np.arange(len(texts)), sizes)
-    last = np.cumsum(sizes)[text_of] - 1 == np.arange(len(flat))
+    last = np.cumsum(sizes)[text_of] - 1 == np.arange(len(codes))
     clause = np.r_[0, np.cumsum(ends[codes] | last)[:-1]]
     word_class = cls[codes]
     active = np.zeros(int(clause[-1]) + 1, bool)
@@ -282,11 +280,11 @@ def _weights_of(docs: DataFrame, arcs: list[dict], columns: list[str], schema: s
         for batch in batches:
             for part in text_slices(batch):
                 half = part.column("half").to_numpy(zero_copy_only=False)
-                texts = text_bytes(part.column("text"))
+                texts = part.column("text")
                 weights = np.zeros((len(texts), len(PATTERNS) + 1))
                 for h, lexicon in enumerate(lexicons):
                     mine = np.flatnonzero(half == h)
-                    weights[mine] = pattern_weights([texts[i] for i in mine], lexicon)[0]
+                    weights[mine] = pattern_weights(texts.take(pa.array(mine)), lexicon)[0]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in columns),
                      pa.ListArray.from_arrays(
@@ -359,7 +357,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
         lexicon = Lexicon(model.arcs)
         for batch in batches:
             for part in text_slices(batch):
-                weights, matched = pattern_weights(text_bytes(part.column("text")), lexicon)
+                weights, matched = pattern_weights(part.column("text"), lexicon)
                 scores = model.scores(weights)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(scores), pa.array((scores >= threshold).astype(np.int32)),
@@ -383,7 +381,7 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
         lexicon = Lexicon(model.arcs)
         for batch in batches:
             for part in text_slices(batch):
-                weights, _ = pattern_weights(text_bytes(part.column("text")), lexicon)
+                weights, _ = pattern_weights(part.column("text"), lexicon)
                 yield part.filter(pa.array(model.scores(weights) < threshold))
 
     return docs.mapInArrow(run, docs.schema)
