@@ -22,12 +22,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, text_bytes, text_slices
+from tidemark.llm.common import doc_key, split_by_keys, stored, text_bytes, text_slices
 from tidemark.llm.components import connected_components
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
 HASH_SEED = 42
+#: Stands for a null doc_id, which sorts after every other.
+NO_ID = (1 << 63) - 1
 #: First bit and width of each segment.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: Generator polynomial of the (23, 12) Golay code.
@@ -54,15 +56,18 @@ def fingerprint(text: bytes, shingle: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a signed long) of every document."""
+    """``doc_id, tk, fp``: digest of the text and fingerprint (its 64 bits as a
+    signed long) of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
                 fps = np.array([fingerprint(t, shingle) for t in text_bytes(part.column("text"))], np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fps.view(np.int64))],
-                                                 ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("tk"), pa.array(fps.view(np.int64))],
+                    ["doc_id", "tk", "fp"])
 
-    return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), doc_key(F.col("text")).alias("tk"), "text") \
+        .mapInArrow(run, "doc_id long, tk long, fp long")
 
 
 class Golay:
@@ -138,6 +143,21 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return offers.join(wants, (offers.key == wants.key) & close).select("u", "v").distinct()
 
 
+def _components(docs: DataFrame, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints of all rows, and ``fp, first, root``: each distinct
+    fingerprint with its smallest doc_id and its component.
+
+    Equal fingerprints are merged before the join, so a group of copies costs
+    one key set however large it is; links are found between different
+    fingerprints only.
+    """
+    rows = stored(fingerprints(docs, shingle), "simhash")
+    nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-nodes")
+    roots = connected_components(links(nodes, max_bits))
+    return rows, nodes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left") \
+        .select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS,
                     max_bits: int = MAX_BITS) -> DataFrame:
     """``doc_id, fingerprint, component_id`` of every document row.
@@ -148,17 +168,27 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS,
     reachable over links (null only if no document of the component has an
     id). Repeated rows each get a row, an empty table gives none, and other
     columns are not read.
-
-    Equal fingerprints are merged before the join, so a group of copies costs
-    one key set however large it is; links are found between different
-    fingerprints only.
     """
-    rows = stored(fingerprints(docs, shingle), "simhash")
-    nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-nodes")
-    roots = connected_components(links(nodes, max_bits))
-    member = nodes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left") \
-        .select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    rows, member = _components(docs, shingle, max_bits)
     smallest = member.groupBy("root").agg(F.min("first").alias("component_id"))
     component = member.join(smallest, "root").select("fp", "component_id")
     return rows.join(component, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """Rows of ``docs``, all columns: of every component the document with the
+    smallest doc_id (null last; then by a digest of the text), once."""
+    rows, member = _components(docs, shingle, max_bits)
+    rows = rows.withColumn("id", F.coalesce("doc_id", F.lit(NO_ID)))
+    placed = stored(rows.join(member.select("fp", "root"), "fp").select("id", "tk", "root"), "members")
+    best = placed.groupBy("root").agg(F.min(F.struct("id", "tk")).alias("best"))
+    losers = stored(placed.join(best, "root").where(F.struct("id", "tk") != F.col("best"))
+                    .select("id", "tk").distinct(), "losers")
+    repeated = placed.groupBy("id", "tk").agg(F.count("*").alias("n")).where("n > 1").select("id", "tk")
+    keyed = docs.select(F.struct(*docs.columns).alias("doc"),
+                        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
+                        doc_key(F.col("text")).alias("tk"))
+    touched, others = split_by_keys(keyed, losers.union(repeated), ["id", "tk"])
+    kept = touched.join(losers, ["id", "tk"], "left_anti").dropDuplicates(["id", "tk"])
+    return kept.select("doc.*").union(others.select("doc.*"))
