@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -44,6 +45,7 @@ IMPLIED = {
     "tfoot": ({"caption", "colgroup", "thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}),
     "body": ({"head"}, {"html"}),
 }
+TABLE_PARTS = frozenset("caption colgroup col tbody td tfoot th thead tr".split())
 # Elements that an end tag of something outside does not reach through.
 SCOPE = frozenset("table td th caption button object template html".split())
 # ---------------------------------------------------------------------------
@@ -70,20 +72,25 @@ def parse(page: str) -> Node:
     """Element tree of a page; children are nodes and text strings."""
     root = Node("#root", "")
     stack = [root]
+    open_: Counter = Counter()  # open elements by tag
+
+    def end_from(i: int) -> None:
+        open_.subtract(n.tag for n in stack[i:])
+        del stack[i:]
 
     def close(tags, stop) -> None:
+        """End the nearest element of ``tags`` and those of them right above
+        it (a table row ends a cell and the row around it)."""
+        if not any(open_[t] for t in tags):
+            return
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in tags:
-                del stack[i:]
-                return close_more(tags, stop)
+                while i > 1 and stack[i - 1].tag in tags:
+                    i -= 1
+                return end_from(i)
             if stack[i].tag in stop:
                 return
 
-    def close_more(tags, stop) -> None:
-        # A table row may end a cell and the row around it.
-        while len(stack) > 1 and stack[-1].tag in tags:
-            stack.pop()
-
     at, end = 0, len(page)
     no_comment_end = False
     while at < end:
@@ -113,15 +120,15 @@ def parse(page: str) -> Node:
                 tag = m.group().lower()
                 if tag == "br":
                     stack[-1].children.append(Node("br", ""))
-                elif tag == "p" and not any(n.tag == "p" for n in stack[1:]):
+                elif tag == "p" and not open_["p"]:
                     stack[-1].children.append(Node("p", ""))
-                else:
+                elif open_[tag]:
                     stop_at = frozenset() if tag in SCOPE else SCOPE - {"html"}
                     if tag in ("tr", "tbody", "thead", "tfoot", "table"):
                         stop_at = frozenset({"table"}) - {tag}
                     for i in range(len(stack) - 1, 0, -1):
                         if stack[i].tag == tag:
-                            del stack[i:]
+                            end_from(i)
                             break
                         if stack[i].tag in stop_at:
                             break
@@ -141,13 +148,10 @@ def parse(page: str) -> Node:
                 gt = full.end() - 1
         attrs = page[m.end():gt]
         at = gt + 1
-        if tag in CLOSES_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":
-                    del stack[i:]
-                    break
-                if stack[i].tag in SCOPE:
-                    break
+        if tag in TABLE_PARTS and not open_["table"]:
+            continue
+        if tag in CLOSES_P and open_["p"]:
+            close({"p"}, SCOPE)
         if tag in IMPLIED:
             close(*IMPLIED[tag])
         node = Node(tag, attrs)
@@ -167,6 +171,7 @@ def parse(page: str) -> Node:
             continue
         if not attrs.endswith("/") or tag not in ("svg", "path", "circle", "rect"):
             stack.append(node)
+            open_[tag] += 1
     return root
 
 
@@ -299,18 +304,12 @@ def render(root: Node) -> str:
             flow.block(True)
             continue
         if tag in ("td", "th"):
-            if not tables:
-                tables.append([])
-                todo.append(("table", x))
             if not tables[-1]:
                 tables[-1].append([])
             flows.append(Flow())
             todo.append((tag, x))
         elif tag == "tr":
-            if tables:
-                tables[-1].append([])
-            else:
-                flow.block(False)
+            tables[-1].append([])
         elif tag == "table":
             flow.block(True)
             tables.append([])
