@@ -71,4 +71,4 @@ def test_the_subpackage_stands_alone():
         for name in names:
             if name.endswith(".py") and os.sep + "llm" not in folder:
                 with open(os.path.join(folder, name)) as f:
-                    assert "llm" not in f.read(), name
+                    assert "tidemark.llm" not in f.read(), name

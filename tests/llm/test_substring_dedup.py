@@ -64,7 +64,7 @@ def test_equals_brute_force(spark, odd_docs):
     got = [tuple(r) for r in remove_repeats(doc_frame(spark, rows)).collect()]
     wanted = brute(rows)
     assert sorted(got, key=str) == wanted
-    assert sum(w[2] > 0 for w in wanted) > 10
+    assert sum(w[2] > 0 for w in wanted) >= 10
 
 
 def test_rows_keep_their_columns(spark, odd_docs):

@@ -20,6 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidemark.llm.common import CHUNK_BYTES, ranges, split_words, stored, text_slices
@@ -342,34 +343,32 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     table = np.array(sorted(plan.rows), np.int64).reshape(-1, 6)
     shared = spark.sparkContext.broadcast(table)
 
-    share = pieces.join(F.broadcast(sizes), "length").withColumn(
+    rows = pieces.select("doc_id", "piece", "length", F.struct(*pieces.columns).alias("whole"))
+    share = rows.join(F.broadcast(sizes), "length").withColumn(
         "part", F.pmod(F.xxhash64("doc_id", "piece"), F.ceil(F.col("n") / RANK_ROWS))).drop("n")
     within = F.row_number().over(Window.partitionBy("length", "part").orderBy("doc_id", "piece"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = share.groupBy("length", "part").agg(F.count("*").alias("n")).select(
         "length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     ranked = share.withColumn("within", within).join(starts, ["length", "part"]) \
-        .withColumn("rank", F.col("before") + F.col("within") - 1).drop("before", "within", "part")
-
-    columns = pieces.columns
+        .select("whole", "length", (F.col("before") + F.col("within") - 1).alias("rank"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = shared.value
+        plan = shared.value
         for batch in batches:
             length = batch.column("length").to_numpy()
             rank = batch.column("rank").to_numpy()
             # Rows are sorted by length and first rank; documents never number 2**50.
-            at = np.searchsorted((rows[:, 0] << 50) + rows[:, 1], (length << 50) + rank, "right") - 1
-            _, first, _, sequence, offset, each = rows[at].T
+            at = np.searchsorted((plan[:, 0] << 50) + plan[:, 1], (length << 50) + rank, "right") - 1
+            _, first, _, sequence, offset, each = plan[at].T
             nth = rank - first
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in columns),
-                 pa.array(sequence + nth // each), pa.array(offset + nth % each * length)],
-                [*columns, "sequence_id", "offset"])
+                [batch.column("whole"), pa.array(sequence + nth // each), pa.array(offset + nth % each * length)],
+                ["whole", "sequence_id", "offset"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return ranked.select(*columns, "rank").mapInArrow(
-        place, f"{fields}, sequence_id long, offset long")
+    placed = ranked.mapInArrow(place, T.StructType([
+        ranked.schema["whole"], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]))
+    return placed.select("whole.*", "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
