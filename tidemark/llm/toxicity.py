@@ -34,9 +34,11 @@ CLEAN_SAMPLE = 8000
 PREFIXES = (3, 4, 5, 6, 7, 8)
 #: A beginning becomes an arc only if no single word makes up more of its documents.
 MOST_OF_ONE_WORD = 0.6
-#: Toxic documents that a candidate arc needs, and candidates kept, at most.
+#: Toxic documents and log odds that a candidate arc needs, and the candidates
+#: with the most evidence that the driver judges, at most.
 LEAST_DOCS = 3
-MOST_CANDIDATES = 200_000
+LEAST_ODDS = 0.7
+MOST_CANDIDATES = 30_000
 MOST_ARCS = 20_000
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
@@ -208,17 +210,17 @@ def _seed_arcs() -> dict[str, tuple[int, float]]:
             for c, words in SEEDS.items() for w in words.split()}
 
 
-def _learn_arcs(counts: dict[str, tuple[int, int]], toxic: int, clean: int) -> dict[str, tuple[int, float]]:
+def _learn_arcs(counts: dict[str, tuple[int, int]], toxic: int, clean: int, candidates: int) -> dict[str, tuple[int, float]]:
     """Arcs from document counts (toxic, clean) of the candidates.
 
     A candidate becomes an insult arc if the log-likelihood ratio of its counts
-    exceeds what the best of as many random candidates would reach; its weight
+    exceeds what the best of ``candidates`` random ones would reach; its weight
     is the smoothed log odds."""
     arcs = _seed_arcs()
     if not toxic or not clean:
         return arcs
     rate = toxic / (toxic + clean)
-    bar = 2 * math.log(max(2, len(counts)))
+    bar = 2 * math.log(max(2, candidates))
     found = []
     top: Counter = Counter()  # toxic documents of the commonest word of each beginning
     for f, (t, _) in counts.items():
@@ -240,35 +242,34 @@ def _learn_arcs(counts: dict[str, tuple[int, int]], toxic: int, clean: int) -> d
     return arcs
 
 
-def _count_features(sample: DataFrame, only: set[str] | None) -> DataFrame:
-    """``feature, half, n``: documents of each half of the sample that have it."""
-    wanted = sample.sparkSession.sparkContext.broadcast(only)
-
+def _count_features(sample: DataFrame) -> DataFrame:
+    """``feature, t0, t1, c0, c1``: toxic and clean documents of either half of
+    the sample that have a candidate, if ``LEAST_DOCS`` toxic ones do."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = wanted.value
         forms: dict[bytes, list[str]] = {}
         for batch in batches:
             for part in text_slices(batch):
                 counts: Counter = Counter()
-                for half, text in zip(part.column("half").to_pylist(), text_bytes(part.column("text"))):
+                kinds = (2 * part.column("toxic").to_numpy() + part.column("half").to_numpy()).tolist()
+                for kind, text in zip(kinds, text_bytes(part.column("text"))):
                     have = set()
                     for w in set(text.split()):
                         fs = forms.get(w)
                         if fs is None:
                             fs = features_of(normal_form(w))
-                            if known is not None:
-                                fs = [f for f in fs if f in known]
-                            if len(forms) < 1_000_000:
+                            if len(forms) < 500_000:
                                 forms[w] = fs
                         have.update(fs)
-                    counts.update((f, half) for f in have)
+                    counts.update((f, kind) for f in have)
                 keys = list(counts)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
-                     pa.array([counts[k] for k in keys], pa.int64())], ["feature", "half", "n"])
+                     pa.array(list(counts.values()), pa.int64())], ["feature", "kind", "n"])
 
-    return sample.select("half", "text").mapInArrow(run, "feature string, half int, n long") \
-        .groupBy("feature", "half").agg(F.sum("n").alias("n"))
+    rows = sample.select("toxic", "half", "text").mapInArrow(run, "feature string, kind int, n long")
+    return rows.groupBy("feature").agg(*[
+        F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(c)
+        for k, c in enumerate(("c0", "c1", "t0", "t1"))]).where(F.col("t0") + F.col("t1") >= LEAST_DOCS)
 
 
 def _weights_of(docs: DataFrame, arcs: list[dict], columns: list[str], schema: str) -> DataFrame:
@@ -322,19 +323,17 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, toxic_sample: int =
     fixed = Model(_seed_arcs(), np.array([-4.0, 0.5, 1, 1, 2, 0, 0, 1, 0, 2]))
     if not sum(kinds[0]) or not sum(kinds[1]):
         return fixed
-    toxic_counts = _count_features(sample.where("toxic = 1"), None)
-    candidates = [r.feature for r in toxic_counts.groupBy("feature").agg(F.sum("n").alias("n"))
-                  .where(F.col("n") >= LEAST_DOCS).orderBy(F.desc("n"), "feature")
-                  .limit(MOST_CANDIDATES).collect()]
-    only = set(candidates) | set(_seed_arcs())
-    counts: dict[str, list[list[int]]] = {}
-    for t in (0, 1):
-        for r in _count_features(sample.where(F.col("toxic") == t), only).collect():
-            counts.setdefault(r.feature, [[0, 0], [0, 0]])[t][r.half] = r.n
+    counted = stored(_count_features(sample), "features")
+    candidates = counted.count()
+    toxic, clean = F.col("t0") + F.col("t1"), F.col("c0") + F.col("c1")
+    odds = F.log((toxic + 0.5) / (sum(kinds[1]) + 1)) - F.log((clean + 0.5) / (sum(kinds[0]) + 1))
+    leaning = counted.where((odds > LEAST_ODDS) | F.col("feature").isin(list(_seed_arcs())))
+    counts = {r.feature: r for r in
+              leaning.orderBy((odds * toxic).desc(), "feature").limit(MOST_CANDIDATES).collect()}
 
     def arcs(halves: tuple[int, ...]) -> dict[str, tuple[int, float]]:
-        pairs = {f: (sum(n[1][h] for h in halves), sum(n[0][h] for h in halves)) for f, n in counts.items()}
-        return _learn_arcs(pairs, sum(kinds[1][h] for h in halves), sum(kinds[0][h] for h in halves))
+        pairs = {f: (sum(r[f"t{h}"] for h in halves), sum(r[f"c{h}"] for h in halves)) for f, r in counts.items()}
+        return _learn_arcs(pairs, sum(kinds[1][h] for h in halves), sum(kinds[0][h] for h in halves), candidates)
 
     seen = _weights_of(sample, [arcs((1,)), arcs((0,))], ["toxic"], "toxic int, weights array<double>").collect()
     weights = np.array([r.weights for r in seen])
