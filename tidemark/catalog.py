@@ -355,22 +355,28 @@ def q_recent_runs(spark, sf_dir):
 
 @register("run_kpis")
 def q_run_kpis(spark, sf_dir):
+    return health.run_kpis(runs(spark, sf_dir))
+
+
+@register("run_kpis_page")
+def q_run_kpis_page(spark, sf_dir):
+    """M6 over the health page's window of the latest 200 runs."""
     return health.run_kpis(runs(spark, sf_dir), 200)
 
 
 @register("run_outcomes")
 def q_run_outcomes(spark, sf_dir):
-    return health.run_outcomes(runs(spark, sf_dir), 200)
+    return health.run_outcomes(runs(spark, sf_dir))
 
 
 @register("ingest_by_partition")
 def q_ingest_by_partition(spark, sf_dir):
-    return health.ingest_by_partition(runs(spark, sf_dir), 200)
+    return health.ingest_by_partition(runs(spark, sf_dir))
 
 
 @register("run_durations")
 def q_run_durations(spark, sf_dir):
-    return health.run_durations(runs(spark, sf_dir), 200)
+    return health.run_durations(runs(spark, sf_dir))
 
 
 @register("freshness")
@@ -386,4 +392,4 @@ def q_sla_status(spark, sf_dir):
 @register("overall_status")
 def q_overall_status(spark, sf_dir):
     b = bronze(spark, sf_dir)
-    return health.overall_status(binding.runs(b), b, AS_OF, 200)
+    return health.overall_status(binding.runs(b), b, AS_OF)

@@ -25,57 +25,37 @@ from tidemark.functions.columns import ACTIVITY_COLUMNS, momentum_score, surroga
 from tidemark.schemas import FACT_COLUMNS
 
 
-def _names(stg: DataFrame, keys: list[str], column: str, rule: str) -> DataFrame:
-    """The name label of each group, one row per key.
-
-    ``max`` (default) is the lexicographic maximum, which is what the studied
-    pipeline reports as the "latest-seen" name; ``latest`` is the name on
-    the group's most recent event.
-
-    A string buffer forces a sort-based aggregate, so ``max`` first reduces
-    the rows to one per (keys, name) with a hash aggregate (the name is a key,
-    the only buffer a count) and takes the maximum over that short list; the
-    sort then runs on a handful of rows per group instead of every event.
-    The maximum reads the count (always positive) so that the optimizer,
-    which would otherwise fold a duplicate-agnostic ``max`` over a distinct
-    back into one sort-based aggregate of the raw rows, keeps both steps.
-    """
-    if rule == "max":
-        per_name = stg.groupBy(*keys, column).agg(F.count("*").alias("__n"))
-        return per_name.groupBy(*keys).agg(
-            F.max(F.when(F.col("__n") > 0, F.col(column))).alias(column))
-    if rule == "latest":
-        return stg.groupBy(*keys).agg(F.max_by(column, F.col("created_at_utc")).alias(column))
-    raise ValueError(f"unknown name rule {rule!r}")
+NAME_RULES = ("max", "latest")
 
 
-def _with_names(counts: DataFrame, names: DataFrame, keys: list[str]) -> DataFrame:
-    """Attach the name to its group.
+def named_latest(counts: DataFrame, stg: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """``counts`` with the name on each group's most recent event instead of
+    the lexicographic maximum; of events at the same instant the one with the
+    greatest event id counts.
 
     A plain equi-join on the group keys, which are never null in the silver
-    table (its contract rejects null ids and times). Both sides come out of
-    aggregations hash-partitioned on exactly these keys, so the join adds no
-    exchange; a null-safe condition would rewrite the keys and force one.
+    table (its contract rejects null ids and times); both sides come out of
+    aggregations hash-partitioned on exactly these keys.
     """
-    return counts.join(names, keys)
-
+    names = stg.groupBy(*keys).agg(
+        F.max_by(column, F.struct("created_at_utc", "event_id")).alias("__name"))
+    return counts.join(names, keys).withColumn(column, F.col("__name")).select(*counts.columns)
 
-def _per_member(stg: DataFrame, keys: list[str], member: str, *aggs: Column) -> DataFrame:
-    """First step of an exact distinct count: one row per (keys, member).
 
-    All buffers are fixed-width, so this is a hash aggregate with a map-side
-    partial step; a group holding a large share of the rows spreads over its
-    members, and a single hot member collapses inside each map task.
-    """
-    return stg.groupBy(*keys, member).agg(*aggs)
+def _rule(name_rule: str) -> bool:
+    """Whether names need the silver table."""
+    if name_rule not in NAME_RULES:
+        raise ValueError(f"unknown name rule {name_rule!r}")
+    return name_rule == "latest"
 
 
 ROLLUP_KEYS = ["repo_id", "event_date", "actor_id", "repo_name", "actor_login"]
 
 
 def activity_rollup(stg: DataFrame) -> DataFrame:
-    """One row per (repo, day, actor, repo name, actor login): the compact
-    base that daily activity and both dimensions are derived from.
+    """One row per (repo, day, actor, repo name, actor login): the base that
+    daily activity and both dimensions are derived from. It is smaller than
+    silver only as far as actors repeat in a repository on a day.
 
     A single hash aggregate over the raw events (names are keys, every buffer
     is fixed-width), with a map-side partial step, so silver is scanned and
@@ -121,28 +101,11 @@ def daily_from_rollup(rollup: DataFrame) -> DataFrame:
     )
 
 
-def repo_daily_activity(stg: DataFrame, name_rule: str = "max") -> DataFrame:
+def repo_daily_activity(stg: DataFrame, name_rule: str = "max",
+                        rollup: DataFrame | None = None) -> DataFrame:
     """A1: per (repo, UTC day) event counts, distinct actors, six type counts."""
-    if name_rule == "max":
-        return daily_from_rollup(activity_rollup(stg))
-    keys = ["repo_id", "event_date"]
-    kinds = [c for c, _ in ACTIVITY_COLUMNS]
-    per_actor = _per_member(
-        stg, keys, "actor_id",
-        F.count("*").alias("n"),
-        *[F.count_if(F.col("event_type") == F.lit(t)).alias(c) for c, t in ACTIVITY_COLUMNS],
-    )
-    counts = per_actor.groupBy(*keys).agg(
-        F.sum("n").alias("total_events"),
-        F.count("actor_id").alias("active_actors"),
-        *[F.sum(c).alias(c) for c in kinds],
-    )
-    return _with_names(counts, _names(stg, keys, "repo_name", name_rule), keys).select(
-        "repo_id", "repo_name", "event_date",
-        F.col("total_events").cast("bigint").alias("total_events"),
-        "active_actors",
-        *[F.col(c).cast("bigint").alias(c) for c in kinds],
-    )
+    daily = daily_from_rollup(activity_rollup(stg) if rollup is None else rollup)
+    return named_latest(daily, stg, ["repo_id", "event_date"], "repo_name") if _rule(name_rule) else daily
 
 
 def score_momentum(daily: DataFrame) -> DataFrame:
@@ -163,30 +126,6 @@ def repo_momentum(daily: DataFrame) -> DataFrame:
     )
 
 
-def _dimension_counts(rows: DataFrame, key: str, member: str, members_as: str,
-                      n: str | None) -> DataFrame:
-    count = F.sum(n) if n else F.count("*")
-    per_member = rows.groupBy(key, member).agg(
-        count.alias("n"),
-        F.min("first_seen_at" if n else "created_at_utc").alias("lo"),
-        F.max("last_seen_at" if n else "created_at_utc").alias("hi"),
-    )
-    return per_member.groupBy(key).agg(
-        F.min("lo").alias("first_seen_at"),
-        F.max("hi").alias("last_seen_at"),
-        F.sum("n").cast("bigint").alias("total_events"),
-        F.count(member).alias(members_as),
-    )
-
-
-def _dimension(stg: DataFrame, key: str, name: str, member: str, members_as: str,
-               name_rule: str) -> DataFrame:
-    if name_rule == "max":
-        return dimension_from_rollup(activity_rollup(stg), key, name, member, members_as)
-    counts = _dimension_counts(stg, key, member, members_as, None)
-    return _with_names(counts, _names(stg, [key], name, name_rule), [key])
-
-
 def dimension_from_rollup(rollup: DataFrame, key: str, name: str, member: str,
                           members_as: str) -> DataFrame:
     """A2/A3 from the rollup: exact, since sums, min/max, the name maximum and
@@ -207,22 +146,26 @@ def dimension_from_rollup(rollup: DataFrame, key: str, name: str, member: str,
     )
 
 
-def dim_repo(stg: DataFrame, name_rule: str = "max", rollup: DataFrame | None = None) -> DataFrame:
-    """A2: one row per repository."""
-    base = (dimension_from_rollup(rollup, "repo_id", "repo_name", "actor_id", "distinct_actors")
-            if rollup is not None else
-            _dimension(stg, "repo_id", "repo_name", "actor_id", "distinct_actors", name_rule))
+def _dimension(stg: DataFrame | None, key: str, name: str, member: str, members_as: str,
+               name_rule: str, rollup: DataFrame | None) -> DataFrame:
+    rows = activity_rollup(stg) if rollup is None else rollup
+    base = dimension_from_rollup(rows, key, name, member, members_as)
+    return named_latest(base, stg, [key], name) if _rule(name_rule) else base
+
+
+def dim_repo(stg: DataFrame | None, name_rule: str = "max", rollup: DataFrame | None = None) -> DataFrame:
+    """A2: one row per repository. The rule chooses the name only; all other
+    columns come from the rollup."""
+    base = _dimension(stg, "repo_id", "repo_name", "actor_id", "distinct_actors", name_rule, rollup)
     return base.select(
         surrogate_key("repo_id").alias("repo_sk"), "repo_id", "repo_name",
         "first_seen_at", "last_seen_at", "total_events", "distinct_actors",
     )
 
 
-def dim_actor(stg: DataFrame, name_rule: str = "max", rollup: DataFrame | None = None) -> DataFrame:
+def dim_actor(stg: DataFrame | None, name_rule: str = "max", rollup: DataFrame | None = None) -> DataFrame:
     """A3: one row per actor."""
-    base = (dimension_from_rollup(rollup, "actor_id", "actor_login", "repo_id", "distinct_repos")
-            if rollup is not None else
-            _dimension(stg, "actor_id", "actor_login", "repo_id", "distinct_repos", name_rule))
+    base = _dimension(stg, "actor_id", "actor_login", "repo_id", "distinct_repos", name_rule, rollup)
     return base.select(
         surrogate_key("actor_id").alias("actor_sk"), "actor_id", "actor_login",
         "first_seen_at", "last_seen_at", "total_events", "distinct_repos",

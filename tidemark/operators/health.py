@@ -1,7 +1,7 @@
 """Pipeline-health queries over the run ledger and bronze (M1-M9).
 
-The health page works on the latest 200 runs; ``latest_runs`` is that
-top-k (``TakeOrderedAndProject``, bounded), and M5-M9 read from it.
+M5-M9 cover the whole ledger; ``limit`` narrows them to the most recent runs
+(a page window), as a top-k.
 """
 
 from __future__ import annotations
@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import hour_boundaries, safe_ratio, sla_class
+from tidemark.sources.run_ledger import INGEST_ASSET
 
 RUN_VIEW_COLUMNS = ["recorded_at", "asset", "partition", "status", "rows", "duration_s", "error"]
-INGEST_ASSET = "raw.gh_events"
 
 
 def has_run_metadata(spark: SparkSession, ledger_path: str) -> bool:
@@ -25,8 +25,11 @@ def has_run_metadata(spark: SparkSession, ledger_path: str) -> bool:
     return bool(fs.exists(path))
 
 
-def latest_runs(runs: DataFrame, limit: int) -> DataFrame:
-    """The ``limit`` most recent runs (ties by run id), ledger columns kept."""
+def latest_runs(runs: DataFrame, limit: int | None) -> DataFrame:
+    """The ``limit`` most recent runs (ties by run id), ledger columns kept;
+    without a limit all of them."""
+    if limit is None:
+        return runs
     return runs.orderBy(F.desc("recorded_at"), "run_id").limit(int(limit))
 
 
@@ -58,8 +61,8 @@ def sla_status(fresh: DataFrame) -> DataFrame:
     return fresh.withColumn("sla", sla_class(F.col("hours_since_load")))
 
 
-def run_kpis(runs: DataFrame, limit: int = 200) -> DataFrame:
-    """M6: KPIs over the latest ``limit`` runs."""
+def run_kpis(runs: DataFrame, limit: int | None = None) -> DataFrame:
+    """M6: KPIs over the ledger, or its latest ``limit`` runs."""
     window = latest_runs(runs, limit)
     k = window.agg(
         F.count("*").alias("total_runs"),
@@ -77,7 +80,7 @@ def run_kpis(runs: DataFrame, limit: int = 200) -> DataFrame:
     )
 
 
-def overall_status(runs: DataFrame, bronze: DataFrame, as_of=None, limit: int = 200) -> DataFrame:
+def overall_status(runs: DataFrame, bronze: DataFrame, as_of=None, limit: int | None = None) -> DataFrame:
     """M5: healthy / failed / stale from the latest runs and freshness."""
     fresh = sla_status(freshness(bronze, as_of))
     failures = latest_runs(runs, limit).agg(F.count_if(F.col("status") == "failure")).scalar()
@@ -90,7 +93,7 @@ def overall_status(runs: DataFrame, bronze: DataFrame, as_of=None, limit: int =
     )
 
 
-def ingest_by_partition(runs: DataFrame, limit: int = 200) -> DataFrame:
+def ingest_by_partition(runs: DataFrame, limit: int | None = None) -> DataFrame:
     """M7: rows ingested per hour partition (ingest runs with a row count)."""
     return (
         latest_runs(runs, limit)
@@ -99,12 +102,12 @@ def ingest_by_partition(runs: DataFrame, limit: int = 200) -> DataFrame:
     )
 
 
-def run_outcomes(runs: DataFrame, limit: int = 200) -> DataFrame:
+def run_outcomes(runs: DataFrame, limit: int | None = None) -> DataFrame:
     """M8: runs per status."""
     return latest_runs(runs, limit).groupBy("status").agg(F.count("*").alias("runs"))
 
 
-def run_durations(runs: DataFrame, limit: int = 200) -> DataFrame:
+def run_durations(runs: DataFrame, limit: int | None = None) -> DataFrame:
     """M9: the run-duration series (runs with a duration)."""
     return (
         latest_runs(runs, limit).where(F.col("duration_s").isNotNull())

@@ -174,6 +174,15 @@ def _unique_row(df: DataFrame, model: str, column: str) -> DataFrame:
     return dup.agg(F.count("*").alias("f")).select(*_check_row("unique", model, column, F.col("f")))
 
 
+def _orphan_row(df: DataFrame, model: str, parent: DataFrame, key: str) -> DataFrame:
+    """Rows without a parent. The child is counted by key first, so a key that
+    many rows hold meets the parents once."""
+    by_key = df.groupBy(key).agg(F.count("*").alias("n"))
+    return check_relationship(by_key, parent, key).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("x")).select(
+        *_check_row("relationships", model, key, F.col("x")))
+
+
 def run_checks(tables: dict[str, DataFrame]) -> DataFrame:
     """Q9: every generic and singular test as one result table.
 
@@ -198,10 +207,8 @@ def run_checks(tables: dict[str, DataFrame]) -> DataFrame:
         _not_null_rows(da, "dim_actor", ["actor_sk", "actor_id"]),
         _unique_row(f, "fact_events", "event_id"),
         _not_null_rows(f, "fact_events", ["event_id", "repo_sk", "actor_sk"]),
-        check_relationship(f, dr, "repo_sk").agg(F.count("*").alias("x")).select(
-            *_check_row("relationships", "fact_events", "repo_sk", F.col("x"))),
-        check_relationship(f, da, "actor_sk").agg(F.count("*").alias("x")).select(
-            *_check_row("relationships", "fact_events", "actor_sk", F.col("x"))),
+        _orphan_row(f, "fact_events", dr, "repo_sk"),
+        _orphan_row(f, "fact_events", da, "actor_sk"),
         _not_null_rows(m, "agg_daily_repo_momentum", ["momentum_score"]),
         check_reconciliation(b, s, q).agg(F.count("*").alias("x")).select(
             *_check_row("assert_bronze_reconciliation", "raw.gh_events", None, F.col("x"))),
@@ -214,3 +221,60 @@ def run_checks(tables: dict[str, DataFrame]) -> DataFrame:
         out = out.unionByName(p)
     return out.withColumn(
         "status", F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail")))
+
+
+def monitor_checks(tables: dict[str, DataFrame], as_of) -> DataFrame:
+    """Freshness of the source and daily volume of the staged events, in the
+    form of ``run_checks``; a freshness warning is a status of its own."""
+    fresh = check_freshness(tables["bronze"], as_of).select(
+        *_check_row("source_freshness", "raw.gh_events", "_loaded_at", F.col("status") == "error"),
+        F.when(F.col("status") == "error", F.lit("fail")).otherwise(F.col("status")).alias("status"))
+    volume = volume_anomalies(tables["stg"]).agg(F.count_if("is_anomaly").alias("x")).select(
+        *_check_row("volume_anomaly", "stg_events", "event_date", F.col("x")),
+        F.when(F.col("x") == 0, F.lit("pass")).otherwise(F.lit("fail")).alias("status"))
+    return fresh.unionByName(volume)
+
+
+MODELS = {"bronze": "raw.gh_events", "stg": "stg_events", "quarantine": "quarantine_events",
+          "dim_repo": "dim_repo", "dim_actor": "dim_actor", "fact": "fact_events",
+          "momentum": "agg_daily_repo_momentum"}
+
+
+def schema_checks(tables: dict[str, DataFrame], snapshot: DataFrame | None) -> DataFrame:
+    """Schema changes of each model against a snapshot ``model, column_name,
+    data_type``; a model without one passes."""
+    spark = tables["bronze"].sparkSession
+    known: dict[str, T.StructType] = {}
+    for r in snapshot.collect() if snapshot is not None else []:  # one row per column
+        known.setdefault(r["model"], []).append((r["column_name"], r["data_type"]))
+    rows = []
+    for name, model in MODELS.items():
+        now, then = set(schema_rows(tables[name].schema)), set(known.get(model, []))
+        changed = {c for c, _ in now ^ then} if then else set()
+        rows.append(("schema_changes", model, None, len(changed), "fail" if changed else "pass"))
+    return spark.createDataFrame(
+        rows, "check_name string, model string, column_name string, failures long, status string")
+
+
+def log_checks(path: str, tables: dict[str, DataFrame], run_id: str, as_of) -> DataFrame:
+    """Q6-Q9: run every check, append the results under ``path`` with the run's
+    id and time, store the schemas for the next run, and return this run's rows."""
+    from tidemark.sources.tables import path_exists
+
+    spark = tables["bronze"].sparkSession
+    when = F.lit(as_of).cast("timestamp_ntz")
+    results, schemas = f"{path}/results", f"{path}/schemas"
+    snapshot = None
+    if path_exists(spark, schemas):
+        stored = spark.read.parquet(schemas)
+        newest = F.struct("checked_at", "run_id")
+        snapshot = stored.where(newest == stored.agg(F.max(newest)).scalar())
+    rows = run_checks(tables).unionByName(monitor_checks(tables, as_of)) \
+        .unionByName(schema_checks(tables, snapshot)) \
+        .select(F.lit(run_id).alias("run_id"), when.alias("checked_at"), "*")
+    rows.coalesce(1).write.mode("append").parquet(results)
+    columns = [(m, c, t) for n, m in MODELS.items() for c, t in schema_rows(tables[n].schema)]
+    spark.createDataFrame(columns, "model string, column_name string, data_type string") \
+        .select(F.lit(run_id).alias("run_id"), when.alias("checked_at"), "*") \
+        .coalesce(1).write.mode("append").parquet(schemas)
+    return spark.read.parquet(results).where(F.col("run_id") == run_id)

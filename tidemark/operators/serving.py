@@ -5,10 +5,10 @@ Conventions:
 * Every top-k orders by its metric and then by the natural key, so ties are
   resolved the same way on every run (``TakeOrderedAndProject``: each task
   keeps its own top k, one task merges k x tasks rows).
-* Metrics that need a grand total (shares, ratio to max, headline numbers)
-  take it from a scalar subquery (``DataFrame.scalar()``). Catalyst merges
-  sibling scalar subqueries over the same table into one scan, and nothing
-  is cross-joined or funnelled through an unpartitioned window.
+* The headline numbers come from scalar subqueries (``DataFrame.scalar()``).
+  Catalyst merges sibling scalar subqueries over the same table into one scan,
+  and nothing is cross-joined. Shares and ratios to a maximum are windows over
+  the few rows that their aggregate or top-k leaves.
 * Per-minute rollups key on the naive UTC minute; a hot minute collapses in
   the map-side partial aggregate.
 """
@@ -21,6 +21,10 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import event_bucket, is_bot, minute_of, safe_ratio
 
 
+#: Ids (8 bytes each) that may be broadcast: 8 MB.
+BROADCAST_IDS = 1_000_000
+
+
 def _name_filter(name: str | Column) -> Column:
     value = F.lit(name) if isinstance(name, str) else name
     return F.col("repo_name") == value
@@ -38,12 +42,13 @@ def peak_minute(fact: DataFrame) -> DataFrame:
 def bot_events(fact: DataFrame, dim_actor: DataFrame) -> DataFrame:
     """Events whose actor is a bot (``actor_id IN (bot actors)``).
 
-    Left-semi join on the bot actor set. Its size is not bounded by
-    anything, so no broadcast is forced: AQE measures it at runtime and
-    broadcasts it when it is small, or keeps a shuffled join (with skew
-    splitting for a hot actor) when it is not.
+    Left-semi join on the bot actor ids. They are counted first: up to
+    ``BROADCAST_IDS`` of them the fact is not shuffled at all; beyond it the
+    join is a shuffled one, with skew splitting for a hot actor.
     """
     bots = dim_actor.where(is_bot("actor_login")).select("actor_id")
+    if bots.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        bots = F.broadcast(bots)
     return fact.join(bots, "actor_id", "left_semi").select(*fact.columns)
 
 
@@ -109,12 +114,14 @@ def window_breakdown(fact: DataFrame, start, end) -> DataFrame:
     """Event-type counts for events in ``[start, end)``.
 
     The range is on the raw event time, so it reaches the Parquet scan as a
-    pushed filter.
+    pushed filter; the same range on the day partition leaves other days' files
+    unopened.
     """
     lo = F.lit(start).cast("timestamp_ntz")
     hi = F.lit(end).cast("timestamp_ntz")
     return (
-        fact.where((F.col("created_at_utc") >= lo) & (F.col("created_at_utc") < hi))
+        fact.where(F.col("event_date").between(F.to_date(lo), F.to_date(hi)))
+        .where((F.col("created_at_utc") >= lo) & (F.col("created_at_utc") < hi))
         .groupBy("event_type").agg(F.count("*").alias("events"))
         .orderBy(F.desc("events"), "event_type")
     )
@@ -146,14 +153,15 @@ def event_type_mix(fact: DataFrame) -> DataFrame:
 
 
 def share_of_total(df: DataFrame, value: str, name: str = "share") -> DataFrame:
-    """``value / sum(value)`` with the total from a scalar subquery."""
-    total = df.agg(F.sum(value).cast("double")).scalar()
+    """``value / sum(value)``. ``df`` is a mix of a few rows (one per type or
+    kind), so the total is a window over them and the input runs once."""
+    total = F.sum(value).over(Window.partitionBy()).cast("double")
     return df.withColumn(name, safe_ratio(F.col(value), total))
 
 
 def ratio_to_max(df: DataFrame, value: str, name: str = "ratio_to_max") -> DataFrame:
-    """``value / max(value)`` with the max from a scalar subquery."""
-    top = df.agg(F.max(value).cast("double")).scalar()
+    """``value / max(value)``, for a top-k's rows: one window over them."""
+    top = F.max(value).over(Window.partitionBy()).cast("double")
     return df.withColumn(name, safe_ratio(F.col(value), top))
 
 

@@ -8,12 +8,15 @@ time at fixed cutoffs.
 
 from __future__ import annotations
 
+import contextlib
 from datetime import datetime
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.catalog import bronze, landing, models, register
-from tidemark.operators import silver
+from tidemark.catalog import AS_OF, bronze, landing, models, register, runs
+from tidemark.functions.columns import file_instant, hour_file_name, hour_partition_key, partition_key_to_file
+from tidemark.operators import quality, silver
 from tidemark.operators.merge import merge_bronze, upsert
 from tidemark.plans.incremental import new_rows, read_model, refresh
 from tidemark.schemas import FACT_COLUMNS, STG_COLUMNS
@@ -62,6 +65,42 @@ def q_read_event_files_capped(spark, sf_dir):
     return capped.groupBy("_source_file", "_loaded_at").agg(F.count("*").alias("rows"))
 
 
+@register("read_event_files_capped_early")
+def q_read_event_files_capped_early(spark, sf_dir):
+    """S4 where every hour file goes on, past the cap, with a line that is no
+    event: what the cap leaves is read all the same."""
+    lines = landing(spark, sf_dir).select("_source_file", F.to_json(F.struct(
+        F.col("event_id").alias("id"), F.col("event_type").alias("type"))).alias("value"))
+    rank = F.row_number().over(Window.partitionBy("_source_file").orderBy("value"))
+    lines = lines.withColumn("rank", rank).select("_source_file", "rank", F.when(
+        F.col("rank") > CAP, "no event").otherwise(F.col("value")).alias("value"))
+    root = scratch_path(spark, "broken-hours")
+    (lines.repartition("_source_file").sortWithinPartitions("_source_file", "rank").drop("rank")
+     .write.partitionBy("_source_file").text(root))
+    kept = events_json.read_event_files(spark, root, max_events=CAP, loaded_at=AS_OF)
+    return kept.groupBy("event_type").agg(F.count("*").alias("rows"))
+
+
+@register("partition_key_files")
+def q_partition_key_files(spark, sf_dir):
+    """The hour key of every run that ingested one, and the file it names."""
+    keys = runs(spark, sf_dir).where("partition is not null").select("partition").distinct()
+    return keys.select("partition", partition_key_to_file(F.col("partition")).alias("file_name"))
+
+
+@register("merge_across_midnight")
+def q_merge_across_midnight(spark, sf_dir):
+    """S5 with one load stamp for everything: every redelivery sits in the next
+    hour's file, which is the next day's first one after 23:00."""
+    hour = file_instant("_source_file")
+    again = F.col("payload_action") == "redelivered"
+    rows = landing(spark, sf_dir).withColumns({
+        "_loaded_at": F.lit(AS_OF).cast("timestamp_ntz"),
+        "_source_file": F.when(again, hour_file_name(hour + F.expr("INTERVAL 1 HOUR")))
+        .otherwise(F.col("_source_file"))})
+    return merge_bronze(None, rows)
+
+
 @register("read_event_csv")
 def q_read_event_csv(spark, sf_dir):
     """Bronze written as an offset-timestamp CSV sample and parsed back."""
@@ -117,3 +156,43 @@ def q_stream_ingest(spark, sf_dir):
     for _ in range(2):  # the second run finds nothing new
         stream_ingest(spark, f"{root}/*/*.json.gz", store, checkpoint, max_files_per_trigger=400)
     return read_model(store, "bronze")
+
+
+@register("stream_then_refresh")
+def q_stream_then_refresh(spark, sf_dir):
+    """I4, then I3 on the same store: the first load batch as a file stream, the
+    others as batches, the second of them twice under two ids; the staged rows."""
+    store = TableStore(spark, scratch_path(spark, "mixed-warehouse"))
+    first, second, third = load_batches(landing(spark, sf_dir))
+    root = scratch_path(spark, "mixed-landing")
+    events_json.write_hour_files(first, root)
+    stream_ingest(spark, f"{root}/*/*.json.gz", store, scratch_path(spark, "mixed-checkpoint"),
+                  max_files_per_trigger=1000)
+    refresh(store, second, "batch-1", name_rule="latest")
+    refresh(store, second, "batch-1-again")
+    refresh(store, third, "batch-2")
+    store.vacuum(keep=1, older_than_s=0)
+    return read_model(store, "stg", STG_COLUMNS)
+
+
+@register("run_log")
+def q_run_log(spark, sf_dir):
+    """S10 from real runs: two refreshes and one that fails; asset, status, rows."""
+    path = scratch_path(spark, "run-log")
+    store = TableStore(spark, scratch_path(spark, "logged-warehouse"))
+    first, second, _ = load_batches(landing(spark, sf_dir))
+    refresh(store, first, "batch-0", ledger=path)
+    with contextlib.suppress(Exception):
+        refresh(store, second.withColumn("repo_id", F.raise_error(F.lit("broken")).cast("long")),
+                "batch-1", ledger=path)
+    refresh(store, second, "batch-1", ledger=path)
+    return run_ledger.read_runs(spark, path).select("asset", "status", "rows")
+
+
+@register("check_log")
+def q_check_log(spark, sf_dir):
+    """Q6-Q9: two logged runs of all checks; the rows of the second."""
+    path = scratch_path(spark, "check-log")
+    m = models(spark, sf_dir).as_dict()
+    quality.log_checks(path, m, "run-0", datetime(2024, 1, 31))
+    return quality.log_checks(path, m, "run-1", AS_OF)

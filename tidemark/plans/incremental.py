@@ -1,21 +1,21 @@
 """Incremental refresh (I1-I3) over the versioned table store.
 
 Selection is by batch, not by the load-time watermark: each call processes
-exactly the rows it is given, and the commit log records the batch id. A
+exactly the rows it is given, and the store marks the batch id. A
 batch stamped earlier but committed later is therefore never skipped, and
 replaying a batch changes nothing. ``new_rows`` keeps the watermark rule
 for parity.
 
-Per batch:
+Per batch (a refresh or a stream's micro-batch):
 
 1. bronze <- merge of the batch into the current bronze (later load wins,
    order-independent);
 2. the winning rows of the batch's keys are typed and tagged once; their
    keys are deleted from *both* silver tables (a repaired row leaves
    quarantine) and from the fact, and the rows are inserted where they now
-   belong;
-3. dimensions, daily activity and momentum are rebuilt from the new silver
-   table (they are full-refresh models);
+   belong; without silver tables they are built from all of bronze;
+3. the activity rollup and daily activity are recomputed for the touched days,
+   momentum and the dimensions from them;
 4. all versions become visible in one commit.
 
 Event-grain tables are day-partitioned in the store and upserted day by
@@ -34,7 +34,9 @@ from tidemark.functions.columns import EPOCH_FLOOR
 from tidemark.operators import gold, silver
 from tidemark.operators.merge import merge_bronze, upsert
 from tidemark.schemas import BRONZE_COLUMNS, FACT_COLUMNS, QUARANTINE_COLUMNS, STG_COLUMNS
-from tidemark.sources.tables import Entry, TableStore, day_values
+from tidemark.sources.run_ledger import BUILD_ASSET, recorded
+from tidemark.sources.tables import Conflict, Entry, TableStore, day_values, days_with_ids
+
 
 def watermark(target: DataFrame | None) -> Column:
     """``coalesce(max(_loaded_at), 1900-01-01)`` of the target, as a scalar."""
@@ -64,130 +66,126 @@ DAY = {
     "quarantine": lambda: F.to_date("created_at_tz"),
     "fact": lambda: F.col("event_date"),
 }
-
-
-def upsert_days(store: TableStore, current: dict[str, Entry], table: str,
-                new_rows: DataFrame, keys: DataFrame, combine,
-                touched: set[str] | None = None) -> Entry:
-    """Stage ``table`` with ``new_rows`` upserted, rewriting only touched days.
-
-    Touched days are those of the new rows plus those where the target holds
-    one of ``keys`` (found by scanning only the key and day columns), so a
-    row whose day changed is removed from its old day as well.
-    ``combine(old)`` returns the new content of the touched days from their
-    old content (``None`` for a new table). ``touched`` may be given when
-    another table with the same keys and days already found it.
-    """
-    day = DAY[table]()
-    target = store.read(table, current)
-    if target is None:
-        entry = store.stage_parts(table, combine(None), day, set(), current)
-        entry.touched = None  # every day is new
-        return entry
-    if touched is None:
-        hit = target.join(keys, "event_id", "left_semi").select(day.alias("d"))
-        touched = day_values(hit.unionByName(new_rows.select(day.alias("d"))), F.col("d"))
-    old = store.read(table, current, days=touched)
-    entry = store.stage_parts(table, combine(old), day, touched, current)
-    entry.touched = touched
-    return entry
-
-
-def merge_into_bronze(store: TableStore, current: dict[str, Entry], batch: DataFrame,
-                      keys: DataFrame) -> Entry:
-    """S5 at day granularity: the batch merged into bronze, staged."""
-    return upsert_days(store, current, "bronze", batch, keys,
-                       lambda old: merge_bronze(old, batch))
+#: Times that a batch starts again when another writer commits first.
+MAX_TRIES = 5
 
 
 def batch_keys(batch: DataFrame) -> DataFrame:
     return batch.where(F.col("event_id").isNotNull()).select("event_id").distinct()
 
 
-def refresh(store: TableStore, batch: DataFrame, batch_id: str, name_rule: str = "max") -> bool:
-    """Apply one batch of landed rows. Returns False for a replayed batch."""
-    current, done = store.snapshot()
-    if batch_id in done:
+def touched_days(store: TableStore, current: dict[str, Entry], batch: DataFrame,
+                 keys: DataFrame) -> set[str] | None:
+    """Days of the batch's own rows, and days on which bronze holds one of its
+    keys (a row whose day changed must leave its old day). Null: all days, as
+    there is no bronze yet.
+
+    The id range of each day rules days out first; only the key column of the
+    others is read. Where ids rise with time, as the feed's do, those are the
+    days around the batch.
+    """
+    if "bronze" not in current:
+        return None
+    day = DAY["bronze"]()
+    number = F.col("event_id").try_cast("bigint")
+    b = batch.where("event_id is not null").agg(
+        F.min(number).alias("lo"), F.max(number).alias("hi"), F.count_if(number.isNull()).alias("odd")).first()
+    entry = current["bronze"]
+    may = days_with_ids(entry, *((None, None) if b["odd"] else (b["lo"] if b["lo"] is not None else 1,
+                                                              b["hi"] if b["hi"] is not None else 0)))
+    held = store.read("bronze", current, days=may).select("event_id", day.alias("d"))
+    hit = held.join(keys, "event_id", "left_semi").select("d")
+    return day_values(hit.unionByName(batch.select(day.alias("d"))), F.col("d"))
+
+
+def refresh(store: TableStore, batch: DataFrame, batch_id: str, name_rule: str = "max",
+            ledger: str | None = None) -> bool:
+    """Apply one batch of landed rows. Returns False for a replayed batch.
+
+    If another writer commits first, the batch is applied again to the state
+    that writer left. With a ``ledger`` path the run is recorded there, also if
+    it fails.
+    """
+    if store.processed(batch_id):
         return False
     # The batch feeds the merge and the key set of every upsert; keep it
     # instead of re-deriving it for each (lost blocks recompute from lineage).
     batch = batch.select(*BRONZE_COLUMNS).persist()
     try:
-        _apply(store, batch, batch_id, current, name_rule)
+        with recorded(store.spark, ledger, f"refresh:{batch_id}", BUILD_ASSET, lambda: batch.count()):
+            for left in reversed(range(MAX_TRIES)):
+                base, current = store.snapshot()
+                try:
+                    store.commit(_apply(store, batch, current, name_rule), batch_id, base, current)
+                    break
+                except Conflict:
+                    if not left:
+                        raise
     finally:
         batch.unpersist()
     return True
 
 
-def _apply(store: TableStore, batch: DataFrame, batch_id: str,
-           current: dict[str, Entry], name_rule: str) -> None:
+def _apply(store: TableStore, batch: DataFrame, current: dict[str, Entry],
+           name_rule: str) -> dict[str, Entry]:
+    """Stage every table with the batch applied."""
     keys = batch_keys(batch)
+    days = touched_days(store, current, batch, keys)
     staged: dict[str, Entry] = {}
-    staged["bronze"] = merge_into_bronze(store, current, batch, keys)
-
-    # Winning rows of this batch's keys (they sit in the days just staged),
-    # plus its null-key rows, typed and tagged once.
-    bronze_days = store.read("bronze", staged, days=staged["bronze"].touched)
-    changed = bronze_days.join(keys, "event_id", "left_semi").unionByName(
-        batch.where(F.col("event_id").isNull()))
-    tagged = silver.base_events(changed).persist()  # batch-sized, feeds three tables
+    old = store.read("bronze", current, days=days)
+    staged["bronze"] = store.stage_parts("bronze", merge_bronze(old, batch), DAY["bronze"](), days,
+                                         current, "event_id")
+    if "stg" not in current:
+        days = None  # no silver yet: build it from all of bronze
+
+    # A row's day is the UTC date of its event time in every event-grain table,
+    # so the days that bronze touched cover every day they can change on. The
+    # winners of the batch's keys and all rows without a key are typed and
+    # tagged once.
+    rows = store.read("bronze", staged, days=days)
+    if days is not None:
+        rows = rows.where("event_id is null").unionByName(rows.join(keys, "event_id", "left_semi")
+                                                          .select(*rows.columns))
+    tagged = silver.base_events(rows).persist()  # batch-sized, feeds three tables
     try:
         clean = tagged.where(F.col("dq_reason").isNull()).select(*STG_COLUMNS)
         rejected = tagged.where(F.col("dq_reason").isNotNull()).select(*QUARANTINE_COLUMNS)
-        fact_rows = gold.fact_events(clean)
-
         # Keys leave both silver tables, so a repaired row leaves quarantine.
-        # A row's day is the UTC date of its event time in every event-grain
-        # table, so the days bronze touched cover every day a silver table
-        # or the fact can change on; no second scan for key days is needed.
-        days = staged["bronze"].touched
-        for table, rows, cols in (("stg", clean, STG_COLUMNS),
-                                  ("quarantine", rejected, QUARANTINE_COLUMNS),
-                                  ("fact", fact_rows, FACT_COLUMNS)):
-            staged[table] = upsert_days(
-                store, current, table, rows, keys,
-                lambda old, rows=rows, cols=cols: rows.select(*cols) if old is None
-                else upsert(old.select(*cols), rows, delete_keys=keys),
-                touched=days)
+        for table, new in (("stg", clean), ("quarantine", rejected), ("fact", gold.fact_events(clean))):
+            if days is not None:
+                new = upsert(store.read(table, current, days=days).select(*new.columns), new,
+                             delete_keys=keys, replace_null_keys=True)
+            staged[table] = store.stage_parts(table, new, DAY[table](), days, current)
     finally:
         tagged.unpersist()
-
-    _stage_gold(store, current, staged, name_rule)
-    store.commit(staged, batch_id)
+    _stage_gold(store, current, staged, days, name_rule)
+    return staged
 
 
 def _stage_gold(store: TableStore, current: dict[str, Entry], staged: dict[str, Entry],
-                name_rule: str) -> None:
+                days: set[str] | None, name_rule: str) -> None:
     """Gold after a silver upsert.
 
-    The activity rollup and daily activity are day-partitioned and only the
-    days whose silver rows changed are recomputed (a day's rows depend only
-    on that day's events). Momentum and the dimensions are then rebuilt
-    from those compact tables, not from silver.
+    The activity rollup is day-partitioned and recomputed for the touched days
+    (a day's rows depend only on that day's events), whatever the name rule.
+    Daily activity, momentum and the dimensions derive from it; the ``latest``
+    rule takes their names from silver.
     """
-    if name_rule != "max":
-        stg = store.read("stg", staged)
-        daily = gold.repo_daily_activity(stg, name_rule)
-        staged["momentum"] = store.stage("momentum", gold.repo_momentum(daily), None, current)
-        staged["dim_repo"] = store.stage("dim_repo", gold.dim_repo(stg, name_rule), None, current)
-        staged["dim_actor"] = store.stage("dim_actor", gold.dim_actor(stg, name_rule), None, current)
-        return
-    touched = staged["stg"].touched  # None: every day is new
-    if touched is not None and "rollup" not in current:
-        touched = None  # a store without a rollup yet: build it whole
+    if "rollup" not in current:
+        days = None
     day = F.col("event_date")
-    days = set() if touched is None else touched
-    stg_days = store.read("stg", staged, days=touched)
-    staged["rollup"] = store.stage_parts("rollup", gold.activity_rollup(stg_days), day, days, current)
-    rollup_days = store.read("rollup", staged, days=touched)
-    staged["daily"] = store.stage_parts("daily", gold.daily_from_rollup(rollup_days), day, days,
-                                        current)
-    daily = store.read("daily", staged)
-    rollup = store.read("rollup", staged)
-    staged["momentum"] = store.stage("momentum", gold.repo_momentum(daily), None, current)
-    staged["dim_repo"] = store.stage("dim_repo", gold.dim_repo(None, rollup=rollup), None, current)
-    staged["dim_actor"] = store.stage("dim_actor", gold.dim_actor(None, rollup=rollup), None,
-                                      current)
+    staged["rollup"] = store.stage_parts(
+        "rollup", gold.activity_rollup(store.read("stg", staged, days=days)), day, days, current)
+    stg, rollup = store.read("stg", staged), store.read("rollup", staged)
+    if name_rule == "max" and "daily" in current and days is not None:
+        daily = gold.daily_from_rollup(store.read("rollup", staged, days=days))
+        staged["daily"] = store.stage_parts("daily", daily, day, days, current)
+    else:
+        staged["daily"] = store.stage_parts("daily", gold.repo_daily_activity(stg, name_rule, rollup),
+                                            day, None, current)
+    staged["momentum"] = store.stage("momentum", gold.repo_momentum(store.read("daily", staged)))
+    staged["dim_repo"] = store.stage("dim_repo", gold.dim_repo(stg, name_rule, rollup))
+    staged["dim_actor"] = store.stage("dim_actor", gold.dim_actor(stg, name_rule, rollup))
 
 
 def read_model(store: TableStore, name: str, columns: list[str] | None = None) -> DataFrame:

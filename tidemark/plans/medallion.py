@@ -35,21 +35,14 @@ class Models:
 
 
 def gold_models(stg: DataFrame, rollup: DataFrame | None, name_rule: str = "max") -> dict:
-    """Daily activity, momentum and both dimensions.
-
-    With the default name rule all of them derive from the shared activity
-    rollup (silver scanned and shuffled once); the opt-in ``latest`` rule
-    needs event times per name and reads silver directly.
-    """
-    if name_rule == "max":
-        rollup = gold.activity_rollup(stg) if rollup is None else rollup
-        daily = gold.daily_from_rollup(rollup)
-        return {"daily": daily, "momentum": gold.repo_momentum(daily),
-                "dim_repo": gold.dim_repo(stg, rollup=rollup),
-                "dim_actor": gold.dim_actor(stg, rollup=rollup)}
-    daily = gold.repo_daily_activity(stg, name_rule)
+    """Daily activity, momentum and both dimensions, all from the shared
+    activity rollup (silver scanned and shuffled once); the ``latest`` rule
+    reads silver for the names on top."""
+    rollup = gold.activity_rollup(stg) if rollup is None else rollup
+    daily = gold.repo_daily_activity(stg, name_rule, rollup)
     return {"daily": daily, "momentum": gold.repo_momentum(daily),
-            "dim_repo": gold.dim_repo(stg, name_rule), "dim_actor": gold.dim_actor(stg, name_rule)}
+            "dim_repo": gold.dim_repo(stg, name_rule, rollup),
+            "dim_actor": gold.dim_actor(stg, name_rule, rollup)}
 
 
 def build(bronze: DataFrame, name_rule: str = "max") -> Models:
@@ -108,10 +101,8 @@ def materialize_from_bronze(spark: SparkSession, root: str, name_rule: str = "ma
     write_model(silver.stg_events(b), stg_path, partition_by=PARTITION_BY["stg"])
     write_model(silver.quarantine_events(b), q_path)
     stg = spark.read.parquet(stg_path)
-    rollup = None
-    if name_rule == "max":
-        write_model(gold.activity_rollup(stg), f"{root}/rollup", partition_by="event_date")
-        rollup = spark.read.parquet(f"{root}/rollup")
+    write_model(gold.activity_rollup(stg), f"{root}/rollup", partition_by="event_date")
+    rollup = spark.read.parquet(f"{root}/rollup")
     models = gold_models(stg, rollup, name_rule)
     out = {
         "momentum": models["momentum"],
@@ -128,9 +119,5 @@ def read_models(spark: SparkSession, root: str, name_rule: str = "max") -> Model
     """The models of a materialized build, read from their files."""
     read = {n: spark.read.parquet(f"{root}/{n}")
             for n in ("bronze", "stg", "quarantine", "momentum", "dim_repo", "dim_actor", "fact")}
-    rollup_path = f"{root}/rollup"
-    from tidemark.sources.tables import path_exists
-
-    daily = (gold.daily_from_rollup(spark.read.parquet(rollup_path))
-             if path_exists(spark, rollup_path) else gold.repo_daily_activity(read["stg"], name_rule))
+    daily = gold.repo_daily_activity(read["stg"], name_rule, spark.read.parquet(f"{root}/rollup"))
     return Models(daily=daily, **read)

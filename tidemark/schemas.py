@@ -96,9 +96,3 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in schema.fields
     ])
-
-
-def assert_columns(df: DataFrame, columns: list[str]) -> DataFrame:
-    if df.columns != columns:
-        raise ValueError(f"schema contract broken: {df.columns} != {columns}")
-    return df

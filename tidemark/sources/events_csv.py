@@ -11,14 +11,18 @@ from tidemark.operators.silver import utc_naive
 from tidemark.schemas import EVENT_CSV
 
 CSV_COLUMNS = [f.name for f in EVENT_CSV.fields]
-OFFSET_PATTERN = "yyyy-MM-dd HH:mm:ss[.SSSSSS]XXX"
+#: Every form of offset: ``+05:30``, ``+0530``, ``+05`` and ``Z``.
+OFFSET_PATTERN = "yyyy-MM-dd HH:mm:ss[.SSSSSS][XXX][XX][X]"
 
 
 def read_event_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Parse the sample into bronze columns (``created_at`` naive UTC)."""
+    """Parse the sample into bronze columns (``created_at`` naive UTC).
+    An empty time is null; text that is no time fails the load."""
     tz = spark.conf.get("spark.sql.session.timeZone")
     raw = spark.read.schema(EVENT_CSV).option("header", True).option("mode", "FAILFAST").csv(path)
-    instant = F.try_to_timestamp(F.col("created_at"), F.lit(OFFSET_PATTERN))
+    parsed = F.try_to_timestamp(F.col("created_at"), F.lit(OFFSET_PATTERN))
+    instant = F.when(F.col("created_at").isNotNull() & parsed.isNull(), F.raise_error(
+        F.concat(F.lit("not a time with an offset: "), F.col("created_at"))).cast("timestamp")).otherwise(parsed)
     return raw.withColumn(
         "created_at", utc_naive(instant, T.TimestampType(), tz)).select(*CSV_COLUMNS)
 

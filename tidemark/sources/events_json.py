@@ -7,25 +7,27 @@ heavy payload bodies are skipped by the parser and never materialised.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from datetime import datetime, timezone
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.silver import utc_naive
 from tidemark.schemas import BRONZE_COLUMNS, RAW_EVENT
 
 
-def _instant(c: Column, session_tz: str) -> Column:
-    """ISO-8601 instant text (``Z`` or an offset) -> naive UTC timestamp."""
-    from pyspark.sql import types as T
+def _instant(c: Column, session_tz: str, strict: bool) -> Column:
+    """ISO-8601 instant text (``Z`` or an offset) -> naive UTC timestamp. Text
+    that is no instant fails the load if ``strict``, and is null otherwise."""
+    parsed = F.try_to_timestamp(c)
+    if strict:
+        parsed = F.when(c.isNotNull() & parsed.isNull(), F.raise_error(
+            F.concat(F.lit("not an instant: "), c)).cast("timestamp")).otherwise(parsed)
+    return utc_naive(parsed, T.TimestampType(), session_tz)
 
-    return utc_naive(F.try_to_timestamp(c), T.TimestampType(), session_tz)
 
-
-def flatten_events(raw: DataFrame, keep_split: bool = False) -> DataFrame:
+def flatten_events(raw: DataFrame, strict: bool = True) -> DataFrame:
     """Nested event -> flat columns; a missing or null struct gives nulls.
 
     ``_source_file`` (S3) is the file's own name, taken from the scan's
@@ -39,12 +41,10 @@ def flatten_events(raw: DataFrame, keep_split: bool = False) -> DataFrame:
         F.col("actor.login").alias("actor_login"),
         F.col("repo.id").alias("repo_id"),
         F.col("repo.name").alias("repo_name"),
-        _instant(F.col("created_at"), tz).alias("created_at"),
+        _instant(F.col("created_at"), tz, strict).alias("created_at"),
         F.col("payload.action").alias("payload_action"),
         F.col("_metadata.file_name").alias("_source_file"),
         F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("_file_time"),
-        *([F.col("_metadata.file_path").alias("__file"),
-           F.col("_metadata.file_block_start").alias("__split")] if keep_split else []),
     )
 
 
@@ -63,44 +63,17 @@ def stamp_lineage(flat: DataFrame, loaded_at: datetime | str | None = None) -> D
     return flat.withColumn("_loaded_at", stamp).select(*BRONZE_COLUMNS)
 
 
-def _first_lines_in_task(limit: int):
-    """Per task, keep the first ``limit`` rows of each (file path, split).
+def first_lines(spark: SparkSession, paths: str | list[str], max_events: int) -> DataFrame:
+    """The first ``max_events`` non-empty lines of every file, unparsed.
 
-    Rows of one split arrive in line order within its task, so a running
-    counter per split is exact; it bounds how many rows of any one file
-    the global ranking below has to shuffle.
+    Per file path: the same hour name delivered twice is two files. The rank
+    filter keeps the first lines inside each task before anything is shuffled.
     """
-    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: dict[tuple, int] = {}
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf
-                continue
-            key = list(zip(pdf["__file"], pdf["__split"]))
-            rank = pdf.groupby(["__file", "__split"], sort=False).cumcount().to_numpy()
-            offset = [seen.get(k, 0) for k in key]
-            pos = rank + pd.Series(offset).to_numpy()
-            for k, n in pdf.groupby(["__file", "__split"], sort=False).size().items():
-                seen[k] = seen.get(k, 0) + int(n)
-            yield pdf[pos < limit]
-    return keep
-
-
-def cap_per_file(raw_with_meta: DataFrame, max_events: int) -> DataFrame:
-    """The first ``max_events`` lines of every file (0 = unlimited).
-
-    Per file path: the same hour name delivered twice is two files.
-    """
-    if not max_events:
-        return raw_with_meta
-    df = raw_with_meta.withColumn("__pos", F.monotonically_increasing_id())
-    kept = df.mapInPandas(_first_lines_in_task(max_events), df.schema)
-    w = Window.partitionBy("__file").orderBy("__split", "__pos")
-    return (
-        kept.withColumn("__rank", F.row_number().over(w))
-        .where(F.col("__rank") <= max_events)
-        .drop("__rank", "__pos")
-    )
+    lines = spark.read.text(paths).select("value", "_metadata").where("trim(value) <> ''")
+    w = Window.partitionBy("_metadata.file_path").orderBy("_metadata.file_block_start", "__pos")
+    return (lines.withColumn("__pos", F.monotonically_increasing_id())
+            .withColumn("__rank", F.row_number().over(w))
+            .where(F.col("__rank") <= max_events).select("value", "_metadata"))
 
 
 def read_event_files(spark: SparkSession, paths: str | list[str], max_events: int = 0,
@@ -110,13 +83,13 @@ def read_event_files(spark: SparkSession, paths: str | list[str], max_events: in
     ``mode="FAILFAST"`` fails the load on a malformed line, as the studied
     loader does; ``PERMISSIVE`` turns such a line into a null row instead.
     """
-    raw = spark.read.schema(RAW_EVENT).option("mode", mode).json(paths)
     if max_events:
-        flat = cap_per_file(flatten_events(raw, keep_split=True), max_events).drop(
-            "__split", "__file")
+        # Capped before parsing, so a malformed line past the cap does no harm.
+        event = F.from_json("value", RAW_EVENT, {"mode": mode}).alias("event")
+        raw = first_lines(spark, paths, max_events).select(event, "_metadata").select("event.*", "_metadata")
     else:
-        flat = flatten_events(raw)
-    return stamp_lineage(flat, loaded_at)
+        raw = spark.read.schema(RAW_EVENT).option("mode", mode).json(paths)
+    return stamp_lineage(flatten_events(raw, strict=mode == "FAILFAST"), loaded_at)
 
 
 # ----------------------------------------------------------------- writing

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import sys
+import time
+import uuid
+from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +16,12 @@ from tidemark.functions.columns import ERROR_MAX_CHARS
 from tidemark.schemas import RUNS, conform
 
 
-def prepare_runs(records: DataFrame) -> DataFrame:
-    """Ledger rules: error text cut to 2000 characters, empty text -> null."""
-    err = F.nullif(F.substring(F.col("error"), 1, ERROR_MAX_CHARS), F.lit(""))
+INGEST_ASSET, BUILD_ASSET = "raw.gh_events", "dbt_build"
+
+
+def prepare_runs(records: DataFrame, max_error: int = ERROR_MAX_CHARS) -> DataFrame:
+    """Ledger rules: error text cut to ``max_error`` characters, empty text -> null."""
+    err = F.nullif(F.substring(F.col("error"), 1, max_error), F.lit(""))
     return conform(records.withColumn("error", err), RUNS)
 
 
@@ -36,3 +44,29 @@ def run_record(spark: SparkSession, run_id: str, asset: str, partition: str | No
 
 def read_runs(spark: SparkSession, ledger_path: str) -> DataFrame:
     return spark.read.schema(RUNS).parquet(ledger_path)
+
+
+@contextlib.contextmanager
+def recorded(spark: SparkSession, ledger_path: str | None, run: str, asset: str,
+             rows: Callable[[], int], partition: str | None = None) -> Iterator[None]:
+    """Record the work inside as one run: its rows on success, 0 rows and the
+    error on failure, which still propagates. Trouble with the ledger itself is
+    reported and does not fail the work. Without a path nothing is recorded."""
+    started = time.time()
+
+    def note(status: str, n: int | None, error: str | None) -> None:
+        if ledger_path is None:
+            return
+        try:
+            append_runs(ledger_path, run_record(
+                spark, f"{run}:{uuid.uuid4().hex[:8]}", asset, partition, status, n,
+                time.time() - started, error))
+        except Exception as e:  # noqa: BLE001
+            print(f"run ledger {ledger_path}: {e}", file=sys.stderr)
+
+    try:
+        yield
+    except BaseException as e:
+        note("failure", 0, str(e))
+        raise
+    note("success", rows() if ledger_path is not None else None, None)

@@ -2,14 +2,14 @@
 
 ``readStream`` over the landing area with the raw schema, flattened and
 stamped like the batch reader (``_loaded_at`` = the file's modification
-time, i.e. its arrival), and each micro-batch merged into the bronze table
-of a ``TableStore`` inside ``foreachBatch``:
+time, i.e. its arrival), and each micro-batch applied to all tables of a
+``TableStore`` inside ``foreachBatch``, by the same refresh as a batch load:
 
-* the merge is order-independent (greatest ``_loaded_at``, then file hour),
+* the merge is order-independent (greatest ``_loaded_at``, then file instant),
   so micro-batches may arrive in any file order, and rewrites only the days
   a micro-batch touches;
 * every micro-batch commits under the id ``{stream}-{epoch}``, and an epoch
-  already in the commit log is skipped, so a restart that replays the last
+  already marked in the store is skipped, so a restart that replays the last
   epoch adds nothing;
 * ``availableNow`` drains what has landed and stops, in as many
   micro-batches as ``max_files_per_trigger`` dictates.
@@ -21,8 +21,8 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans.incremental import batch_keys, merge_into_bronze
-from tidemark.schemas import BRONZE_COLUMNS, RAW_EVENT
+from tidemark.plans.incremental import refresh
+from tidemark.schemas import RAW_EVENT
 from tidemark.sources.events_json import flatten_events, stamp_lineage
 from tidemark.sources.tables import TableStore
 
@@ -36,27 +36,19 @@ def event_stream(spark: SparkSession, landing: str, max_files_per_trigger: int =
 
 
 def stream_ingest(spark: SparkSession, landing: str, store: TableStore, checkpoint: str,
-                  max_files_per_trigger: int = 1000) -> int:
-    """Drain the landing area into the store's bronze table; returns the
-    number of micro-batches committed by this run."""
+                  max_files_per_trigger: int = 1000, name_rule: str = "max",
+                  ledger: str | None = None) -> int:
+    """Drain the landing area into the store; returns the number of
+    micro-batches committed by this run."""
     stream_id = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
     committed = []
 
-    def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
-        batch_id = f"{stream_id}-{epoch_id}"
-        if store.processed(batch_id):
-            return
-        batch = batch.select(*BRONZE_COLUMNS).persist()
-        try:
-            current, _ = store.snapshot()
-            staged = merge_into_bronze(store, current, batch, batch_keys(batch))
-            store.commit({"bronze": staged}, batch_id)
+    def apply_batch(batch: DataFrame, epoch_id: int) -> None:
+        if refresh(store, batch, f"{stream_id}-{epoch_id}", name_rule, ledger):
             committed.append(epoch_id)
-        finally:
-            batch.unpersist()
 
     query = (event_stream(spark, landing, max_files_per_trigger)
-             .writeStream.foreachBatch(upsert_batch)
+             .writeStream.foreachBatch(apply_batch)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())
