@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import scratch_path
+from tidemark.session import configure, scratch_path
 
 #: Text bytes that one step inside a task holds as words at a time.
 CHUNK_BYTES = 4 << 20
@@ -21,6 +21,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Rows that Spark hands to a task's Python at a time: with texts of some
+#: kilobytes, a few megabytes.
+BATCH_ROWS = 2000
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Session settings that the operators rely on."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return configure(spark)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

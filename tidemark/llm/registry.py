@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import ann, decontaminate, html_text, lm_score, packing, sharding, simhash, substring_dedup, toxicity, url_filter
-from tidemark.llm.common import table
-from tidemark.session import configure
+from tidemark.llm.common import prepare, table
 
 #: Rules of the URL query.
 URL_RULES = [
@@ -95,8 +94,7 @@ _QUERIES = [op1_toxicity, op2_decontaminate, op3_substring_dedup, op4_html_text,
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def prepared(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            configure(spark)
-            return fn(spark, sf_dir)
+            return fn(prepare(spark), sf_dir)
         run.__name__, run.__doc__ = fn.__name__, fn.__doc__
         return run
     return {fn.__name__: prepared(fn) for fn in _QUERIES}

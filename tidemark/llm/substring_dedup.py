@@ -35,6 +35,8 @@ WINDOW = 50
 #: Rounds of run and pair naming: symbols of about six words, four or five of
 #: them inside a window of 50 words.
 ROUNDS = 6
+#: Text bytes parsed at a time; parsing needs some fifty times as much memory.
+SLICE_BYTES = 2 << 20
 #: Stands for a null doc_id, which sorts after every other.
 NO_ID = sys.maxsize
 
@@ -172,7 +174,7 @@ def parse(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     are one entry (``at`` first start, ``more`` the others)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, budget=SLICE_BYTES):
                 (seq,), begin, sizes = _sequence(part.column("text"), (7,))
                 count = np.maximum(sizes - window + 1, 0)
                 symbol, digest, first, last = anchors(seq, ranges(begin, count), window)
@@ -204,7 +206,7 @@ def _window_digests(docs: DataFrame, window: int) -> DataFrame:
     """``w1, w2, id, tk, at, more``: windows of the listed ranges ``segs``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, budget=SLICE_BYTES):
                 (one, two), begin, _ = _sequence(part.column("text"), (7, 11))
                 doc, at, length, more = [], [], [], []
                 for i, segs in enumerate(part.column("segs").to_pylist()):
@@ -272,8 +274,10 @@ def _covered(n: int, cuts, window: int) -> np.ndarray:
 
 
 def _keep_words(docs: DataFrame, window: int, columns: list[str]) -> DataFrame:
-    """``columns`` and ``n_words, n_removed, kept`` of every document."""
-    fields = [f for f in docs.schema.fields if f.name in columns]
+    """``columns`` and ``n_words, n_removed, kept`` of every document; ``kept``
+    is null where nothing goes and ``columns`` hold the text."""
+    whole = "text" in columns
+    fields = [docs.schema[c] for c in columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -285,14 +289,14 @@ def _keep_words(docs: DataFrame, window: int, columns: list[str]) -> DataFrame:
                     covered = _covered(len(words), cuts, window)
                     total.append(len(words))
                     removed.append(int(covered.sum()))
-                    kept.append(b" ".join(w for w, c in zip(words, covered.tolist()) if not c)
-                                if cuts else b" ".join(words))
+                    kept.append(b" ".join(w for w, c in zip(words, covered.tolist()) if not c) if cuts
+                                else None if whole else b" ".join(words))
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in columns), pa.array(total, pa.int64()),
                      pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
                     [*columns, "n_words", "n_removed", "kept"])
 
-    return docs.select(*columns, "text", "cuts").mapInArrow(run, T.StructType(fields + [
+    return docs.select(*dict.fromkeys([*columns, "text", "cuts"])).mapInArrow(run, T.StructType(fields + [
         T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
         T.StructField("kept", T.StringType())]))
 
@@ -325,10 +329,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def strip_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Rows of ``docs``, all columns, with the kept words as text where words
     go (and ``n_chars``, if there, set to its length); other texts unchanged."""
-    whole = docs.select("doc_id", "text", F.struct(*docs.columns).alias("doc"))
-    judged = _keep_words(_with_cuts(whole, window), window, ["doc"])
-    changed = F.col("n_removed") > 0
-    new = {"text": F.col("kept"), "n_chars": F.length("kept")}
-    return judged.select(*[
-        (F.when(changed, new[f.name].cast(f.dataType)).otherwise(F.col("doc")[f.name])
-         if f.name in new else F.col("doc")[f.name]).alias(f.name) for f in docs.schema.fields])
+    others = F.struct(*[c for c in docs.columns if c != "text"])
+    rows = docs.select("doc_id", "text", others.alias("doc"))
+    judged = _keep_words(_with_cuts(rows, window), window, ["doc", "text"])
+    columns = {c: F.col("doc")[c] for c in docs.columns if c != "text"}
+    columns["text"] = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept").cast(docs.schema["n_chars"].dataType)) \
+            .otherwise(columns["n_chars"])
+    return judged.select(*[columns[c].alias(c) for c in docs.columns])
