@@ -26,10 +26,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 BATCH_ROWS = 2000
 
 
+#: Size up to which a side of a join is broadcast at run time. Small, so that
+#: plans at small and large scale are alike and executors hold little.
+BROADCAST_BYTES = 4 << 20
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings that the operators rely on."""
+    configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return configure(spark)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(BROADCAST_BYTES))
+    return spark
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -125,6 +132,19 @@ def split_by_keys(df: DataFrame, keys: DataFrame, on: list[str]) -> tuple[DataFr
             tagged.join(used, "_bucket", "left_anti").drop("_bucket"))
 
 
+#: Parts that the rows of one key are dealt into by ``salted_join``.
+SALTS = 8
+
+
+def salted_join(rows: DataFrame, few: DataFrame, on: list[str], by: list[str], how: str = "inner") -> DataFrame:
+    """Join ``rows``, of which one key may hold very many, with ``few``, which
+    has a row per key: each key's rows go to ``SALTS`` tasks, dealt by the
+    columns ``by``."""
+    salt = F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int")
+    spread = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("_salt", salt).join(spread, [*on, "_salt"], how).drop("_salt")
+
+
 class RangeHash:
     """Hashes of any range of a sequence of 64-bit values, from prefix sums of
     a polynomial; equal ranges have equal hashes wherever they stand."""

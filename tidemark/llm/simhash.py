@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import doc_key, split_by_keys, stored, text_bytes, text_slices
+from tidemark.llm.common import doc_key, salted_join, split_by_keys, stored, text_bytes, text_slices
 from tidemark.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -182,8 +182,9 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_
     rows, member = _components(docs, shingle, max_bits)
     rows = rows.withColumn("id", F.coalesce("doc_id", F.lit(NO_ID)))
     placed = stored(rows.join(member.select("fp", "root"), "fp").select("id", "tk", "root"), "members")
-    best = placed.groupBy("root").agg(F.min(F.struct("id", "tk")).alias("best"))
-    losers = stored(placed.join(best, "root").where(F.struct("id", "tk") != F.col("best"))
+    best = placed.groupBy("root").agg(F.min(F.struct("id", "tk")).alias("best"), F.count("*").alias("n")) \
+        .where("n > 1")
+    losers = stored(salted_join(placed, best, ["root"], ["id", "tk"]).where(F.struct("id", "tk") != F.col("best"))
                     .select("id", "tk").distinct(), "losers")
     repeated = placed.groupBy("id", "tk").agg(F.count("*").alias("n")).where("n > 1").select("id", "tk")
     keyed = docs.select(F.struct(*docs.columns).alias("doc"),

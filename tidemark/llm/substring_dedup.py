@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import (RangeHash, doc_key, hashes, mix, ranges, signed, split_by_keys,
+from tidemark.llm.common import (RangeHash, doc_key, hashes, mix, ranges, salted_join, signed, split_by_keys,
                                  split_words, stored, text_bytes, text_slices)
 
 WINDOW = 50
@@ -241,7 +241,7 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     found = parsed.select("id", "tk", F.explode("anchors").alias("a")).select("id", "tk", "a.*")
     shared = found.groupBy("sym").agg(F.min("id").alias("lo"), F.max("id").alias("hi")) \
         .where("lo < hi").select("sym")
-    found = stored(found.join(shared, "sym"), "shared-anchors")
+    found = stored(salted_join(found, shared, ["sym"], ["id", "tk"]), "shared-anchors")
     contexts = found.groupBy("sym", "ctx").agg(F.min("id").alias("least"))
     several = contexts.groupBy("sym").agg(F.count("*").alias("n")).where("n > 1").select("sym", "n")
     contexts = contexts.join(several, "sym", "left")
