@@ -159,5 +159,26 @@ from words left join counted using (doc_id) left join listed using (doc_id)
 """
 
 
+_OP3_SQL = r"""
+with texts as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+windows as (
+  select doc_id, s, md5(array_to_string(w[s : s + 49], ' ')) as win
+  from (select doc_id, w, unnest(range(1, len(w) - 48)) as s from texts where len(w) >= 50)),
+firsts as (select win, min(doc_id) as first_doc from windows group by win),
+gone as (
+  select distinct doc_id, unnest(range(s, s + 50)) as p
+  from windows join firsts using (win) where first_doc < doc_id),
+removed as (select doc_id, count(*) as n from gone group by doc_id),
+placed as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as p from texts),
+kept as (
+  select doc_id, string_agg(word, ' ' order by p) as text
+  from placed anti join gone using (doc_id, p) group by doc_id)
+select texts.doc_id, cast(len(w) as bigint) as n_words, coalesce(removed.n, 0) as n_removed,
+       sha256(coalesce(kept.text, '')) as kept_sha256
+from texts left join removed using (doc_id) left join kept using (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": _OP2_SQL, "op7_url_filter": _OP7_SQL}
+    return {"op2_decontaminate": _OP2_SQL, "op3_substring_dedup": _OP3_SQL, "op7_url_filter": _OP7_SQL}
