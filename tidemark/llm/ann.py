@@ -47,9 +47,15 @@ def _top(scores: np.ndarray, k: int) -> np.ndarray:
 
 def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
     """The ``k`` other rows with the largest inner product, for each row."""
+    return _nearest(x, 0, k)
+
+
+def _nearest(x: np.ndarray, first: int, k: int) -> np.ndarray:
+    """The ``k`` other rows with the largest inner product, for the rows from
+    ``first`` on, in blocks of bounded memory."""
     out = []
-    for i in range(0, len(x), 1024):
-        s = x[i:i + 1024] @ x.T
+    for i in range(first, len(x), 256):
+        s = x[i:i + 256] @ x.T
         s[np.arange(len(s)), np.arange(i, i + len(s))] = -np.inf
         out.append(_top(s, k))
     return np.concatenate(out)
@@ -182,13 +188,11 @@ def _visits(net: Router, x: np.ndarray, seen: int, k: int) -> int:
     """Parts to visit so that rows after ``seen`` find the wanted share of
     their nearest rows."""
     home = net.logits(x).argmax(1)
-    s = x[seen:] @ x.T
-    s[np.arange(len(s)), np.arange(seen, len(x))] = -np.inf
-    near = _top(s, min(k, len(x) - 1))
-    place = np.empty((len(s), net.parts), np.int64)
+    near = _nearest(x, seen, min(k, len(x) - 1))
+    place = np.empty((len(near), net.parts), np.int64)
     order = np.argsort(-net.logits(x[seen:]), axis=1, kind="stable")
     np.put_along_axis(place, order, np.arange(net.parts)[None, :], axis=1)
-    wanted = np.sort(place[np.arange(len(s))[:, None], home[near]].reshape(-1))
+    wanted = np.sort(place[np.arange(len(near))[:, None], home[near]].reshape(-1))
     return int(wanted[min(len(wanted) - 1, int(np.ceil(WANTED_RECALL * len(wanted))))]) + 1
 
 
@@ -288,10 +292,8 @@ def search(vectors: DataFrame, query_condition: str, k: int = NEIGHBOURS,
     spark = vectors.sparkSession
     rows = stored(usable_vectors(vectors), "vectors")
     dim = rows.agg(F.max(F.size("e"))).first()[0] or 1
-    chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).collect()
-    sample = np.zeros((max(1, len(chosen)), dim))
-    for i, r in enumerate(chosen):
-        sample[i, :len(r.e)] = r.e
+    chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).select("e").toArrow()
+    sample = _matrix(chosen.column("e"), dim) if chosen.num_rows else np.zeros((1, dim))
     router = spark.sparkContext.broadcast(fit(sample, k))
     index = stored(_assign(rows, router, dim), "index")
     sizes = np.zeros(router.value.parts, np.int64)
