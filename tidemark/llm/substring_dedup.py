@@ -244,7 +244,7 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     found = stored(salted_join(found, shared, ["sym"], ["id", "tk"]), "shared-anchors")
     contexts = found.groupBy("sym", "ctx").agg(F.min("id").alias("least"))
     several = contexts.groupBy("sym").agg(F.count("*").alias("n")).where("n > 1").select("sym", "n")
-    contexts = contexts.join(several, "sym", "left")
+    contexts = salted_join(contexts, several, ["sym"], ["ctx"], "left")
     judged = stored(
         found.join(contexts, ["sym", "ctx"]).where("id > least or n is not null")
         .select("id", "tk", "len", "at", "more", (F.col("id") > F.col("least")).alias("gone")), "judged-anchors")
