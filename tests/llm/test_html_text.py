@@ -26,6 +26,14 @@ def test_hidden_text_is_left_out():
     assert visible_text(page) == "shown\n\ntoo"
 
 
+def test_head_ends_without_its_end_tag_or_body():
+    assert visible_text("<html><head><title>t</title><p>One<p>Two") == "One\n\nTwo"
+    assert visible_text("<head>\n<meta charset=utf-8><link rel=x><style>a</style>\nText <b>bold</b>") == "Text bold"
+    assert visible_text("<head><script>a</script><div>One</div></head><body>Two") == "One\nTwo"
+    assert visible_text("<head><head><html><noscript><img>x</noscript><template><p>y</template><title>t</title>< z") == "< z"
+    assert visible_text("<html><head><title>t</title></head><body>One") == "One"
+
+
 def test_preformatted_text_keeps_its_lines():
     assert visible_text("a<pre>  x\n    y\n\n  z</pre>b") == "a\n\n  x\n    y\n\n  z\n\nb"
 

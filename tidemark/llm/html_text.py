@@ -46,6 +46,8 @@ IMPLIED = {
     "body": ({"head"}, {"html"}),
 }
 TABLE_PARTS = frozenset("caption colgroup col tbody td tfoot th thead tr".split())
+# Start tags that leave an open head open; any other, and text, ends it.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 # Elements that an end tag of something outside does not reach through.
 SCOPE = frozenset("table td th caption button object template html".split())
 # ---------------------------------------------------------------------------
@@ -98,7 +100,10 @@ def parse(page: str) -> Node:
         if lt < 0:
             lt = end
         if lt > at:
-            stack[-1].children.append(html.unescape(page[at:lt]))
+            text = html.unescape(page[at:lt])
+            if stack[-1].tag == "head" and text.strip(" \t\n\f\r"):
+                end_from(len(stack) - 1)
+            stack[-1].children.append(text)
         if lt >= end:
             break
         nxt = page[lt + 1:lt + 2]
@@ -119,6 +124,8 @@ def parse(page: str) -> Node:
             if m:
                 tag = m.group().lower()
                 if tag == "br":
+                    if stack[-1].tag == "head":
+                        end_from(len(stack) - 1)
                     stack[-1].children.append(Node("br", ""))
                 elif tag == "p" and not open_["p"]:
                     stack[-1].children.append(Node("p", ""))
@@ -135,6 +142,8 @@ def parse(page: str) -> Node:
             continue
         m = _NAME.match(page, lt + 1)
         if not m:
+            if stack[-1].tag == "head":
+                end_from(len(stack) - 1)
             stack[-1].children.append("<")
             at = lt + 1
             continue
@@ -148,6 +157,10 @@ def parse(page: str) -> Node:
                 gt = full.end() - 1
         attrs = page[m.end():gt]
         at = gt + 1
+        if stack[-1].tag == "head" and tag not in IN_HEAD:
+            if tag in ("html", "head"):
+                continue
+            end_from(len(stack) - 1)
         if tag in TABLE_PARTS and not open_["table"]:
             continue
         if tag in CLOSES_P and open_["p"]:
