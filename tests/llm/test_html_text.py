@@ -34,6 +34,16 @@ def test_head_ends_without_its_end_tag_or_body():
     assert visible_text("<html><head><title>t</title></head><body>One") == "One"
 
 
+def test_only_the_hidden_and_style_attributes_hide():
+    shown = ["title='a hidden gem'", 'class="hidden md:block"', 'class="x hidden y"', "data-style='display:none'",
+             "title='style=display:none'", "style='--x-display:none'", "alt=a/hidden", "data-x='a' title=hidden"]
+    for attrs in shown:
+        assert visible_text(f"<body {attrs}><p>One") == "One", attrs
+    for attrs in ("hidden", "HIDDEN=''", "class='a' hidden", "class=a hidden/", "title='x'hidden", "hidden='until-found'",
+                  "STYLE=display:none", 'style="color:red;visibility : collapse"', "style='display&#58;none!important'"):
+        assert visible_text(f"<body {attrs}><p>One") == "", attrs
+
+
 def test_preformatted_text_keeps_its_lines():
     assert visible_text("a<pre>  x\n    y\n\n  z</pre>b") == "a\n\n  x\n    y\n\n  z\n\nb"
 

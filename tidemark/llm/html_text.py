@@ -56,9 +56,9 @@ SCOPE = frozenset("table td th caption button object template html".split())
 WIDEST_CELL = 40
 
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
-_HIDING = re.compile(r"(?:^|[\s/\"'])hidden(?=[\s=/]|$)"
-                     r"|style\s*=\s*(?:\"[^\"]*|'[^']*|[^\s\"'>]*)"
-                     r"(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
+_MAY_HIDE = re.compile(r"hidden|style", re.I)
+_ATTRIBUTE = re.compile(r"([^\s/][^\s/=]*)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"']\S*)?))?")
+_HIDING_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))(?![\w-])", re.I)
 _ATTR_END = re.compile(r"[^>\"']*+(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*+)*+>")
 _SPAN = re.compile(r"colspan\s*=\s*[\"']?\s*(\d{1,3})", re.I)
 
@@ -70,6 +70,22 @@ class Node:
         self.tag, self.attrs, self.children = tag, attrs, []
 
 
+def attributes(raw: str) -> dict[str, str]:
+    """Attributes by lower-case name; of equal names the first counts."""
+    out: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(raw):
+        out.setdefault(name.lower(), html.unescape("".join(values)))
+    return out
+
+
+def hides(raw: str) -> bool:
+    """Whether an element with these attributes is not shown."""
+    if not _MAY_HIDE.search(raw):
+        return False
+    named = attributes(raw)
+    return "hidden" in named or bool(_HIDING_STYLE.search(named.get("style", "")))
+
+
 def parse(page: str) -> Node:
     """Element tree of a page; children are nodes and text strings."""
     root = Node("#root", "")
@@ -308,7 +324,7 @@ def render(root: Node) -> str:
                 flow.block(tag in SPACED)
             continue
         tag = x.tag
-        if tag in HIDDEN or (x.attrs and _HIDING.search(x.attrs)):
+        if tag in HIDDEN or (x.attrs and hides(x.attrs)):
             continue
         if tag == "br":
             flow.end_line(keep=True)
