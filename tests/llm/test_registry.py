@@ -24,6 +24,8 @@ COLUMNS = {
     "op9_simhash": ["doc_id:bigint", "fingerprint:string", "component_id:bigint"],
     "op10_pack": ["doc_id:bigint", "piece:int", "start:bigint", "length:bigint", "ids_crc32:bigint",
                   "sequence_id:bigint", "offset:bigint"],
+    "op11_merkle_manifest": ["doc_id:bigint", "leaf:string", "subroot:string", "root:string", "proof_sha256:string",
+                             "folded_root:string", "verified:boolean"],
 }
 INPUT = {"op4_html_text": "pages", "op7_url_filter": "pages", "op5_ann": None, "op10_pack": None}
 

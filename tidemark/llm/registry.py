@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, decontaminate, html_text, lm_score, packing, sharding, simhash, substring_dedup, toxicity, url_filter
+from tidemark.llm import ann, decontaminate, html_text, lm_score, merkle, packing, sharding, simhash, substring_dedup, toxicity, url_filter
 from tidemark.llm.common import prepare, table
 
 #: Rules of the URL query.
@@ -88,7 +88,18 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-_QUERIES = [op1_toxicity, op2_decontaminate, op3_substring_dedup, op4_html_text, op5_ann, op6_kd_shards, op7_url_filter, op8_lm_score, op9_simhash, op10_pack]
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf and proof; a third of them with lower-cased text, which must not verify."""
+    changed = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    return merkle.check_tampering(table(spark, sf_dir, "documents"), changed,
+                                  F.translate(F.col("text"), UPPER, UPPER.lower()))
+
+
+_QUERIES = [op1_toxicity, op2_decontaminate, op3_substring_dedup, op4_html_text, op5_ann, op6_kd_shards, op7_url_filter, op8_lm_score, op9_simhash, op10_pack,
+            op11_merkle_manifest]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -180,5 +191,79 @@ from texts left join removed using (doc_id) left join kept using (doc_id)
 """
 
 
+_OP11_SQL = """
+with recursive docs as (
+  select doc_id, lang, coalesce('+' || lang, '') as tree, text,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as low,
+         coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-')
+           || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-')
+           || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') as head
+  from documents),
+hashed as (
+  select doc_id, tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+         sha256(head || coalesce(strlen(low) || ':' || low, '-')) as low_leaf
+  from docs),
+-- CRC-32 of the decimal id, digit by digit, by its polynomial.
+digits as (select doc_id, doc_id::varchar as s, 1 as i, 4294967295::ubigint as c from hashed
+  union all
+  select doc_id, s, i + 1,
+         xor(c >> 8, list_reduce([xor(c, ascii(s[i])::ubigint) & 255] || range(8),
+                                 lambda x, k: case when x & 1 = 1 then xor(x >> 1, 3988292384::ubigint)
+                                                   else x >> 1 end))
+  from digits where i <= len(s)),
+shown as (select doc_id from digits where i = len(s) + 1 and xor(c, 4294967295::ubigint) % 3 = 0),
+leaves as (
+  select h.doc_id, tree, leaf,
+         case when s.doc_id is null then leaf else low_leaf end as shown,
+         row_number() over (partition by tree order by h.doc_id nulls first, leaf) - 1 as idx,
+         count(*) over (partition by tree) as n
+  from hashed h left join shown s on h.doc_id = s.doc_id),
+nodes(tree, level, idx, n, h) as (
+  select tree, 0, idx, n, leaf from leaves
+  union all
+  select tree, level + 1, idx // 8, (n + 7) // 8, sha256(string_agg(h, '' order by idx))
+  from nodes where n > 1 group by tree, level, n, idx // 8),
+subroots as (select tree, level as height, h from nodes where n = 1),
+tops as (select tree, height, h, row_number() over (order by tree) - 1 as idx, count(*) over () as n from subroots),
+crown(level, idx, n, h) as (
+  select 0, idx, n, h from tops
+  union all
+  select level + 1, idx // 8, (n + 7) // 8, sha256(string_agg(h, '' order by idx))
+  from crown where n > 1 group by level, n, idx // 8),
+low_sides as (
+  select tree, level, idx,
+         coalesce(string_agg(h, '') over (run rows between unbounded preceding and 1 preceding), '') as l,
+         coalesce(string_agg(h, '') over (run rows between 1 following and unbounded following), '') as r
+  from nodes where n > 1 window run as (partition by tree, level, idx // 8 order by idx)),
+top_sides as (
+  select level, idx,
+         coalesce(string_agg(h, '') over (run rows between unbounded preceding and 1 preceding), '') as l,
+         coalesce(string_agg(h, '') over (run rows between 1 following and unbounded following), '') as r
+  from crown where n > 1 window run as (partition by level, idx // 8 order by idx)),
+sides as (
+  select l.tree, l.leaf, l.idx as pos, s.level, s.l, s.r
+  from leaves l join low_sides s on s.tree = l.tree and s.idx = l.idx // (8 ** s.level)::bigint
+  union all
+  select l.tree, l.leaf, l.idx, t.height + s.level, s.l, s.r
+  from leaves l join tops t on t.tree = l.tree join top_sides s on s.idx = t.idx // (8 ** s.level)::bigint),
+paths as (
+  select tree, pos, list({l: l, r: r} order by level) as path, string_agg(l || r, '' order by level) as proof
+  from sides group by tree, pos),
+folded as (
+  select l.doc_id, l.tree, l.leaf, l.shown, coalesce(p.proof, '') as proof,
+         coalesce(p.path, []) as path, 1 as i, l.shown as h, l.idx as pos
+  from leaves l left join paths p on p.tree = l.tree and p.pos = l.idx
+  union all
+  select doc_id, tree, leaf, shown, proof, path, i + 1, sha256(path[i].l || h || path[i].r), pos
+  from folded where i <= len(path))
+select f.doc_id, f.leaf, t.h as subroot, (select h from crown where n = 1) as root,
+       sha256(f.proof) as proof_sha256, f.h as folded_root,
+       f.h = (select h from crown where n = 1) as verified
+from folded f join tops t on t.tree = f.tree where f.i = len(f.path) + 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": _OP2_SQL, "op3_substring_dedup": _OP3_SQL, "op7_url_filter": _OP7_SQL}
+    return {"op2_decontaminate": _OP2_SQL, "op3_substring_dedup": _OP3_SQL, "op7_url_filter": _OP7_SQL,
+            "op11_merkle_manifest": _OP11_SQL}
