@@ -26,8 +26,12 @@ COLUMNS = {
                   "sequence_id:bigint", "offset:bigint"],
     "op11_merkle_manifest": ["doc_id:bigint", "leaf:string", "subroot:string", "root:string", "proof_sha256:string",
                              "folded_root:string", "verified:boolean"],
+    "op12_collocations": ["lang:string", "rank:bigint", "phrase:string", "a:bigint", "l:bigint", "r:bigint", "n:bigint",
+                          "score:bigint"],
+    "op13_language_id": ["doc_id:bigint", "held_out:boolean", "lang_pred:string", "score:double"],
 }
-INPUT = {"op4_html_text": "pages", "op7_url_filter": "pages", "op5_ann": None, "op10_pack": None}
+INPUT = {"op4_html_text": "pages", "op7_url_filter": "pages", "op5_ann": None, "op10_pack": None,
+         "op12_collocations": None}
 
 
 def test_entry_has_them_all():

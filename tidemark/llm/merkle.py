@@ -63,6 +63,7 @@ def numbered(rows: DataFrame, order: list[Column]) -> DataFrame:
     hold all rows without being sorted in one task; windows see a range, or one
     count for each range.
     """
+    rows = stored(rows, "merkle-rows")  # the ranges are sampled first, which would make every row twice
     dealt = stored(rows.repartitionByRange("tree", *order).withColumn("range", F.spark_partition_id()), "merkle-ranges")
     counts = dealt.groupBy("tree", "range").agg(F.count("*").alias("size"))
     before = Window.partitionBy("tree").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, decontaminate, html_text, lm_score, merkle, packing, sharding, simhash, substring_dedup, toxicity, url_filter
+from tidemark.llm import (
+    ann, collocations, decontaminate, html_text, langid, lm_score, merkle, packing, sharding, simhash, substring_dedup,
+    toxicity, url_filter)
 from tidemark.llm.common import prepare, table
 
 #: Rules of the URL query.
@@ -98,8 +100,21 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   F.translate(F.col("text"), UPPER, UPPER.lower()))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of two to five words of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents")).withColumnRenamed("grp", "lang")
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learned outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    fold = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    model = langid.learn(docs, ~fold)
+    return langid.predict(docs.select("doc_id", fold.alias("held_out"), "text"), model)
+
+
 _QUERIES = [op1_toxicity, op2_decontaminate, op3_substring_dedup, op4_html_text, op5_ann, op6_kd_shards, op7_url_filter, op8_lm_score, op9_simhash, op10_pack,
-            op11_merkle_manifest]
+            op11_merkle_manifest, op12_collocations, op13_language_id]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -264,6 +279,42 @@ from folded f join tops t on t.tree = f.tree where f.i = len(f.path) + 1
 """
 
 
+_OP12_SQL = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+listed as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+grams as (
+  select lang, w[s : s + k - 1] as words
+  from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as s
+        from listed, range(1, 6) t(k) where len(w) >= k)),
+counts as (select lang, words, count(*) as f from grams group by lang, words),
+totals as (select lang, sum(len(w)) as n from listed group by lang),
+candidates as (select lang, words, f as a from counts where len(words) > 1 and f >= 100),
+cuts as (
+  select c.lang, c.words, c.a, k, l.f as l, r.f as r, n,
+         (1000::hugeint * c.a * n) // (l.f::hugeint * r.f) as score
+  from (select *, unnest(range(1, len(words))) as k from candidates) c
+  join totals using (lang)
+  join counts l on l.lang = c.lang and l.words = c.words[1 : k]
+  join counts r on r.lang = c.lang and r.words = c.words[k + 1 :]),
+worst as (select * from cuts qualify row_number() over (partition by lang, words order by score, k) = 1),
+inside as (
+  select distinct lang, words[s : s + m - 1] as words, a
+  from (select lang, words, a, m, unnest(range(1, len(words) - m + 2)) as s
+        from candidates, range(2, 5) t(m) where m < len(words))),
+kept as (select * from worst where not exists (
+  select 1 from inside i where i.lang = worst.lang and i.words = worst.words and 100 * i.a >= 100 * worst.a)),
+named as (select *, array_to_string(words, ' ') as phrase from kept)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase,
+       a, l, r, n::bigint as n, score::bigint as score
+from named
+qualify rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op2_decontaminate": _OP2_SQL, "op3_substring_dedup": _OP3_SQL, "op7_url_filter": _OP7_SQL,
-            "op11_merkle_manifest": _OP11_SQL}
+            "op11_merkle_manifest": _OP11_SQL, "op12_collocations": _OP12_SQL}
