@@ -287,30 +287,31 @@ with pieces as (
   from documents),
 listed as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
 grams as (
-  select lang, w[s : s + k - 1] as words
+  select lang, k, array_to_string(w[s : s + k - 1], ' ') as phrase
   from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as s
-        from listed, range(1, 6) t(k) where len(w) >= k)),
-counts as (select lang, words, count(*) as f from grams group by lang, words),
+        from (select lang, w, unnest(range(1, 6)) as k from listed) where len(w) >= k)),
+counts as (select lang, phrase, k, count(*) as f from grams group by all having count(*) >= 100),
 totals as (select lang, sum(len(w)) as n from listed group by lang),
-candidates as (select lang, words, f as a from counts where len(words) > 1 and f >= 100),
+candidates as (select lang, phrase, k, f as a, string_split(phrase, ' ') as w from counts where k > 1),
 cuts as (
-  select c.lang, c.words, c.a, k, l.f as l, r.f as r, n,
+  select lang, phrase, a, cut, array_to_string(w[1 : cut], ' ') as head, array_to_string(w[cut + 1 :], ' ') as tail
+  from (select *, unnest(range(1, k)) as cut from candidates)),
+scored as (
+  select c.lang, c.phrase, c.a, c.cut, l.f as l, r.f as r, n,
          (1000::hugeint * c.a * n) // (l.f::hugeint * r.f) as score
-  from (select *, unnest(range(1, len(words))) as k from candidates) c
-  join totals using (lang)
-  join counts l on l.lang = c.lang and l.words = c.words[1 : k]
-  join counts r on r.lang = c.lang and r.words = c.words[k + 1 :]),
-worst as (select * from cuts qualify row_number() over (partition by lang, words order by score, k) = 1),
+  from cuts c join totals using (lang)
+  join counts l on l.lang = c.lang and l.phrase = c.head
+  join counts r on r.lang = c.lang and r.phrase = c.tail),
+worst as (select * from scored qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
 inside as (
-  select distinct lang, words[s : s + m - 1] as words, a
-  from (select lang, words, a, m, unnest(range(1, len(words) - m + 2)) as s
-        from candidates, range(2, 5) t(m) where m < len(words))),
-kept as (select * from worst where not exists (
-  select 1 from inside i where i.lang = worst.lang and i.words = worst.words and 100 * i.a >= 100 * worst.a)),
-named as (select *, array_to_string(words, ' ') as phrase from kept)
+  select lang, array_to_string(w[s : s + m - 1], ' ') as phrase, max(a) as outer_a
+  from (select *, unnest(range(1, k - m + 2)) as s
+        from (select lang, w, k, a, unnest(range(2, k)) as m from candidates))
+  group by all)
 select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase,
        a, l, r, n::bigint as n, score::bigint as score
-from named
+from worst left join inside using (lang, phrase)
+where outer_a is null or 100 * outer_a < 100 * a
 qualify rank <= 2000
 """
 
