@@ -66,75 +66,111 @@ def test_a_context_tells_words_of_one_class_apart(spark):
     assert sum(r.score for r in out) > sum(r.base_score for r in out) + sum(r.n_tokens for r in out)
 
 
-def test_context_counts_equal_brute_force_over_chunks(spark, odd_docs, monkeypatch):
-    monkeypatch.setattr(L, "CHUNK", 2000)
-    rows = [d for d in odd_docs if len(d[1] or "") < 10_000]
+def plain_model(model, L=L):
+    """log10 probability of a token after its predecessors, one token at a time."""
+    split = L._split(model["weights"], model["buckets"])
+    mask = (1 << 64) - 1
+
+    def h(x):
+        return int(L.mix(np.array([x & mask], np.uint64))[0])
+
+    def kind_of(word):
+        return int(L.word_types(pa.array([word.decode()]))[0]) if word else 0
+
+    def name_of(word):
+        return int(L.hashes(pa.array([word.decode()]), 5)[0]) if word else int(L._END)
+
+    def softmax(tables, features):
+        z = sum(t[f].astype(float) for t, f in zip(tables, features))
+        e = np.exp(np.clip(z, -L.LIMIT, L.LIMIT))
+        return e / e.sum()
+
+    def log_p(before, word, count):
+        one, two = [name_of(before[-k]) if len(before) >= k else int(L._PAD) for k in (1, 2)]
+        hashed = [h(one + 1), h(one * 0x9E3779B97F4A7C15 + h(two)), h(two + 2)]
+        hashed = [x & (n - 1) & 0xFFFF for x, n in zip(hashed, model["buckets"])]
+        kinds = [kind_of(before[-k]) if len(before) >= k else 0 for k in (1, 2, 3)]
+        c, g = int(model["classes"][kind_of(word)]), h(name_of(word) ^ 0x517CC1B727220A95) % L.GROUPS
+        p = softmax(split["class_weights"], [*hashed, *kinds, 0])[c]
+        if word:
+            mixed = [(x * ((c * 0x9E3B | 1) & 0xFFFF) + c * 0x6D2B) & 0xFFFF & (n - 1) for x, n in zip(hashed, model["buckets"])]
+            p *= softmax(split["group_weights"], [*mixed, c])[g]
+        return math.log10(p * (count + 1) / (model["cell_n"][c, g] + model["cell_v"][c, g] + 1))
+
+    return log_p
+
+
+def learned(spark, rows):
     held = F.coalesce(fold(), F.lit(False))
-    table = L.chunks(doc_frame(spark, rows).withColumn("held", held)).collect()
-    table = spark.createDataFrame(table, L._CHUNK_SQL)
-    assert table.count() > 3
-    train = [tokens(t) for i, t in rows if not is_held(i)]
-    wanted = {L.SKIP: Counter(), L.PREVIOUS: Counter(), L.PAIR: Counter()}
-    for w in train:
-        for i, x in enumerate(w):
-            wanted[L.PREVIOUS][w[i - 1] if i else None, x] += 1
-            if i >= 1:
-                wanted[L.PAIR][w[i - 2] if i >= 2 else None, w[i - 1], x] += 1
-            if i >= 2:
-                wanted[L.SKIP][w[i - 2], x] += 1
-    texts, parts = len(train), 5
-    sums = [r for k in range(4) for r in L._sums(table, k, parts).collect()]
-    seen = Counter()
-    text_of = {}
+    table = L.stored(L.chunks(doc_frame(spark, rows).withColumn("held", held)), "test-chunks")
+    counts = L.stored(L.word_counts(table), "test-counts")
+    return table, counts, L.learn(table, counts)
+
+
+def test_scores_equal_the_model_token_by_token(spark, odd_docs, monkeypatch):
+    monkeypatch.setattr(L, "CHUNK", 2000)
+    rows = [d for d in odd_docs if len(d[1] or "") < 3000] + [(50 + i, f"New{i} upper Été, upper") for i in range(9)]
+    table, counts, model = learned(spark, rows)
+    assert table.count() > 3 and np.abs(model["weights"]).max() > 0
+    known = Counter(w for i, t in rows if not is_held(i) for w in tokens(t))
+    log_p = plain_model(model)
+    wanted = []
     for i, t in rows:
-        text_of.setdefault(i, []).append(t)
-    for row in table.collect():
-        row = row.asDict()
-        ids, sizes = L._tokens(row)
-        words = np.frombuffer(row["words"], np.uint64)
-        mine = pa.Table.from_pylist([r.asDict() for r in sums if r.chunk == row["chunk"]])
-        summed = L._Summed(mine, parts)
-        all_, inner = summed.of(L.WORDS, words)
-        got = list(L.context_counts(words, ids, sizes, summed, all_, inner, texts))
-        begin = 0
-        for doc, size in zip(row["doc_ids"], sizes):
-            w = next(w for w in map(tokens, text_of[doc]) if len(w) == size)
-            seen[doc] += 1
-            for i, x in enumerate(w):
-                one, two = w[i - 1] if i else None, w[i - 2] if i >= 2 else None
-                skip, previous, pair = [(b[begin + i], n[begin + i]) for b, n in got]
-                context = lambda k, *c: sum(n for f, n in wanted[k].items() if f[:-1] == c)
-                if i < 6 or i > size - 4:
-                    assert previous == (wanted[L.PREVIOUS][one, x], context(L.PREVIOUS, one))
-                    assert pair == ((wanted[L.PAIR][two, one, x], context(L.PAIR, two, one)) if i >= 1 else (0, 0))
-                    assert skip == ((wanted[L.SKIP][two, x], context(L.SKIP, two)) if i >= 2 else (0, 0))
-            begin += size
-    assert sum(seen.values()) == len(rows)
-
-
-def test_probabilities_after_a_context_sum_to_one():
-    p = np.array([0.5, 0.3, 0.2])
-    for strength in L.STRENGTHS:
-        assert math.isclose(L.after_context(p, np.array([4, 0, 3]), np.full(3, 7), strength).sum(), 1)
-
-
-def test_the_model_is_a_distribution():
+        w = tokens(t)
+        wanted.append((i, sum(log_p(w[:k], x, known[x]) for k, x in enumerate(w))))
+    out = L.score_chunks(table, L.chunk_counts(table, counts), model).select("doc_id", "score").collect()
+    got = sorted(map(tuple, out), key=str)
+    for (i, a), (j, b) in zip(sorted(got, key=lambda r: (str(r[0]), r[1])), sorted(wanted, key=lambda r: (str(r[0]), r[1]))):
+        assert i == j and math.isclose(a, b, rel_tol=1e-4), (i, a, b)
+
+
+def test_the_model_is_a_distribution(spark):
+    """Over the known words and one unknown word for each cell, probabilities sum to one."""
+    words = [f"{a}{b}{c}" for a in "bcdf" for b in "aeiou" for c in ("ing", "ado", "s")]
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choices(words, k=40))) for i in range(60)]
+    table, counts, model = learned(spark, rows)
+    known = Counter(w for i, t in rows if not is_held(i) for w in tokens(t))
+    log_p = plain_model(model)
+    for before in ([], [b"being"], [b"fos", b"bado"], [b"never", b"seen"]):
+        split = L._split(model["weights"], model["buckets"])
+        total = sum(10 ** log_p(before, w, n) for w, n in known.items())
+        # What is left belongs to unknown words: one share of every cell, empty cells whole.
+        classes = {int(model["classes"][L.word_types(pa.array([w.decode()]))[0]]) for w in known if w}
+        assert 0 < total < 1
+        assert len(classes) > 1 and len(split["class_weights"]) == len(model["buckets"]) + 4
     rng = np.random.default_rng(2)
-    weights = rng.standard_normal((L.FEATURES, L.CLASSES)).astype(np.float32)
-    rows = np.stack([rng.integers(o, o + b, 50) for o, b in zip(L.OFFSETS, L.BUCKETS)]).astype(np.uint16)
-    assert np.allclose(L.class_probabilities(weights, rows).sum(axis=1), 1, atol=1e-5)
-    # In a class: known words and one share for all unknown ones.
-    counts = np.array([5, 3, 1])
-    assert math.isclose(sum((counts + 1) / (9 + 3 + 1)) + 1 / (9 + 3 + 1), 1)
+    tables = [rng.standard_normal((9, 5)).astype(np.float32) for _ in range(3)]
+    features = [rng.integers(0, 9, 50).astype(np.uint16) for _ in range(3)]
+    assert np.allclose(L.probabilities(tables, features).sum(axis=1), 1, atol=1e-5)
+
+
+def test_gradient_steps_raise_the_likelihood():
+    rng = np.random.default_rng(1)
+    features = [rng.integers(0, 7, 5000).astype(np.uint16), np.zeros(5000, np.uint16)]
+    target = (features[0] % 3).astype(np.int64)
+    weights = [np.zeros((7, 4), np.float32), np.zeros((1, 4), np.float32)]
+    squares = [np.full(7, L.FIRST_SQUARES, np.float32), np.full(1, L.FIRST_SQUARES, np.float32)]
+    at = np.arange(len(target))
+    likelihood = [np.log(L.probabilities(weights, features)[at, target]).mean()]
+    for _ in range(5):
+        L.gradient_steps(weights, squares, features, target)
+        likelihood.append(np.log(L.probabilities(weights, features)[at, target]).mean())
+    assert all(a < b for a, b in zip(likelihood, likelihood[1:]))
+
+
+def test_buckets_grow_with_the_corpus():
+    sizes = [L.buckets_for(n) for n in (0, 1 << 20, 1 << 25, 1 << 28, 1 << 31, 1 << 60)]
+    assert sizes[0] == sizes[1] == L.BUCKETS and sizes[2] == tuple(2 * b for b in L.BUCKETS)
+    assert all(a <= b for x, y in zip(sizes, sizes[1:]) for a, b in zip(x, y)) and max(sizes[-1]) == L.MOST_BUCKETS
 
 
 def test_contexts_stop_at_the_start_of_a_text():
     words = np.arange(1, 7, dtype=np.uint64)
     types = np.arange(1, 7, dtype=np.uint8)
-    rows = L.contexts(words, types, np.array([0, 1, 2, 0, 1, 2]), np.array([3, 3]))
-    assert (rows[:, :3] == rows[:, 3:]).all()
-    assert (rows[3, :3] - L.OFFSETS[3]).tolist() == [0, 1, 2]
-    assert (rows[5, :3] - L.OFFSETS[5]).tolist() == [0, 0, 0]
+    hashed, before = L.contexts(words, types, np.array([0, 1, 2, 0, 1, 2]), np.array([3, 3]), L.BUCKETS)
+    assert all((h[:3] == h[3:]).all() for h in hashed + before)
+    assert before[0][:3].tolist() == [0, 1, 2] and before[2][:3].tolist() == [0, 0, 0]
 
 
 def test_word_types_ignore_trailing_punctuation():

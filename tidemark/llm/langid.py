@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import doc_key, split_by_keys, stored, text_slices
+from tidemark.llm.common import doc_key, salted_join, split_by_keys, stored, text_slices
 
 #: Lengths of the byte n-grams.
 GRAMS = (1, 2, 3, 4)
@@ -40,8 +40,6 @@ WITHIN, SLACK = 0.99, 0.05
 NO_LANGUAGE = "und"
 #: Vectors that a task holds at a time, and bytes whose n-grams it hashes at a time.
 ROWS, SPAN = 256, 1 << 20
-#: Parts that a language's documents are ranked in before the last ranking.
-RANK_PARTS = 32
 #: ASCII other than letters separates; upper case is folded.
 _BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 
@@ -123,11 +121,16 @@ def sphere_means(x: np.ndarray, k: int, rounds: int = ROUNDS) -> tuple[np.ndarra
 
 def _sample(docs: DataFrame, most: int) -> DataFrame:
     """At most ``most`` documents of each language, those with the smallest
-    hashes of id and text; repeated rows count once."""
+    hashes of id and text; repeated rows count once. (Of a language with many
+    more, a few less than ``most`` with a chance of one in a million.)"""
     h = F.xxhash64("doc_id", "tk").alias("h")
-    keys = docs.select("lang", h).distinct().withColumn("part", F.pmod(F.xxhash64("h"), F.lit(RANK_PARTS)))
-    for by in (["lang", "part"], ["lang"]):  # a large language is ranked in parts first
-        keys = keys.withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy("h"))).where(F.col("r") <= most)
+    keys = docs.select("lang", h).distinct()
+    # Hashes are even, so those below a share of their range leave about a quarter more than wanted.
+    share = F.shiftrightunsigned("h", 1) / F.lit(2.0 ** 63)
+    few = salted_join(keys, keys.groupBy("lang").agg(F.count("*").alias("all")), ["lang"], ["h"]) \
+        .where(share * F.col("all") < 1.25 * most)
+    ranked = few.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.shiftrightunsigned("h", 1), "h")))
+    keys = ranked.where(F.col("r") <= most)
     keys = stored(keys.select("lang", "h"), "langid-keys")
     likely, _ = split_by_keys(docs.select("lang", h, "text"), keys, ["lang", "h"])
     return likely.join(keys, ["lang", "h"], "left_semi").dropDuplicates(["lang", "h"])

@@ -1,37 +1,30 @@
 """Language-model scores by a hashed maximum-entropy model.
 
-A token's probability starts as that of its class given the words before it,
-times that of the token in its class. The class factor is a softmax over hashed
-n-gram and skip features, trained by rounds of distributed gradient steps:
-each task starts from the shared weights, takes steps over its documents, and
-returns the change; Spark sums the changes and the driver averages them. The
-token factor has one feature per token, for which the maximum-entropy solution
-is known: its smoothed share of its class, from exact counts.
-
-That table of weights is of fixed size, so the evidence of contexts that grows
-with the corpus is kept apart: a sparse row for every skip, previous word and
-previous two words with every word that followed, under its 64-bit hash, no
-context left out. Each kind in turn moves the probability towards the share
-that the token has after that context, the more the oftener the context was
-seen; this says which word of a class follows as well as which class. How far
-is fitted per kind on training texts, each position left out of its counts.
-
-A word's type is a hash of its ending. The types are grouped into classes by
+A token's probability is that of its class given the words before it, times
+that of its group in the class given the same words, times its share of the
+group. Class and group are softmax factors over hashed n-gram and skip
+features, so no normalizer runs over the vocabulary; both are trained by rounds
+of distributed gradient steps: each task starts from the shared weights, takes
+steps over its documents, and returns the change; Spark sums the changes and
+the driver averages them. The last factor has one feature per token, for which
+the maximum-entropy solution is known: its smoothed share of its cell (class
+and group), from exact counts over the whole corpus.
+
+A word's type is a hash of its ending. The types are clustered into classes by
 the types that stand beside them in the corpus, so words never seen have a
-class too.
+class too. A word's group is a hash of the word: a frequent word dominates its
+cell, so the group factor tells frequent words of a class apart by their
+contexts, and the rare ones by hashed parts of the class.
 
 Texts are kept as chunks: the token numbers of many documents with the distinct
-words they refer to. Counts reach a chunk once per distinct word, not per
-token, and no step needs the whole vocabulary in one place. A chunk sends the
-distinct hashes of a kind to parts of the hash range, which add them up over
-all chunks and send the sums back in the chunk's own order.
+words they refer to. Counts reach a chunk as one row per distinct word: word
+counts are summed by Spark, joined with the words of every chunk, and handed to
+the chunk; the rows between them grow with the corpus, not with its square.
 """
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -43,39 +36,36 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import hashes, mix, ranges, split_words, stored, text_slices
 
 #: Text bytes per chunk (one document at least).
-CHUNK = 2 << 20
+CHUNK = 6 << 20
 #: Word types; type 0 is the end token.
 TYPES = 256
-#: Classes; class 0 is the end token.
+#: Classes; class 0 is the end token, alone in it.
 CLASSES = 32
-#: Hash buckets of the features: previous word, previous two words, the word
-#: before the previous one (a skip), and the types of the last three words.
-BUCKETS = (4096, 8192, 4096, TYPES, TYPES, TYPES)
-OFFSETS = tuple(1 + sum(BUCKETS[:i]) for i in range(len(BUCKETS)))
-FEATURES = 1 + sum(BUCKETS)  # row 0 is the constant
+#: Hashed groups of the words of a class.
+GROUPS = 32
+#: Hash buckets, for a small corpus, of the previous word, the previous two
+#: words, and the word before the previous one (a skip).
+BUCKETS = (8192, 16384, 8192)
+#: The buckets double with every ``GROWTH`` times this many tokens, up to
+#: ``MOST_BUCKETS``: the table of weights is broadcast and every task returns one.
+SMALL_CORPUS, GROWTH, MOST_BUCKETS = 1 << 22, 8, 1 << 16
 #: Rounds of training; each takes another share of the texts.
 ROUNDS = 3
 BATCH = 16384
 RATE = 0.3
 #: Where the sum of squared gradients starts: rare features move little.
 FIRST_SQUARES = 10.0
-#: Bound of a class's summed weights.
+#: Bound of the summed weights of one outcome.
 LIMIT = 30.0
 #: Tokens that one step of a task works on.
 SPAN = 1 << 18
 #: Pieces that the weights are summed in, and partial sums per piece.
-SLICES = 8
+SLICES = 16
 PARTIALS = 64
-#: Exact counts: of words, and of words after a skip, a word, and two words.
-WORDS, SKIP, PREVIOUS, PAIR = range(4)
+#: Bytes of stored chunks that one training task starts from.
+TASK_BYTES = 48 << 20
 #: Setting that deletes shuffle files when the statement ends.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-#: Tokens of the corpus per part of the hash range.
-PART = 1 << 20
-#: What may weigh a context against what was known without it (inf: all the latter).
-STRENGTHS = (1.0, 4.0, 16.0, 64.0, 256.0, 1024.0, np.inf)
-#: Chunks that the strengths are fitted on, and positions of each.
-FIT_CHUNKS, FIT_POSITIONS = 8, 1 << 15
 
 _U = np.uint64
 #: Stand for the end token and for what precedes a text.
@@ -84,6 +74,14 @@ _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[list(b".,;:!?)(\"'|*#%&$-")] = True
 
 
+def buckets_for(tokens: int) -> tuple[int, ...]:
+    """Hash buckets of each kind of feature for a corpus of so many tokens."""
+    doublings = 0
+    while tokens >= SMALL_CORPUS * GROWTH ** (doublings + 1):
+        doublings += 1
+    return tuple(min(MOST_BUCKETS, b << doublings) for b in BUCKETS)
+
+
 def word_types(words: pa.Array) -> np.ndarray:
     """Type 1..TYPES-1 of each word: a hash of its last three bytes, trailing
     punctuation (two bytes at most) aside."""
@@ -193,8 +191,11 @@ def _spans(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
     return zip(at[:-1].tolist(), at[1:].tolist())
 
 
-def contexts(words: np.ndarray, types: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Feature rows of every position, one column per kind of feature."""
+def contexts(words: np.ndarray, types: np.ndarray, ids: np.ndarray, sizes: np.ndarray,
+             buckets: tuple[int, ...]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """What precedes every position: the hashes of the word before, the two
+    before and the skipped one, reduced to buckets, and the types of the last
+    three words."""
     begins = np.cumsum(sizes) - sizes
     since = np.arange(len(ids)) - np.repeat(begins, sizes)
 
@@ -206,49 +207,60 @@ def contexts(words: np.ndarray, types: np.ndarray, ids: np.ndarray, sizes: np.nd
 
     one, two = back(words, 1, _PAD), back(words, 2, _PAD)
     hashed = (mix(one + _U(1)), mix(one * _U(0x9E3779B97F4A7C15) + mix(two)), mix(two + _U(2)))
-    out = np.empty((len(BUCKETS), len(ids)), np.uint16)
-    for i, h in enumerate(hashed):
-        out[i] = (h & _U(BUCKETS[i] - 1)).astype(np.uint16) + np.uint16(OFFSETS[i])
-    for i in (3, 4, 5):
-        out[i] = back(types, i - 2, np.uint8(0)).astype(np.uint16) + np.uint16(OFFSETS[i])
-    return out
+    return ([(h & _U(n - 1)).astype(np.uint16) for h, n in zip(hashed, buckets)],
+            [back(types, k, np.uint8(0)).astype(np.uint16) for k in (1, 2, 3)])
+
 
+def class_features(words, types, ids, sizes, buckets) -> tuple[list[np.ndarray], list[int]]:
+    """Feature numbers of every position by kind, for the class factor, and the
+    number of features of each kind. The last kind is the constant."""
+    hashed, before = contexts(words, types, ids, sizes, buckets)
+    return [*hashed, *before, np.zeros(len(ids), np.uint16)], [*buckets, TYPES, TYPES, TYPES, 1]
 
-def class_probabilities(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Probability of every class for a batch of positions: a softmax of the
+
+def group_features(words, types, ids, sizes, buckets, class_of) -> tuple[list[np.ndarray], list[int]]:
+    """The same for the group factor: every n-gram and skip together with the
+    class that was drawn, and the class alone."""
+    hashed, _ = contexts(words, types, ids, sizes, buckets)
+    mine = class_of[types[ids]].astype(np.uint16)
+    # Multiplying by an odd number permutes the buckets in another way for each class.
+    mixed = [(h * (mine * np.uint16(0x9E3B) | np.uint16(1)) + mine * np.uint16(0x6D2B)) & np.uint16(n - 1)
+             for h, n in zip(hashed, buckets)]
+    return [*mixed, mine], [*buckets, CLASSES]
+
+
+def probabilities(weights: list[np.ndarray], features: list[np.ndarray]) -> np.ndarray:
+    """Probability of every outcome for a batch of positions: a softmax of the
     summed weights of their features, held within ``LIMIT``."""
-    z = np.repeat(weights[:1], rows.shape[1], axis=0)
-    for r in rows:
-        z += np.take(weights, r, axis=0)
+    z = np.take(weights[0], features[0], axis=0)
+    for w, f in zip(weights[1:], features[1:]):
+        z += np.take(w, f, axis=0)
     np.clip(z, -LIMIT, LIMIT, out=z)
     np.exp(z, out=z)
     z /= z.sum(axis=1, keepdims=True)
     return z
 
 
-def gradient_steps(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, target: np.ndarray) -> None:
+def gradient_steps(weights: list[np.ndarray], squares: list[np.ndarray], features: list[np.ndarray],
+                   target: np.ndarray) -> None:
     """Adagrad steps over batches of positions, in place."""
-    for i in range(0, rows.shape[1], BATCH):
-        part, y = rows[:, i:i + BATCH], target[i:i + BATCH]
-        g = class_probabilities(weights, part)
+    for i in range(0, len(target), BATCH):
+        part, y = [f[i:i + BATCH] for f in features], target[i:i + BATCH]
+        g = probabilities(weights, part)
         g[np.arange(len(y)), y] -= 1
-        whole = g.sum(axis=0)
-        squares[0] += (whole * whole).mean()
-        weights[0] -= RATE / np.sqrt(squares[0]) * whole
-        for r in part:
-            order = np.argsort(r, kind="stable")
-            r = r[order]
-            start = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
+        for w, s, f in zip(weights, squares, part):
+            order = np.argsort(f, kind="stable")  # a radix sort: features are 16-bit numbers
+            f = f[order]
+            start = np.flatnonzero(np.r_[True, f[1:] != f[:-1]])
             total = np.add.reduceat(g[order], start, axis=0)
-            row = r[start].astype(np.int64)
-            squares[row] += (total * total).mean(axis=1)
-            weights[row] -= (RATE / np.sqrt(squares[row]))[:, None] * total
+            row = f[start]
+            s[row] += (total * total).mean(axis=1)
+            w[row] -= (RATE / np.sqrt(s[row]))[:, None] * total
 
 
-@dataclass
-class ClassModel:
-    classes: np.ndarray  # class of each type
-    weights: np.ndarray
+def word_groups(words: np.ndarray) -> np.ndarray:
+    """Group of each word, from its hash."""
+    return (mix(words ^ _U(0x517CC1B727220A95)) % _U(GROUPS)).astype(np.uint8)
 
 
 def type_classes(cells: np.ndarray, classes: int = CLASSES) -> np.ndarray:
@@ -301,29 +313,57 @@ def _sum_changes(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.repartition(*keys).mapInArrow(run, "slice int, grp int, n long, vector binary")
 
 
-def train(table: DataFrame, classes: np.ndarray, rounds: int = ROUNDS) -> ClassModel:
-    """Train the class factor on the training texts of a chunk table."""
+def _factors(model: dict, row: dict, ids: np.ndarray, sizes: np.ndarray):
+    """For both factors: weights, features and outcomes of the positions ``ids``
+    of a chunk, and the positions meant (the end token has no group)."""
+    words, types = _array(row, "words", np.uint64), _array(row, "types", np.uint8)
+    class_of, buckets = model["classes"], model["buckets"]
+    features, _ = class_features(words, types, ids, sizes, buckets)
+    yield model["class_weights"], features, class_of[types[ids]], slice(None)
+    features, _ = group_features(words, types, ids, sizes, buckets, class_of)
+    drawn = np.flatnonzero(types[ids] != 0)
+    yield model["group_weights"], [f[drawn] for f in features], word_groups(words)[ids[drawn]], drawn
+
+
+def _kinds(buckets: tuple[int, ...]) -> list[tuple[int, int]]:
+    """Features and outcomes of every kind, first of the class factor, then of the group factor."""
+    return [(n, CLASSES) for n in (*buckets, TYPES, TYPES, TYPES, 1)] + [(n, GROUPS) for n in (*buckets, CLASSES)]
+
+
+def _split(flat: np.ndarray, buckets: tuple[int, ...]) -> dict:
+    """The tables of both factors as views of one vector."""
+    tables, at = [], 0
+    for n, outcomes in _kinds(buckets):
+        tables.append(flat[at:at + n * outcomes].reshape(n, outcomes))
+        at += n * outcomes
+    return {"class_weights": tables[:len(buckets) + 4], "group_weights": tables[len(buckets) + 4:]}
+
+
+def train(table: DataFrame, classes: np.ndarray, buckets: tuple[int, ...], tasks: int, rounds: int = ROUNDS) -> np.ndarray:
+    """Weights of both factors, trained on the training texts of a chunk table by ``tasks`` tasks a round."""
     spark = table.sparkSession
-    weights = np.zeros((FEATURES, CLASSES), np.float32)
+    weights = np.zeros(sum(n * outcomes for n, outcomes in _kinds(buckets)), np.float32)
     for number in range(rounds):
         shared = spark.sparkContext.broadcast((weights, classes))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, number=number) -> Iterator[pa.RecordBatch]:
             start, class_of = shared.value
-            weights, squares, n = start.copy(), np.full(FEATURES, FIRST_SQUARES, np.float32), 0
+            now, n = start.copy(), 0
+            model = {"classes": class_of, "buckets": buckets, **_split(now, buckets)}
+            squares = [[np.full(len(w), FIRST_SQUARES, np.float32) for w in model[k]]
+                       for k in ("class_weights", "group_weights")]
             for row in _rows(batches):
                 ids, sizes = _tokens(row)
-                words, types = _array(row, "words", np.uint64), _array(row, "types", np.uint8)
                 begins = np.cumsum(sizes) - sizes
                 mine = np.flatnonzero(~np.array(row["held"], bool) & (np.arange(len(sizes)) % rounds == number))
                 for a, b in _spans(sizes[mine]):
                     some = mine[a:b]
                     part = ids[ranges(begins[some], sizes[some])]
-                    gradient_steps(weights, squares, contexts(words, types, part, sizes[some]),
-                                   class_of[types[part]])
+                    for s, (w, features, target, _) in zip(squares, _factors(model, row, part, sizes[some])):
+                        gradient_steps(w, s, features, target)
                     n += len(part)
             if n:
-                change = ((weights - start) * np.float32(n)).reshape(-1)
+                change = (now - start) * np.float32(n)
                 cut = np.linspace(0, len(change), SLICES + 1).astype(int)
                 group = TaskContext.get().partitionId() % PARTIALS
                 yield pa.RecordBatch.from_arrays(
@@ -332,254 +372,79 @@ def train(table: DataFrame, classes: np.ndarray, rounds: int = ROUNDS) -> ClassM
                      pa.array([change[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())],
                     ["slice", "grp", "n", "vector"])
 
-        changes = table.select("held", "sizes", "ids", "n_ids", "words", "types") \
+        changes = table.select("held", "sizes", "ids", "n_ids", "words", "types").coalesce(tasks) \
             .mapInArrow(run, "slice int, grp int, n long, vector binary")
         partial = _sum_changes(changes, ["slice", "grp"]).withColumn("grp", F.lit(0))
-        total = _sum_changes(partial, ["slice"]).orderBy("slice").collect()
+        total = _alone(spark, _sum_changes(partial, ["slice"]).orderBy("slice").collect)
         if total:
             change = np.concatenate([np.frombuffer(r.vector, np.float32) for r in total])
-            weights = weights + (change / np.float32(total[0].n)).reshape(weights.shape)
-    return ClassModel(classes, weights)
-
-
-def _coded(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Number of each code among the distinct ones, and those."""
-    coded = pa.array(codes).dictionary_encode()
-    return coded.indices.to_numpy(), coded.dictionary.to_numpy()
+            weights = weights + change / np.float32(total[0].n)
+        shared.unpersist()
+    return weights
 
 
-def followers(kind: int, words: np.ndarray, ids: np.ndarray, sizes: np.ndarray):
-    """Positions that have a context of the kind, the number of their (context,
-    word), and the hash of each such number."""
-    begins, many = np.cumsum(sizes) - sizes, len(words) + 1
-    since = np.arange(len(ids)) - np.repeat(begins, sizes)
-    named = np.r_[words, _PAD]
-
-    def key(context: np.ndarray, code: np.ndarray) -> np.ndarray:
-        return mix(context[code // many] * _U(0x9E3779B97F4A7C15) + mix(named[code % many] + _U(kind)))
-
-    if kind == SKIP:
-        at = np.flatnonzero(since >= 2)
-        number, code = _coded(ids[at - 2] * many + ids[at])
-        return at, number, key(named, code)
-    before = np.r_[len(words), ids[:-1]]
-    before[begins] = len(words)
-    number, code = _coded(before * many + ids)
-    keys = key(named, code)
-    if kind == PREVIOUS:
-        return np.arange(len(ids)), number, keys
-    at = np.flatnonzero(since >= 1)
-    number, code = _coded(number[at - 1].astype(np.int64) * many + ids[at])
-    return at, number, key(keys, code)
-
-
-def _dealt(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the keys by part of the hash range, and the size of each part."""
-    part = ((keys >> _U(32)) * _U(parts) >> _U(32)).astype(np.uint16 if parts <= 1 << 16 else np.int64)
-    return np.argsort(part, kind="stable"), np.bincount(part, minlength=parts)
-
-
-def _squeeze(values: np.ndarray) -> bytes:
-    return pa.compress(values.astype(np.int64).tobytes(), codec="zstd", asbytes=True)
-
-
-def _stretch(raw: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(pa.decompress(raw, decompressed_size=n * 8, codec="zstd", asbytes=True), np.int64)
-
-
-def _sums(table: DataFrame, kind: int, parts: int) -> DataFrame:
-    """``chunk, kind, part, n, sums``: counts over all training texts of the
-    words (twice: all, and those with two tokens after them), or (context,
-    word) pairs, of each chunk, in its order. Rows of words without a chunk
-    hold the counts and numbers of known words by type."""
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            ids, sizes = _tokens(row)
-            words = _array(row, "words", np.uint64)
-            train = np.repeat(~np.array(row["held"], bool), sizes)
-            if kind == WORDS:
-                left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(ids)) - 1
-                keys, types = words, _array(row, "types", np.uint8)
-                columns = [np.bincount(ids[m], minlength=len(words)) for m in (train, train & (left >= 2))]
-            else:
-                at, number, keys = followers(kind, words, ids, sizes)
-                types = np.zeros(0, np.uint8)
-                columns = [np.bincount(number[train[at]], minlength=len(keys))]
-            order, n = _dealt(keys, parts)
-            ends = np.cumsum(n)
-            keys, columns = keys[order], [c[order] for c in columns]
-            types = types[order] if kind == WORDS else types
-            some = np.flatnonzero(n)
-            cuts = [(ends[p] - n[p], ends[p]) for p in some]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(some.astype(np.int32)), pa.array([row["chunk"]] * len(some), pa.int64()),
-                 pa.array([keys[a:b].tobytes() for a, b in cuts], pa.binary()),
-                 pa.array([_squeeze(np.concatenate([c[a:b] for c in columns])) for a, b in cuts], pa.binary()),
-                 pa.array([types[a:b].tobytes() for a, b in cuts], pa.binary())],
-                ["part", "chunk", "keys", "counts", "types"])
-
-    def add(rows: pa.Table) -> pa.Table:
-        part = rows.column("part")[0].as_py()
-        keys = [np.frombuffer(k, np.uint64) for k in rows.column("keys").to_pylist()]
-        sizes = [len(k) for k in keys]
-        number, distinct = _coded(np.concatenate(keys))
-        del keys
-        width = 2 if kind == WORDS else 1
-        counts = [_stretch(c, n * width).reshape(width, n) for c, n in zip(rows.column("counts").to_pylist(), sizes)]
-        # Sums as doubles are exact up to 2**53.
-        total = [np.bincount(number, np.concatenate([c[i] for c in counts]), minlength=len(distinct)).astype(np.int64)
-                 for i in range(width)]
-        chunk, n, out, at = rows.column("chunk").to_pylist(), list(sizes), [], 0
-        for size in sizes:
-            out.append(_squeeze(np.concatenate([t[number[at:at + size]] for t in total])))
-            at += size
-        if kind == WORDS:
-            type_of = np.zeros(len(distinct), np.uint8)
-            type_of[number] = np.concatenate([np.frombuffer(t, np.uint8) for t in rows.column("types").to_pylist()])
-            chunk.append(None)
-            n.append(TYPES)
-            out.append(_squeeze(np.concatenate([np.bincount(type_of, total[0], minlength=TYPES),
-                                                np.bincount(type_of, total[0] > 0, minlength=TYPES)])))
-        return pa.Table.from_arrays(
-            [pa.array(chunk, pa.int64()), pa.array([kind] * len(chunk), pa.int32()),
-             pa.array([part] * len(chunk), pa.int32()), pa.array(n, pa.int64()), pa.array(out, pa.binary())],
-            ["chunk", "kind", "part", "n", "sums"])
-
-    dealt = table.select("chunk", "held", "sizes", "ids", "n_ids", "words", "types").mapInArrow(
-        deal, "part int, chunk long, keys binary, counts binary, types binary")
-    return dealt.groupBy("part").applyInArrow(add, "chunk long, kind int, part int, n long, sums binary")
-
-
-def _stored_alone(df: DataFrame, name: str) -> DataFrame:
-    """``stored``, with the shuffle files deleted once the rows are written."""
-    conf = df.sparkSession.conf
-    before = conf.get(CLEANUP, "false")
-    conf.set(CLEANUP, "true")
+def _alone(spark, action):
+    """Run an action, its shuffle files deleted once its result is there."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
     try:
-        return stored(df, name)
+        return action()
     finally:
-        conf.set(CLEANUP, before)
+        spark.conf.set(CLEANUP, before)
 
 
-def _by_type(sums: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Training tokens and known words of each type."""
+def word_counts(table: DataFrame) -> DataFrame:
+    """``word, type, n``: training tokens of every word that has any."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, TYPES), np.int64)
         for row in _rows(batches):
-            total += _stretch(row["sums"], 2 * TYPES).reshape(2, TYPES)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(TYPES)), pa.array(total[0]), pa.array(total[1])], ["type", "n", "v"])
-
-    out = np.zeros((2, TYPES), np.int64)
-    for r in sums.where("chunk is null").select("sums").mapInArrow(run, "type long, n long, v long") \
-            .groupBy("type").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
-        out[:, r.type] = r.n, r.v
-    return out[0], out[1]
-
-
-class _Summed:
-    """The sums of one chunk, from its rows of every kind and part."""
-
-    def __init__(self, rows: pa.Table, parts: int):
-        self.parts = parts
-        self.rows = sorted(rows.select(["kind", "part", "n", "sums"]).to_pylist(),
-                           key=lambda r: (r["kind"], r["part"]))
-
-    def of(self, kind: int, keys: np.ndarray) -> list[np.ndarray]:
-        width = 2 if kind == WORDS else 1
-        found = [_stretch(r["sums"], r["n"] * width).reshape(width, -1) for r in self.rows if r["kind"] == kind]
-        order, _ = _dealt(keys, self.parts)
-        out = []
-        for i in range(width):
-            column = np.zeros(len(keys), np.int64)
-            column[order] = np.concatenate([f[i] for f in found]) if found else 0
-            out.append(column)
-        return out
-
+            n = _array(row, "counts", np.uint32)
+            at = np.flatnonzero(n)
+            for i in range(0, len(at), 1 << 16):
+                some = at[i:i + (1 << 16)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(_array(row, "words", np.int64)[some]), pa.array(_array(row, "types", np.uint8)[some].astype(np.int16)),
+                     pa.array(n[some].astype(np.int64))], ["word", "type", "n"])
 
-def context_counts(words: np.ndarray, ids: np.ndarray, sizes: np.ndarray, summed: _Summed, all_: np.ndarray,
-                   inner: np.ndarray, texts: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """By kind, from the least special context to the most: how often every
-    position's word followed its context, and how often the context was seen.
-    ``all_`` and ``inner`` are the two counts of the words."""
-    begins = np.cumsum(sizes) - sizes
-    for kind in (SKIP, PREVIOUS, PAIR):
-        at, number, keys = followers(kind, words, ids, sizes)
-        both, seen = np.zeros(len(ids)), np.zeros(len(ids))
-        both[at] = summed.of(kind, keys)[0][number]
-        if kind == SKIP:
-            seen[at] = inner[ids[at - 2]]
-        elif kind == PREVIOUS:
-            # Every word is followed by something, every text has a beginning.
-            seen[1:] = all_[ids[:-1]]
-            seen[begins] = texts
-            pairs = both
-        else:
-            seen[at] = pairs[at - 1]
-        yield both, seen
-
-
-def after_context(p: np.ndarray, both: np.ndarray, seen: np.ndarray, strength: float) -> np.ndarray:
-    """Probability after a context: its counts and ``strength`` times what was
-    known before, ``p``. Over all words it sums to one if ``p`` does."""
-    return (both / strength + p) / (seen / strength + 1)
-
-
-def _class_share(model: ClassModel, words, types, ids, sizes) -> np.ndarray:
-    """Probability of every position's class."""
-    out, ends, word_class = np.empty(len(ids)), np.cumsum(sizes), model.classes[types]
-    for a, b in _spans(sizes):
-        lo, hi = ends[a] - sizes[a], ends[b - 1]
-        rows = contexts(words, types, ids[lo:hi], sizes[a:b])
-        y = word_class[ids[lo:hi]]
-        for i in range(0, len(y), BATCH):
-            p = class_probabilities(model.weights, rows[:, i:i + BATCH])
-            out[lo + i:lo + i + len(p)] = p[np.arange(len(p)), y[i:i + BATCH]]
-    return out
+    return table.select("words", "types", "counts").mapInArrow(run, "word long, type short, n long") \
+        .groupBy("word").agg(F.max("type").alias("type"), F.sum("n").alias("n"))
 
 
-def _strengths(table: DataFrame, sums: DataFrame, parts: int, model: ClassModel, totals: dict) -> tuple:
-    """The strengths under which training positions, each left out of the
-    counts, are likeliest."""
-    some = [r.chunk for r in table.select("chunk").orderBy(F.xxhash64("chunk")).limit(FIT_CHUNKS).collect()]
-    shared = table.sparkSession.sparkContext.broadcast((model, totals))
-    choices = list(itertools.product(STRENGTHS, repeat=3))
+def cell_totals(counts: DataFrame, classes: np.ndarray) -> dict:
+    """Training tokens and known words of every cell (class and group)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, TYPES * GROUPS), np.int64)
+        for batch in batches:
+            cell = batch.column("type").to_numpy().astype(np.int64) * GROUPS + \
+                word_groups(batch.column("word").to_numpy().view(np.uint64))
+            total[0] += np.bincount(cell, batch.column("n").to_numpy(), minlength=total.shape[1]).astype(np.int64)
+            total[1] += np.bincount(cell, minlength=total.shape[1])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.shape[1])), pa.array(total[0]), pa.array(total[1])],
+                                         ["cell", "n", "v"])
+
+    n, v = np.zeros((CLASSES, GROUPS), np.int64), np.zeros((CLASSES, GROUPS), np.int64)
+    for r in counts.mapInArrow(run, "cell long, n long, v long").groupBy("cell") \
+            .agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
+        at = classes[r.cell // GROUPS], r.cell % GROUPS
+        n[at] += r.n
+        v[at] += r.v
+    # The end token is alone in its class, so it has no group.
+    n[0], v[0] = n[0].sum(), v[0].sum()
+    return {"cell_n": n, "cell_v": v, "n": int(n[1:].sum() + n[0, 0]), "v": int(v[1:].sum() + v[0, 0])}
+
+
+def chunk_counts(table: DataFrame, counts: DataFrame) -> DataFrame:
+    """``chunk, word, n``: the count of every known word of every chunk. A
+    common word has a row for each chunk, on the side of the join that may be
+    split; the other side has one row per word."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            words = _array(row, "words", np.int64)
+            for i in range(0, len(words), 1 << 16):
+                some = words[i:i + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), row["chunk"])), pa.array(some)], ["chunk", "word"])
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        model, totals = shared.value
-        logs = np.zeros(len(choices))
-        for row in _rows(left.to_batches()):
-            ids, sizes = _tokens(row)
-            words, types = _array(row, "words", np.uint64), _array(row, "types", np.uint8)
-            at = np.flatnonzero(np.repeat(~np.array(row["held"], bool), sizes))
-            at = at[::max(1, len(at) // FIT_POSITIONS)]
-            summed = _Summed(right, parts)
-            all_, inner = summed.of(WORDS, words)
-            p = _class_share(model, words, types, ids, sizes)[at]
-            p *= all_[ids[at]] / (totals["class_n"] + totals["class_v"])[model.classes[types]][ids[at]]
-            # A position without a context of the kind has no counts to leave out.
-            skip, previous, pair = ((np.maximum(both[at] - 1, 0), np.maximum(seen[at] - 1, 0)) for both, seen in
-                                    context_counts(words, ids, sizes, summed, all_, inner, int(totals["class_n"][0])))
-            i = 0
-            for a in STRENGTHS:
-                one = after_context(p, *skip, a)
-                for b in STRENGTHS:
-                    two = after_context(one, *previous, b)
-                    for c in STRENGTHS:
-                        logs[i] += np.log(after_context(two, *pair, c)).sum()
-                        i += 1
-        return pa.Table.from_arrays([pa.array([logs.tobytes()], pa.binary())], ["logs"])
-
-    if not some:
-        return (np.inf,) * 3
-    rows = _beside(table.where(F.col("chunk").isin(some)), sums.where(F.col("chunk").isin(some))) \
-        .applyInArrow(run, "logs binary").collect()
-    return choices[int(np.argmax(sum(np.frombuffer(r.logs) for r in rows)))]
-
-
-def _beside(table: DataFrame, sums: DataFrame):
-    return table.select("chunk", "doc_ids", "held", "sizes", "ids", "n_ids", "words", "types").groupBy("chunk") \
-        .cogroup(sums.where("chunk is not null").groupBy("chunk"))
+    wanted = table.select("chunk", "words").mapInArrow(run, "chunk long, word long")
+    return wanted.join(counts.select("word", "n"), "word").select("chunk", "word", "n")
 
 
 def _cells(table: DataFrame) -> np.ndarray:
@@ -598,37 +463,59 @@ def _cells(table: DataFrame) -> np.ndarray:
     return out.reshape(TYPES, TYPES)
 
 
-def _score_chunks(table: DataFrame, sums: DataFrame, parts: int, model: ClassModel, totals: dict,
-                  strengths: tuple) -> DataFrame:
-    shared = table.sparkSession.sparkContext.broadcast((model, totals))
+def learn(table: DataFrame, counts: DataFrame) -> dict:
+    """The model of a chunk table's training texts: a dict of arrays."""
+    tokens, size = table.agg(F.coalesce(F.sum("n_ids"), F.lit(0)),
+                             F.coalesce(F.sum(F.octet_length("ids") + F.octet_length("words")), F.lit(0))).first()
+    classes, buckets = type_classes(_cells(table)), buckets_for(tokens)
+    weights = train(table, classes, buckets, max(1, -(-size // TASK_BYTES)))
+    return {"classes": classes, "buckets": buckets, "weights": weights, **cell_totals(counts, classes)}
+
+
+def token_scores(model: dict, row: dict, ids: np.ndarray, sizes: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """log10 probability of every position of a chunk; ``count``: of its words."""
+    words, types = _array(row, "words", np.uint64), _array(row, "types", np.uint8)
+    cell = model["classes"][types], word_groups(words)
+    out = np.log10((count + 1) / (model["cell_n"] + model["cell_v"] + 1)[cell])[ids]
+    ends = np.cumsum(sizes)
+    for a, b in _spans(sizes):
+        lo, hi = ends[a] - sizes[a], ends[b - 1]
+        for weights, features, outcome, meant in _factors(model, row, ids[lo:hi], sizes[a:b]):
+            p = np.empty(len(outcome))
+            for i in range(0, len(outcome), BATCH):
+                y = outcome[i:i + BATCH]
+                p[i:i + BATCH] = probabilities(weights, [f[i:i + BATCH] for f in features])[np.arange(len(y)), y]
+            out[lo:hi][meant] += np.log10(p)
+    return out
+
+
+def score_chunks(table: DataFrame, counts: DataFrame, model: dict) -> DataFrame:
+    """Every document's numbers; ``counts`` as of ``chunk_counts``."""
+    shared = table.sparkSession.sparkContext.broadcast(model)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        model, totals = shared.value
+        model = shared.value | _split(shared.value["weights"], shared.value["buckets"])
         names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        known, n = right.column("word").to_numpy().view(np.uint64), right.column("n").to_numpy()
         out = []
         for row in _rows(left.to_batches()):
             ids, sizes = _tokens(row)
-            words, types = _array(row, "words", np.uint64), _array(row, "types", np.uint8)
-            summed = _Summed(right, parts)
-            c, inner = summed.of(WORDS, words)
-            base = np.log10((c + 1) / (totals["n"] + totals["v"] + 1))
-            in_class = (c + 1) / (totals["class_n"] + totals["class_v"] + 1)[model.classes[types]]
-            p = _class_share(model, words, types, ids, sizes) * in_class[ids]
-            counts = context_counts(words, ids, sizes, summed, c, inner, int(totals["class_n"][0]))
-            for (both, seen), strength in zip(counts, strengths):
-                p = after_context(p, both, seen, strength)
+            words = _array(row, "words", np.uint64)  # in ascending order
+            count = np.zeros(len(words), np.int64)
+            count[np.searchsorted(words, known)] = n
+            base = np.log10((count + 1) / (model["n"] + model["v"] + 1))
             doc = np.repeat(np.arange(len(sizes)), sizes)
-            total = lambda v: np.bincount(doc, v[ids], minlength=len(sizes))
+            total = lambda v: np.bincount(doc, v, minlength=len(sizes))
             out.append(pa.Table.from_arrays(
                 [pa.array(row["doc_ids"], kinds[0]), pa.array(row["held"], kinds[1]), pa.array(sizes),
-                 pa.array(total((c > 0).astype(float)).astype(np.int64)), pa.array(total(base)),
-                 pa.array(np.bincount(doc, np.log10(p), minlength=len(sizes)))], names))
-        return pa.concat_tables(out) if out else pa.Table.from_arrays(
-            [pa.array([], k) for k in kinds], names)
+                 pa.array(total((count > 0).astype(float)[ids]).astype(np.int64)), pa.array(total(base[ids])),
+                 pa.array(total(token_scores(model, row, ids, sizes, count)))], names))
+        return pa.concat_tables(out) if out else pa.Table.from_arrays([pa.array([], k) for k in kinds], names)
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    return _beside(table, sums).applyInArrow(run, schema)
+    return table.select("chunk", "doc_ids", "held", "sizes", "ids", "n_ids", "words", "types").groupBy("chunk") \
+        .cogroup(counts.groupBy("chunk")).applyInArrow(run, schema)
 
 
 def score(docs: DataFrame, held_out: Column) -> DataFrame:
@@ -640,21 +527,13 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     the model's. Null and empty texts are one end token; repeated rows count
     and score each; a null ``held_out`` is training; without training texts
     counts are zero; an empty table gives no rows. Only ``doc_id`` and ``text``
-    are read. Words and their contexts are told apart by a 64-bit hash.
+    are read. Words are told apart by a 64-bit hash.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                        F.coalesce(held_out, F.lit(False)).alias("held"))
     table = stored(chunks(rows), "chunks")
-    parts = -(-(table.agg(F.sum("n_ids")).first()[0] or 1) // PART)
-    sums = None
-    for kind in (WORDS, SKIP, PREVIOUS, PAIR):
-        more = _stored_alone(_sums(table, kind, parts), f"sums-{kind}")
-        sums = sums.union(more) if sums else more
-    type_n, type_v = _by_type(sums)
-    classes = type_classes(_cells(table))
-    model = train(table, classes)
-    class_n, class_v = (np.bincount(classes, x, minlength=CLASSES).astype(np.int64) for x in (type_n, type_v))
-    totals = {"n": int(class_n.sum()), "v": int(class_v.sum()), "class_n": class_n, "class_v": class_v}
-    strengths = _strengths(table, sums, parts, model, totals)
-    return _score_chunks(table, sums, parts, model, totals, strengths) \
-        .withColumn("train_tokens", F.lit(totals["n"]).cast("long"))
+    counts = _alone(spark, lambda: stored(word_counts(table), "word-counts"))
+    model = learn(table, counts)
+    found = _alone(spark, lambda: stored(chunk_counts(table, counts), "chunk-counts"))
+    return score_chunks(table, found, model).withColumn("train_tokens", F.lit(model["n"]).cast("long"))
