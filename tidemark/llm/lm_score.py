@@ -51,11 +51,11 @@ BUCKETS = (8192, 16384, 8192)
 SMALL_CORPUS, GROWTH, MOST_BUCKETS = 1 << 22, 8, 1 << 16
 #: Rounds of training; each takes another share of the texts.
 ROUNDS = 3
-BATCH = 16384
+BATCH = 8192
 RATE = 0.3
 #: Where the sum of squared gradients starts: rare features move little.
 FIRST_SQUARES = 10.0
-#: Bound of the summed weights of one outcome.
+#: Bound of the summed weights of one outcome; each kind of feature has an equal part.
 LIMIT = 30.0
 #: Tokens that one step of a task works on.
 SPAN = 1 << 18
@@ -229,14 +229,20 @@ def group_features(words, types, ids, sizes, buckets, class_of) -> tuple[list[np
     return [*mixed, mine], [*buckets, CLASSES]
 
 
+def scores(weights: list[np.ndarray], features: list[np.ndarray]) -> np.ndarray:
+    """Exponentials of every outcome's summed weights for a batch of positions;
+    weights are held so small that no sum exceeds ``LIMIT``."""
+    z = np.take(weights[0], features[0], axis=0, mode="clip")
+    other = np.empty_like(z)
+    for w, f in zip(weights[1:], features[1:]):
+        z += w if len(w) == 1 else np.take(w, f, axis=0, mode="clip", out=other)
+    return np.exp(z, out=z)
+
+
 def probabilities(weights: list[np.ndarray], features: list[np.ndarray]) -> np.ndarray:
     """Probability of every outcome for a batch of positions: a softmax of the
-    summed weights of their features, held within ``LIMIT``."""
-    z = np.take(weights[0], features[0], axis=0)
-    for w, f in zip(weights[1:], features[1:]):
-        z += np.take(w, f, axis=0)
-    np.clip(z, -LIMIT, LIMIT, out=z)
-    np.exp(z, out=z)
+    summed weights of their features."""
+    z = scores(weights, features)
     z /= z.sum(axis=1, keepdims=True)
     return z
 
@@ -244,18 +250,23 @@ def probabilities(weights: list[np.ndarray], features: list[np.ndarray]) -> np.n
 def gradient_steps(weights: list[np.ndarray], squares: list[np.ndarray], features: list[np.ndarray],
                    target: np.ndarray) -> None:
     """Adagrad steps over batches of positions, in place."""
+    bound = np.float32(LIMIT / len(weights))
     for i in range(0, len(target), BATCH):
         part, y = [f[i:i + BATCH] for f in features], target[i:i + BATCH]
         g = probabilities(weights, part)
         g[np.arange(len(y)), y] -= 1
+        held = np.empty_like(g)
         for w, s, f in zip(weights, squares, part):
-            order = np.argsort(f, kind="stable")  # a radix sort: features are 16-bit numbers
-            f = f[order]
-            start = np.flatnonzero(np.r_[True, f[1:] != f[:-1]])
-            total = np.add.reduceat(g[order], start, axis=0)
-            row = f[start]
-            s[row] += (total * total).mean(axis=1)
-            w[row] -= (RATE / np.sqrt(s[row]))[:, None] * total
+            if len(w) == 1:
+                row, total = np.zeros(1, np.int64), g.sum(axis=0, keepdims=True)
+            else:
+                order = np.argsort(f, kind="stable")  # a radix sort: features are 16-bit numbers
+                f = f[order]
+                start = np.flatnonzero(np.r_[True, f[1:] != f[:-1]])
+                row, total = f[start], np.add.reduceat(np.take(g, order, axis=0, mode="clip", out=held), start, axis=0)
+            s[row] += np.einsum("ij,ij->i", total, total) / np.float32(w.shape[1])
+            total *= (np.float32(RATE) / np.sqrt(s[row]))[:, None]
+            w[row] = np.clip(w[row] - total, -bound, bound)
 
 
 def word_groups(words: np.ndarray) -> np.ndarray:
@@ -433,18 +444,20 @@ def cell_totals(counts: DataFrame, classes: np.ndarray) -> dict:
 
 
 def chunk_counts(table: DataFrame, counts: DataFrame) -> DataFrame:
-    """``chunk, word, n``: the count of every known word of every chunk. A
-    common word has a row for each chunk, on the side of the join that may be
-    split; the other side has one row per word."""
+    """``chunk, place, n``: the count of every known word of every chunk, by its
+    place among the chunk's words. A common word has a row for each chunk, on
+    the side of the join that may be split; the other side has one row a word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             words = _array(row, "words", np.int64)
             for i in range(0, len(words), 1 << 16):
                 some = words[i:i + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), row["chunk"])), pa.array(some)], ["chunk", "word"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(some), row["chunk"])), pa.array(np.arange(i, i + len(some), dtype=np.int32)),
+                     pa.array(some)], ["chunk", "place", "word"])
 
-    wanted = table.select("chunk", "words").mapInArrow(run, "chunk long, word long")
-    return wanted.join(counts.select("word", "n"), "word").select("chunk", "word", "n")
+    wanted = table.select("chunk", "words").mapInArrow(run, "chunk long, place int, word long")
+    return wanted.join(counts.select("word", "n"), "word").select("chunk", "place", "n")
 
 
 def _cells(table: DataFrame) -> np.ndarray:
@@ -484,7 +497,8 @@ def token_scores(model: dict, row: dict, ids: np.ndarray, sizes: np.ndarray, cou
             p = np.empty(len(outcome))
             for i in range(0, len(outcome), BATCH):
                 y = outcome[i:i + BATCH]
-                p[i:i + BATCH] = probabilities(weights, [f[i:i + BATCH] for f in features])[np.arange(len(y)), y]
+                z = scores(weights, [f[i:i + BATCH] for f in features])
+                p[i:i + BATCH] = z[np.arange(len(y)), y] / z.sum(axis=1)
             out[lo:hi][meant] += np.log10(p)
     return out
 
@@ -497,13 +511,12 @@ def score_chunks(table: DataFrame, counts: DataFrame, model: dict) -> DataFrame:
         model = shared.value | _split(shared.value["weights"], shared.value["buckets"])
         names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-        known, n = right.column("word").to_numpy().view(np.uint64), right.column("n").to_numpy()
+        known, n = right.column("place").to_numpy(), right.column("n").to_numpy()
         out = []
         for row in _rows(left.to_batches()):
             ids, sizes = _tokens(row)
-            words = _array(row, "words", np.uint64)  # in ascending order
-            count = np.zeros(len(words), np.int64)
-            count[np.searchsorted(words, known)] = n
+            count = np.zeros(len(row["words"]) // 8, np.int64)
+            count[known] = n
             base = np.log10((count + 1) / (model["n"] + model["v"] + 1))
             doc = np.repeat(np.arange(len(sizes)), sizes)
             total = lambda v: np.bincount(doc, v, minlength=len(sizes))
