@@ -126,9 +126,12 @@ def test_runs_are_recorded_also_when_they_fail(spark):
     refresh(store, bronze_rows(spark, [event("1"), event("2")]), "a", ledger=path)
     with pytest.raises(Exception):
         refresh(store, bronze_rows(spark, [event("3")]), "b", name_rule="none such", ledger=path)
-    rows = {r.status: (r["rows"], r.error) for r in run_ledger.read_runs(spark, path).collect()}
-    assert rows["success"] == (2, None)
-    assert rows["failure"][0] == 0 and "none such" in rows["failure"][1]
+    rows = sorted((r.asset, r.partition, r.status, r["rows"], r.error and "none such" in r.error)
+                  for r in run_ledger.read_runs(spark, path).collect() if r.asset == run_ledger.INGEST_ASSET)
+    hour = "2024-01-15-05:00"
+    assert rows == [("raw.gh_events", hour, "failure", 0, True), ("raw.gh_events", hour, "success", 2, None)]
+    builds = {r.status: r for r in run_ledger.read_runs(spark, path).where("asset = 'dbt_build'").collect()}
+    assert builds["success"]["rows"] is None and builds["failure"]["rows"] is None and builds["failure"].partition is None
     # An unusable ledger does not fail the work.
     assert refresh(store, bronze_rows(spark, [event("4")]), "c", ledger="nowhere://x/y")
     assert len(read_model(store, "bronze").collect()) == 3

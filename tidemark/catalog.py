@@ -15,9 +15,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import gold, health, quality, serving, silver
+from tidemark.operators import cube, gold, health, members, merge, quality, serving, silver
 from tidemark.plans import medallion
-from tidemark.session import configure
+from tidemark.session import configure, scratch_path
 from tidemark.sources import binding, hours
 
 # Fixed parameters of the registered queries.
@@ -393,3 +393,88 @@ def q_sla_status(spark, sf_dir):
 def q_overall_status(spark, sf_dir):
     b = bronze(spark, sf_dir)
     return health.overall_status(binding.runs(b), b, AS_OF)
+
+
+# -------------------------------------------- tables that a load merges into
+
+LAST_LOADS = datetime(2024, 1, 21)  # the loads from here on are the last batch
+
+
+class _LastBatch:
+    """Stored tables as the last load batch finds them, and what it brings."""
+
+    def __init__(self, spark, sf_dir):
+        def stored(name, df):
+            medallion.write_model(df, f"{self.root}/{name}")
+            return spark.read.parquet(f"{self.root}/{name}")
+
+        self.root, self.stored = scratch_path(spark, "last-batch"), stored
+        rows, late = landing(spark, sf_dir), F.col("_loaded_at") >= F.lit(LAST_LOADS).cast("timestamp_ntz")
+        self.stg = stored("stg", silver.stg_events(merge.merge_bronze(None, rows)))
+        self.before = stored("before", silver.stg_events(merge.merge_bronze(None, rows.where(~late))))
+        self.days = stored("days", members.touched_days(rows.where(late), self.before))
+
+    def again(self):
+        """Staged rows of the touched days, the batch applied."""
+        return self.stg.join(self.days, "event_date", "left_semi")
+
+    def dimension(self, of):
+        facts, sets = members.day_facts(self.before, of), members.day_members(self.before, of)
+        facts, sets = self.stored("facts", facts), self.stored("sets", sets)
+        return members.merge_dimension(
+            members.dimension(facts, sets, of), facts, sets,
+            members.day_facts(self.again(), of), members.day_members(self.again(), of), self.days, of)
+
+    def cube(self):
+        """The stored cube after the batch."""
+        old = self.stored("cube", cube.minute_cube(self.before))
+        medallion.write_model(cube.replace_days(old, self.stg, self.days), f"{self.root}/cube-after", partition_by="event_date")
+        return self.before.sparkSession.read.parquet(f"{self.root}/cube-after")
+
+
+@register("dim_repo_merged")
+def q_dim_repo_merged(spark, sf_dir):
+    """A2 after the last batch, merged into the dimension of the loads before."""
+    return _LastBatch(spark, sf_dir).dimension(members.REPO)
+
+
+@register("dim_actor_merged")
+def q_dim_actor_merged(spark, sf_dir):
+    """A3 after the last batch, merged into the dimension of the loads before."""
+    return _LastBatch(spark, sf_dir).dimension(members.ACTOR)
+
+
+@register("repo_momentum_spliced")
+def q_repo_momentum_spliced(spark, sf_dir):
+    """W1 after the last batch, spliced into the momentum of the loads before."""
+    last = _LastBatch(spark, sf_dir)
+    old = last.stored("momentum", gold.repo_momentum(gold.repo_daily_activity(last.before)))
+    new = gold.score_momentum(gold.repo_daily_activity(last.again()))
+    return members.splice_change(old, new, last.days)
+
+
+@register("cube_headline_metrics")
+def q_cube_headline_metrics(spark, sf_dir):
+    """V1 from a count cube kept by load, and the dimensions."""
+    last, m = _LastBatch(spark, sf_dir), models(spark, sf_dir)
+    return cube.headline_metrics(last.cube(), m.dim_repo, m.dim_actor, m.quarantine)
+
+
+@register("cube_per_minute_by_type")
+def q_cube_per_minute_by_type(spark, sf_dir):
+    return cube.per_minute_by_type(_LastBatch(spark, sf_dir).cube())
+
+
+@register("cube_per_minute_total")
+def q_cube_per_minute_total(spark, sf_dir):
+    return cube.per_minute_total(_LastBatch(spark, sf_dir).cube())
+
+
+@register("cube_composition_by_minute")
+def q_cube_composition(spark, sf_dir):
+    return cube.composition_by_minute(_LastBatch(spark, sf_dir).cube())
+
+
+@register("cube_peak_minute")
+def q_cube_peak_minute(spark, sf_dir):
+    return cube.peak_minute(_LastBatch(spark, sf_dir).cube())

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -162,65 +162,116 @@ def _check_row(name: str, model: str, column: str | None, failures: Column) -> l
     ]
 
 
-def _not_null_rows(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    return counts.unpivot([], columns, "column_name", "failures").select(
-        F.lit("not_null").alias("check_name"), F.lit(model).alias("model"),
-        "column_name", F.col("failures").cast("bigint").alias("failures"))
+#: What the build asserts of each model: (columns never null, columns without
+#: repeated values, key of the model's grain).
+RULES: dict[str, tuple[list[str], list[str], list[str]]] = {
+    "bronze": (["event_id"], ["event_id"], []),
+    "stg": (["event_id", "event_type", "repo_id", "actor_id", "created_at_utc", "event_date"], ["event_id"], []),
+    "quarantine": (["dq_reason"], [], []),
+    "dim_repo": (["repo_sk", "repo_id"], ["repo_sk", "repo_id"], []),
+    "dim_actor": (["actor_sk", "actor_id"], ["actor_sk", "actor_id"], []),
+    "fact": (["event_id", "repo_sk", "actor_sk"], ["event_id"], []),
+    "momentum": (["momentum_score"], [], ["repo_id", "event_date"]),
+}
+#: Foreign keys: (child, column, parent that must hold it).
+REFERENCES = [("fact", "repo_sk", "dim_repo"), ("fact", "actor_sk", "dim_actor")]
+_NULLS = [f"n{i}" for i in range(max(len(r[0]) for r in RULES.values()))]
+
+
+def check_keys(model: str, df: DataFrame) -> DataFrame:
+    """One model's share of the long check table, from one scan: ``space, key,
+    held, wanted, n0 ..``.
+
+    A row per unique or grain key says that the model holds the key once, a row
+    per foreign key that it wants it from the parent's key space; one more row
+    without a key carries the null flags of the model's columns. All counters
+    are sums, so rows of one key collapse map-side.
+    """
+    not_null, unique, grain = RULES[model]
 
+    def row(space: str, key: Column, held: int, wanted: int, nulls: tuple[Column, ...] = ()) -> Column:
+        counts = [*nulls, *[F.lit(0)] * (len(_NULLS) - len(nulls))]
+        return F.struct(F.lit(space).alias("space"), key.cast("string").alias("key"),
+                        F.lit(held).cast("long").alias("held"), F.lit(wanted).cast("long").alias("wanted"),
+                        *[c.cast("long").alias(n) for n, c in zip(_NULLS, counts)])
 
-def _unique_row(df: DataFrame, model: str, column: str) -> DataFrame:
-    dup = check_unique(df, column)
-    return dup.agg(F.count("*").alias("f")).select(*_check_row("unique", model, column, F.col("f")))
+    rows = [row(f"rows:{model}", F.lit(None), 1, 0, tuple(F.col(c).isNull().cast("int") for c in not_null))]
+    rows += [row(f"unique:{model}.{c}", F.col(c), 1, 0) for c in unique]
+    if grain:
+        rows.append(row(f"grain:{model}", F.to_json(F.struct(*grain), {"ignoreNullFields": "false"}), 1, 0))
+    rows += [row(f"unique:{parent}.{c}", F.col(c), 0, 1) for child, c, parent in REFERENCES if child == model]
+    return df.select(F.inline(F.array(*rows))).where("key is not null or space like 'rows:%'")
 
 
-def _orphan_row(df: DataFrame, model: str, parent: DataFrame, key: str) -> DataFrame:
-    """Rows without a parent. The child is counted by key first, so a key that
-    many rows hold meets the parents once."""
-    by_key = df.groupBy(key).agg(F.count("*").alias("n"))
-    return check_relationship(by_key, parent, key).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("x")).select(
-        *_check_row("relationships", model, key, F.col("x")))
+def check_spaces(tables: dict[str, DataFrame]) -> DataFrame:
+    """``space, rows, repeated, orphans, n0 ..``: the counters behind every check.
+    All models' keys meet in one shuffle; a row per key space is left."""
+    spark = tables["bronze"].sparkSession
+    # An empty model still has its row of counters.
+    long = spark.range(1).select(F.explode(F.array(*[F.lit(f"rows:{m}") for m in RULES])).alias("space"),
+                                 F.lit(None).cast("string").alias("key"),
+                                 *[F.lit(0).cast("long").alias(c) for c in ("held", "wanted", *_NULLS)])
+    for model in RULES:
+        long = long.unionByName(check_keys(model, tables[model]))
+    per_key = long.groupBy("space", "key").agg(*[F.sum(c).alias(c) for c in ("held", "wanted", *_NULLS)])
+    return per_key.groupBy("space").agg(
+        F.sum("held").alias("rows"), F.count_if(F.col("key").isNotNull() & (F.col("held") > 1)).alias("repeated"),
+        F.coalesce(F.sum(F.when(F.col("held") == 0, F.col("wanted"))), F.lit(0)).alias("orphans"),
+        *[F.sum(n).alias(n) for n in _NULLS])
 
 
 def run_checks(tables: dict[str, DataFrame]) -> DataFrame:
     """Q9: every generic and singular test as one result table.
 
     ``tables`` holds ``bronze, stg, quarantine, dim_repo, dim_actor, fact,
-    momentum``. ``failures`` is the number of failing rows (for ``unique``,
-    duplicated keys); ``status`` is ``pass`` when it is zero.
+    momentum``. ``failures`` is the number of failing rows (for ``unique`` and
+    the grain, repeated keys); ``status`` is ``pass`` when it is zero. Each
+    model is scanned once, and all unique, grain and foreign keys share one
+    shuffle.
     """
-    b, s, q = tables["bronze"], tables["stg"], tables["quarantine"]
-    dr, da, f, m = tables["dim_repo"], tables["dim_actor"], tables["fact"], tables["momentum"]
-    parts = [
-        _unique_row(b, "raw.gh_events", "event_id"),
-        _not_null_rows(b, "raw.gh_events", ["event_id"]),
-        _unique_row(s, "stg_events", "event_id"),
-        _not_null_rows(s, "stg_events", ["event_id", "event_type", "repo_id", "actor_id",
-                                         "created_at_utc", "event_date"]),
-        _not_null_rows(q, "quarantine_events", ["dq_reason"]),
-        _unique_row(dr, "dim_repo", "repo_sk"),
-        _unique_row(dr, "dim_repo", "repo_id"),
-        _not_null_rows(dr, "dim_repo", ["repo_sk", "repo_id"]),
-        _unique_row(da, "dim_actor", "actor_sk"),
-        _unique_row(da, "dim_actor", "actor_id"),
-        _not_null_rows(da, "dim_actor", ["actor_sk", "actor_id"]),
-        _unique_row(f, "fact_events", "event_id"),
-        _not_null_rows(f, "fact_events", ["event_id", "repo_sk", "actor_sk"]),
-        _orphan_row(f, "fact_events", dr, "repo_sk"),
-        _orphan_row(f, "fact_events", da, "actor_sk"),
-        _not_null_rows(m, "agg_daily_repo_momentum", ["momentum_score"]),
-        check_reconciliation(b, s, q).agg(F.count("*").alias("x")).select(
-            *_check_row("assert_bronze_reconciliation", "raw.gh_events", None, F.col("x"))),
-        check_grain(m, ["repo_id", "event_date"]).agg(F.count("*").alias("x")).select(
-            *_check_row("assert_momentum_grain_unique", "agg_daily_repo_momentum", None,
-                        F.col("x"))),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn(
-        "status", F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail")))
+    spark = tables["bronze"].sparkSession
+    spec = []  # space, measure, then the check's name, model and column
+    for model, (not_null, unique, grain) in RULES.items():
+        spec += [(f"rows:{model}", n, "not_null", MODELS[model], c) for n, c in zip(_NULLS, not_null)]
+        spec += [(f"unique:{model}.{c}", "repeated", "unique", MODELS[model], c) for c in unique]
+        if grain:
+            spec.append((f"grain:{model}", "repeated", "assert_momentum_grain_unique", MODELS[model], None))
+    spec += [(f"unique:{parent}.{c}", "orphans", "relationships", MODELS[child], c) for child, c, parent in REFERENCES]
+    spec.append(("rows:bronze", "unreconciled", "assert_bronze_reconciliation", MODELS["bronze"], None))
+    checks = spark.createDataFrame(spec, "space string, measure string, check_name string, model string, column_name string")
+    whole = Window.partitionBy()  # over one row per key space
+
+    def rows_of(model: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("space") == f"rows:{model}", F.col("rows"))).over(whole), F.lit(0))
+
+    spaces = check_spaces(tables).withColumn("unreconciled", (
+        rows_of("bronze") != rows_of("stg") + rows_of("quarantine")).cast("long"))
+    measures = spaces.select("space", F.create_map(*[x for m in ("repeated", "orphans", "unreconciled", *_NULLS)
+                                                     for x in (F.lit(m), F.col(m))]).alias("measures"))
+    return checks.join(measures, "space", "left").select(
+        "check_name", "model", "column_name",
+        F.coalesce(F.element_at("measures", F.col("measure")), F.lit(0)).cast("bigint").alias("failures")) \
+        .withColumn("status", F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail")))
+
+
+def write_metrics(model: str) -> list[Column]:
+    """Aggregates to observe while ``model`` is written: its rows, and the nulls
+    of each column that must have none."""
+    return [F.count(F.lit(1)).alias("rows"),
+            *[F.count_if(F.col(c).isNull()).alias(f"nulls.{c}") for c in RULES[model][0]]]
+
+
+def observed_checks(spark: SparkSession, metrics: dict[str, dict[str, int]]) -> DataFrame:
+    """``not_null`` and reconciliation from what was observed while the models
+    were written (``write_metrics``), without reading them again."""
+    rows = [("not_null", MODELS[model], c, metrics[model][f"nulls.{c}"])
+            for model in RULES if model in metrics for c in RULES[model][0]]
+    if {"bronze", "stg", "quarantine"} <= set(metrics):
+        n = {m: metrics[m]["rows"] for m in ("bronze", "stg", "quarantine")}
+        rows.append(("assert_bronze_reconciliation", MODELS["bronze"], None,
+                     int(n["bronze"] != n["stg"] + n["quarantine"])))
+    results = spark.createDataFrame(rows, "check_name string, model string, column_name string, failures long")
+    return results.withColumn("status", F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail")))
 
 
 def monitor_checks(tables: dict[str, DataFrame], as_of) -> DataFrame:

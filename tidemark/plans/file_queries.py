@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog import AS_OF, bronze, landing, models, register, runs
 from tidemark.functions.columns import file_instant, hour_file_name, hour_partition_key, partition_key_to_file
-from tidemark.operators import quality, silver
+from tidemark.operators import drift, health, quality, silver
 from tidemark.operators.merge import merge_bronze, upsert
+from tidemark.plans import medallion
 from tidemark.plans.incremental import new_rows, read_model, refresh
-from tidemark.schemas import FACT_COLUMNS, STG_COLUMNS
+from tidemark.schemas import FACT_COLUMNS, RAW_EVENT, STG_COLUMNS
 from tidemark.session import scratch_path
 from tidemark.sources import binding, events_csv, events_json, run_ledger
 from tidemark.sources.tables import TableStore
@@ -175,9 +176,68 @@ def q_stream_then_refresh(spark, sf_dir):
     return read_model(store, "stg", STG_COLUMNS)
 
 
+def drifting_feed(spark, sf_dir) -> str:
+    """Raw lines in a folder per load batch. From the second load on, records
+    name their organisation; the third has no payload, and actor ids are text."""
+    shapes = []
+    for number, rows in enumerate(load_batches(landing(spark, sf_dir))):
+        docs = events_json.raw_documents(rows, ("repo_id", "repo_name")).drop("_source_file")
+        if number > 0:
+            docs = docs.withColumn("org", F.struct(F.floor(F.col("repo_id") / 1000).alias("id"),
+                                                   F.split("repo_name", "/")[0].alias("login")))
+        if number == 2:
+            docs = docs.drop("payload").withColumn("actor", F.struct(
+                F.col("actor.id").cast("string").alias("id"), F.col("actor.login").alias("login")))
+        docs = docs.drop("repo_id", "repo_name")
+        shapes.append(docs.select(F.to_json(F.struct(*docs.columns)).alias("value"), F.lit(f"load-{number}").alias("load")))
+    root = scratch_path(spark, "drifting-feed")
+    shapes[0].unionByName(shapes[1]).unionByName(shapes[2]).write.partitionBy("load").text(root)
+    return root
+
+
+def feed_shapes(spark, sf_dir):
+    """The logged shape of every load of the drifting feed."""
+    root, log = drifting_feed(spark, sf_dir), scratch_path(spark, "feed-shapes")
+    load = F.regexp_extract("_metadata.file_path", "load=([^/]+)/", 1)
+    drift.log_shapes(log, drift.raw_records(spark, f"{root}/*", load))
+    return spark.read.parquet(log)
+
+
+@register("feed_schema_drift")
+def q_feed_schema_drift(spark, sf_dir):
+    """Q8: fields that later loads of the feed added, dropped and retyped."""
+    return drift.schema_drift(feed_shapes(spark, sf_dir))
+
+
+@register("feed_contract_violations")
+def q_feed_contract_violations(spark, sf_dir):
+    """Q8: fields that the raw reader declares and a load lacks or types otherwise."""
+    return drift.contract_violations(feed_shapes(spark, sf_dir), RAW_EVENT)
+
+
+@register("observed_checks")
+def q_observed_checks(spark, sf_dir):
+    """Q2 and Q4 observed while the models of a build were written."""
+    metrics: dict = {}
+    medallion.materialize(spark, bronze(spark, sf_dir), scratch_path(spark, "observed-build"), metrics=metrics)
+    return quality.observed_checks(spark, metrics)
+
+
 @register("run_log")
 def q_run_log(spark, sf_dir):
-    """S10 from real runs: two refreshes and one that fails; asset, status, rows."""
+    """S10 from real runs: two refreshes and one that fails; asset, hour, status, rows."""
+    return run_ledger.read_runs(spark, _real_runs(spark, sf_dir)).select("asset", "partition", "status", "rows")
+
+
+@register("ingested_hours")
+def q_ingested_hours(spark, sf_dir):
+    """M7 on a ledger of real runs: the hours loaded, how often and with how many rows."""
+    return health.ingest_by_partition(run_ledger.read_runs(spark, _real_runs(spark, sf_dir))) \
+        .groupBy("partition").agg(F.count("*").alias("runs"), F.sum("rows").alias("rows"))
+
+
+def _real_runs(spark, sf_dir) -> str:
+    """A ledger kept by three refreshes, the second of which fails."""
     path = scratch_path(spark, "run-log")
     store = TableStore(spark, scratch_path(spark, "logged-warehouse"))
     first, second, _ = load_batches(landing(spark, sf_dir))
@@ -186,7 +246,7 @@ def q_run_log(spark, sf_dir):
         refresh(store, second.withColumn("repo_id", F.raise_error(F.lit("broken")).cast("long")),
                 "batch-1", ledger=path)
     refresh(store, second, "batch-1", ledger=path)
-    return run_ledger.read_runs(spark, path).select("asset", "status", "rows")
+    return path
 
 
 @register("check_log")

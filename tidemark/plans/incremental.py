@@ -34,7 +34,7 @@ from tidemark.functions.columns import EPOCH_FLOOR
 from tidemark.operators import gold, silver
 from tidemark.operators.merge import merge_bronze, upsert
 from tidemark.schemas import BRONZE_COLUMNS, FACT_COLUMNS, QUARANTINE_COLUMNS, STG_COLUMNS
-from tidemark.sources.run_ledger import BUILD_ASSET, recorded
+from tidemark.sources.run_ledger import recorded
 from tidemark.sources.tables import Conflict, Entry, TableStore, day_values, days_with_ids
 
 
@@ -103,8 +103,8 @@ def refresh(store: TableStore, batch: DataFrame, batch_id: str, name_rule: str =
     """Apply one batch of landed rows. Returns False for a replayed batch.
 
     If another writer commits first, the batch is applied again to the state
-    that writer left. With a ``ledger`` path the run is recorded there, also if
-    it fails.
+    that writer left. With a ``ledger`` path the hours that the batch loads and
+    the build are recorded there as runs, also if it fails.
     """
     if store.processed(batch_id):
         return False
@@ -112,20 +112,27 @@ def refresh(store: TableStore, batch: DataFrame, batch_id: str, name_rule: str =
     # instead of re-deriving it for each (lost blocks recompute from lineage).
     batch = batch.select(*BRONZE_COLUMNS).persist()
     try:
-        with recorded(store.spark, ledger, f"refresh:{batch_id}", BUILD_ASSET, lambda: batch.count()):
-            for left in reversed(range(MAX_TRIES)):
-                base, current = store.snapshot()
-                try:
-                    store.commit(_apply(store, batch, current, name_rule), batch_id, base, current)
-                    break
-                except Conflict:
-                    if not left:
-                        raise
+        with recorded(batch, ledger, f"refresh:{batch_id}"):
+            try:
+                _commit(store, batch, batch_id, name_rule)
+            except BaseException:
+                batch.unpersist()  # the ledger reads the batch's hours only, past a column that fails
+                raise
     finally:
         batch.unpersist()
     return True
 
 
+def _commit(store: TableStore, batch: DataFrame, batch_id: str, name_rule: str) -> None:
+    for left in reversed(range(MAX_TRIES)):
+        base, current = store.snapshot()
+        try:
+            return store.commit(_apply(store, batch, current, name_rule), batch_id, base, current)
+        except Conflict:
+            if not left:
+                raise
+
+
 def _apply(store: TableStore, batch: DataFrame, current: dict[str, Entry],
            name_rule: str) -> dict[str, Entry]:
     """Stage every table with the batch applied."""

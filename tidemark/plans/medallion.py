@@ -14,9 +14,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
-from tidemark.operators import gold, silver
+from tidemark.operators import gold, quality, silver
 
 
 @dataclass
@@ -69,37 +69,53 @@ PARTITION_BY = {
 
 
 def write_model(df: DataFrame, path: str, mode: str = "overwrite",
-                partition_by: str | None = None) -> None:
+                partition_by: str | None = None, metrics: list[Column] | None = None) -> dict[str, int]:
     """Materialise a model as Parquet.
 
     A partitioned write is preceded by a ``rebalance`` on the partition
     column: AQE hashes rows by partition value and splits any value larger
     than the advisory size, so each day becomes a few right-sized files
     instead of one file per (task, day), and a huge day is still written by
-    many tasks.
+    many tasks. ``metrics`` are aggregates observed on the rows as they pass;
+    their values are returned.
     """
+    observation = Observation()
+    if metrics:
+        df = df.observe(observation, *metrics)
     if partition_by:
         df = df.hint("rebalance", partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
+    return observation.get if metrics else {}
 
 
-def materialize(spark: SparkSession, bronze: DataFrame, root: str,
-                name_rule: str = "max") -> Models:
+def materialize(spark: SparkSession, bronze: DataFrame, root: str, name_rule: str = "max",
+                metrics: dict[str, dict[str, int]] | None = None) -> Models:
     """Write bronze, silver and gold under ``root`` in DAG order; return the
-    models re-read from their files."""
-    write_model(bronze, f"{root}/bronze")
-    return materialize_from_bronze(spark, root, name_rule)
+    models re-read from their files. ``metrics`` receives what was observed of
+    each model while it was written (``quality.write_metrics``)."""
+    seen = write_model(bronze, f"{root}/bronze", metrics=None if metrics is None else quality.write_metrics("bronze"))
+    if metrics is not None:
+        metrics["bronze"] = seen
+    return materialize_from_bronze(spark, root, name_rule, metrics)
 
 
-def materialize_from_bronze(spark: SparkSession, root: str, name_rule: str = "max") -> Models:
+def materialize_from_bronze(spark: SparkSession, root: str, name_rule: str = "max",
+                            metrics: dict[str, dict[str, int]] | None = None) -> Models:
     """Silver and gold from the bronze table already written under ``root``."""
+    def write(name: str, df: DataFrame) -> None:
+        observed = metrics is not None and name in quality.RULES
+        seen = write_model(df, f"{root}/{name}", partition_by=PARTITION_BY[name],
+                           metrics=quality.write_metrics(name) if observed else None)
+        if observed:
+            metrics[name] = seen
+
     b = spark.read.parquet(f"{root}/bronze")
-    stg_path, q_path = f"{root}/stg", f"{root}/quarantine"
-    write_model(silver.stg_events(b), stg_path, partition_by=PARTITION_BY["stg"])
-    write_model(silver.quarantine_events(b), q_path)
+    stg_path = f"{root}/stg"
+    write("stg", silver.stg_events(b))
+    write("quarantine", silver.quarantine_events(b))
     stg = spark.read.parquet(stg_path)
     write_model(gold.activity_rollup(stg), f"{root}/rollup", partition_by="event_date")
     rollup = spark.read.parquet(f"{root}/rollup")
@@ -111,7 +127,7 @@ def materialize_from_bronze(spark: SparkSession, root: str, name_rule: str = "ma
         "fact": gold.fact_events(stg),
     }
     for name, df in out.items():
-        write_model(df, f"{root}/{name}", partition_by=PARTITION_BY[name])
+        write(name, df)
     return read_models(spark, root, name_rule)
 
 

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.silver import utc_naive
 from tidemark.schemas import BRONZE_COLUMNS, RAW_EVENT
+from tidemark.sources.capped_lines import read_capped_lines
 
 
 def _instant(c: Column, session_tz: str, strict: bool) -> Column:
@@ -63,30 +64,19 @@ def stamp_lineage(flat: DataFrame, loaded_at: datetime | str | None = None) -> D
     return flat.withColumn("_loaded_at", stamp).select(*BRONZE_COLUMNS)
 
 
-def first_lines(spark: SparkSession, paths: str | list[str], max_events: int) -> DataFrame:
-    """The first ``max_events`` non-empty lines of every file, unparsed.
-
-    Per file path: the same hour name delivered twice is two files. The rank
-    filter keeps the first lines inside each task before anything is shuffled.
-    """
-    lines = spark.read.text(paths).select("value", "_metadata").where("trim(value) <> ''")
-    w = Window.partitionBy("_metadata.file_path").orderBy("_metadata.file_block_start", "__pos")
-    return (lines.withColumn("__pos", F.monotonically_increasing_id())
-            .withColumn("__rank", F.row_number().over(w))
-            .where(F.col("__rank") <= max_events).select("value", "_metadata"))
-
-
 def read_event_files(spark: SparkSession, paths: str | list[str], max_events: int = 0,
                      loaded_at: datetime | str | None = None, mode: str = "FAILFAST") -> DataFrame:
     """Scan hour files into bronze rows.
 
     ``mode="FAILFAST"`` fails the load on a malformed line, as the studied
-    loader does; ``PERMISSIVE`` turns such a line into a null row instead.
+    loader does; ``PERMISSIVE`` turns such a line into a null row instead. With
+    ``max_events`` only the first lines of every file path are read, parsed and
+    checked; the same hour name delivered twice is two files.
     """
     if max_events:
-        # Capped before parsing, so a malformed line past the cap does no harm.
         event = F.from_json("value", RAW_EVENT, {"mode": mode}).alias("event")
-        raw = first_lines(spark, paths, max_events).select(event, "_metadata").select("event.*", "_metadata")
+        source = F.struct("file_name", "file_modification_time").alias("_metadata")
+        raw = read_capped_lines(spark, paths, max_events).select(event, source).select("event.*", "_metadata")
     else:
         raw = spark.read.schema(RAW_EVENT).option("mode", mode).json(paths)
     return stamp_lineage(flatten_events(raw, strict=mode == "FAILFAST"), loaded_at)

@@ -40,11 +40,14 @@ def hour_partitions(spark: SparkSession, start: datetime, end: datetime) -> Data
 
 
 def hour_range(bounds: DataFrame, start: str | Column, end: str | Column) -> DataFrame:
-    """S7 from data: hours between two columns of a one-row frame."""
-    s = F.date_trunc("hour", F.col(start) if isinstance(start, str) else start).cast("timestamp_ntz")
-    e = F.date_trunc("hour", F.col(end) if isinstance(end, str) else end).cast("timestamp_ntz")
-    hours = bounds.select(F.explode(F.sequence(s, e, F.expr("INTERVAL 1 HOUR"))).alias("h"))
-    return _label(hours, "h")
+    """S7 from data: hours between two columns of a one-row frame (none if a
+    bound is null). The two instants are read first, so the range is dealt over
+    tasks however long a stray date makes it."""
+    span = bounds.select(*[(F.col(c) if isinstance(c, str) else c).cast("timestamp_ntz").alias(n)
+                           for n, c in (("lo", start), ("hi", end))]).first()
+    if span is None or span["lo"] is None or span["hi"] is None:
+        return hour_partitions(bounds.sparkSession, datetime(1970, 1, 1, 1), datetime(1970, 1, 1))
+    return hour_partitions(bounds.sparkSession, span["lo"], span["hi"])
 
 
 def loaded_hours(bronze: DataFrame) -> DataFrame:
