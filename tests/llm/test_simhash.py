@@ -51,7 +51,7 @@ def test_links_equal_brute_force(spark):
     frame = spark.createDataFrame([(f,) for f in fps], "fp long")
     got = {tuple(r) for r in links(frame).collect()}
     assert got == wanted and len(wanted) > 100
-    assert max(len(r.near) for r in golay_keys(frame).collect()) <= 108
+    assert max(len(r.near) for r in golay_keys(frame).collect()) <= 252
 
 
 def test_components_equal_brute_force_on_odd_rows(spark, odd_docs):

@@ -1,3 +1,4 @@
+import math
 import random
 
 import pyarrow as pa
@@ -75,3 +76,52 @@ def test_sample_bounds_hold(spark):
     rows, labels = labelled(spark)
     model = X.learn(doc_frame(spark, rows), labels, ~X.held_out(F.col("doc_id")), toxic_sample=20, clean_sample=30)
     assert model.beta.shape == (10,)
+
+
+def plain_arcs(rows, kinds, halves, candidates):
+    """The arcs of some halves, candidate by candidate."""
+    toxic, clean = (sum(kinds[k][h] for h in halves) for k in (1, 0))
+    counts = {f: (sum(r[h] for h in halves), sum(r[2 + h] for h in halves)) for f, r in rows.items()}
+    arcs = dict(X._seed_arcs())
+    for f, (t, c) in counts.items():
+        odds = math.log((t + .5) / (toxic + 1)) - math.log((c + .5) / (clean + 1))
+        own = X._seed_arcs().get(f)
+        if own:
+            if own[0] in (X.INSULT, X.THREAT):
+                arcs[f] = (own[0], max(0.0, odds))
+            continue
+        if not t or t < X.LEAST_DOCS or odds <= X.LEAST_ODDS:
+            continue
+        share, rate = t / (t + c), toxic / (toxic + clean)
+        ratio = 2 * (t * math.log(share / rate) + (c * math.log((1 - share) / (1 - rate)) if c else 0))
+        words = [n[0] for g, n in counts.items() if f.endswith("*") and not g.endswith("*") and g.startswith(f[:-1])]
+        if share > rate and ratio > 2 * math.log(candidates) and max(words, default=0) <= X.MOST_OF_ONE_WORD * t:
+            arcs[f] = (X.INSULT, odds)
+    return arcs
+
+
+def test_arcs_equal_a_plain_version(spark):
+    rng = random.Random(8)
+    rows = {}
+    for i in range(400):
+        word = "".join(rng.choices("abcd", k=rng.randrange(3, 8)))
+        rows[word] = [rng.choice([0, 0, 1, 5, 30]) for _ in range(2)] + [rng.choice([0, 1, 4, 40]) for _ in range(2)]
+    for word in list(rows):
+        for f in X.features_of(word)[1:]:
+            old = rows.get(f, [0] * 4)
+            rows[f] = [min(100, a + b) for a, b in zip(old, rows[word])]
+    rows["idiot"], rows["kill"], rows["you"] = [9, 4, 1, 0], [1, 1, 50, 60], [9, 9, 9, 9]
+    rows = {f: r for f, r in rows.items() if r[0] + r[1] >= X.LEAST_DOCS}
+    kinds = [[300, 280], [110, 120]]
+    counted = spark.createDataFrame([(f, *r) for f, r in rows.items()], "feature string, t0 long, t1 long, c0 long, c1 long")
+    got = X._judge(counted, kinds, len(rows))
+    for arcs, halves in zip(got, ((1,), (0,), (0, 1))):
+        wanted = plain_arcs(rows, kinds, halves, len(rows))
+        assert arcs.keys() == wanted.keys() and len(arcs) > len(X._seed_arcs())
+        assert all(arcs[f][0] == c and math.isclose(arcs[f][1], w) for f, (c, w) in wanted.items())
+
+
+def test_without_one_kind_in_a_half_the_seeds_decide(spark):
+    counted = spark.createDataFrame([("zorg", 5, 0, 0, 0)], "feature string, t0 long, t1 long, c0 long, c1 long")
+    first, second, whole = X._judge(counted, [[50, 50], [10, 0]], 2)
+    assert first == X._seed_arcs() and whole["zorg"][0] == X.INSULT

@@ -228,7 +228,7 @@ def _assign(rows: DataFrame, router, dim: int) -> DataFrame:
             x = _matrix(batch.column("e"), dim)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("vec_id"), _packed(x),
-                 pa.array(router.value.logits(x).argmax(1).astype(np.int32))], ["vec_id", "vec", "part"])
+                 pa.array(Router(*router.value).logits(x).argmax(1).astype(np.int32))], ["vec_id", "vec", "part"])
 
     return rows.mapInArrow(run, "vec_id long, vec binary, part int")
 
@@ -237,11 +237,12 @@ def _route(queries: DataFrame, router, dim: int, sizes: np.ndarray, k: int) -> D
     """``vec_id, vec, parts``: the parts that each query visits, enough of them
     to hold ``k`` rows besides the query."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net = Router(*router.value)
         for batch in batches:
             x = np.frombuffer(b"".join(batch.column("vec").to_pylist()), np.float64).reshape(-1, dim)
-            order = np.argsort(-router.value.logits(x), axis=1, kind="stable")
+            order = np.argsort(-net.logits(x), axis=1, kind="stable")
             held = np.cumsum(sizes[order], axis=1)
-            visits = np.maximum((held < k + 1).sum(1) + 1, router.value.visits)
+            visits = np.maximum((held < k + 1).sum(1) + 1, net.visits)
             parts = [o[:v][sizes[o[:v]] > 0].tolist() for o, v in zip(order, visits)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("vec_id"), batch.column("vec"), pa.array(parts, pa.list_(pa.int32()))],
@@ -294,9 +295,11 @@ def search(vectors: DataFrame, query_condition: str, k: int = NEIGHBOURS,
     dim = rows.agg(F.max(F.size("e"))).first()[0] or 1
     chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).select("e").toArrow()
     sample = _matrix(chosen.column("e"), dim) if chosen.num_rows else np.zeros((1, dim))
-    router = spark.sparkContext.broadcast(fit(sample, k))
+    net = fit(sample, k)
+    # Plain arrays: what is broadcast must not need this package on executors.
+    router = spark.sparkContext.broadcast((net.w1, net.b1, net.w2, net.b2, net.visits))
     index = stored(_assign(rows, router, dim), "index")
-    sizes = np.zeros(router.value.parts, np.int64)
+    sizes = np.zeros(net.parts, np.int64)
     for r in index.groupBy("part").agg(F.count("*").alias("n")).collect():
         sizes[r.part] = r.n
 
@@ -309,7 +312,7 @@ def search(vectors: DataFrame, query_condition: str, k: int = NEIGHBOURS,
         .agg(F.collect_list(row).alias("base"))
     routed = stored(_route(index.where(query_condition), router, dim, sizes, k)
                     .select("vec_id", "vec", F.explode("parts").alias("part")), "routed")
-    asked = np.zeros(router.value.parts, np.int64)
+    asked = np.zeros(net.parts, np.int64)
     for r in routed.groupBy("part").agg(F.count("*").alias("n")).collect():
         asked[r.part] = r.n
     groups = np.maximum(1, -(-asked // QUERY_ROWS))

@@ -58,9 +58,15 @@ WIDEST_CELL = 40
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _MAY_HIDE = re.compile(r"hidden|style", re.I)
 _ATTRIBUTE = re.compile(r"([^\s/][^\s/=]*)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"']\S*)?))?")
-_HIDING_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))(?![\w-])", re.I)
 _ATTR_END = re.compile(r"[^>\"']*+(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*+)*+>")
-_SPAN = re.compile(r"colspan\s*=\s*[\"']?\s*(\d{1,3})", re.I)
+_DECLARATION = re.compile(r"(?:^|[;{\s])(display|visibility)\s*:\s*([a-z-]+)", re.I)
+_COMMENT = re.compile(r"/\*.*?\*/", re.S)
+#: At-rules with rules inside (media queries and the like) do not apply everywhere, so none of them is used.
+_AT_BLOCK = re.compile(r"@[^{};]*\{(?:[^{}]*\{[^{}]*\})*[^{}]*\}")
+_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+_SIMPLE = re.compile(r"([a-z][a-z0-9]*|\*)?((?:[.#][\w-]+)*)", re.I)
+_SPACES = " \t\n\f\r"
+_SPACE_RUN = re.compile(f"[{_SPACES}]+")
 
 
 class Node:
@@ -78,12 +84,62 @@ def attributes(raw: str) -> dict[str, str]:
     return out
 
 
-def hides(raw: str) -> bool:
-    """Whether an element with these attributes is not shown."""
-    if not _MAY_HIDE.search(raw):
+def declared(style: str) -> dict[str, str]:
+    """``display`` and ``visibility`` of a list of declarations; the last of each counts."""
+    return {name.lower(): value.lower() for name, value in _DECLARATION.findall(style)}
+
+
+class Sheet:
+    """The rules of a page's style elements that show or hide: those with simple
+    selectors (a tag, classes, an id, or several of these at once)."""
+
+    def __init__(self, texts: list[str]):
+        self.rules: list[tuple[int, int, str, frozenset, dict]] = []
+        for selectors, body in _RULE.findall(_AT_BLOCK.sub("", _COMMENT.sub("", "\n".join(texts)))):
+            says = declared(body)
+            for selector in selectors.split(",") if says else ():
+                m = _SIMPLE.fullmatch(selector.strip())
+                if m and m.group():
+                    marks = frozenset(re.findall(r"[.#][\w-]+", m.group(2)))
+                    tag = (m.group(1) or "*").lower()
+                    weight = sum(100 if x[0] == "#" else 10 for x in marks) + (tag != "*")
+                    self.rules.append((weight, len(self.rules), tag, marks, says))
+        self.rules.sort(key=lambda r: r[:2])
+
+    def of(self, tag: str, named: dict[str, str]) -> dict[str, str]:
+        """What applies to an element: more specific rules win, then later ones, then its own style."""
+        if self.rules:
+            marks = {"." + c for c in named.get("class", "").split()} | {"#" + named.get("id", "")}
+            out: dict[str, str] = {}
+            for _, _, of, wanted, says in self.rules:
+                if of in ("*", tag) and wanted <= marks:
+                    out |= says
+            return out | declared(named.get("style", ""))
+        return declared(named.get("style", ""))
+
+
+def shows(node: Node, sheet: Sheet) -> bool | None:
+    """False: the element and all in it are not shown; None: what is in it is
+    invisible unless it says otherwise; True: visible, said so. Elements that
+    say nothing are as visible as what they stand in ("")."""
+    if not (sheet.rules or node.tag == "dialog" or (node.attrs and _MAY_HIDE.search(node.attrs))):
+        return ""
+    named = attributes(node.attrs)
+    says = sheet.of(node.tag, named)
+    if node.tag == "dialog" and "open" not in named:
         return False
-    named = attributes(raw)
-    return "hidden" in named or bool(_HIDING_STYLE.search(named.get("style", "")))
+    display = says.get("display")
+    if display == "none" or ("hidden" in named and display is None):
+        return False
+    return {"hidden": None, "collapse": None, "visible": True}.get(says.get("visibility"), "")
+
+
+def number_of(node: Node, name: str) -> int | None:
+    """A whole number in an attribute, if there is one."""
+    if name not in node.attrs.lower():
+        return None
+    m = re.match(r"\s*([+-]?\d{1,9})", attributes(node.attrs).get(name, ""))
+    return int(m.group(1)) if m else None
 
 
 def parse(page: str) -> Node:
@@ -216,34 +272,36 @@ class Flow:
         self.marker = ""
 
     def text(self, s: str) -> None:
-        words = s.split()
+        words = _SPACE_RUN.sub(" ", s).strip(" ")  # a no-break space is no white space here
         if not words:
             self.space = self.space or bool(s and self.parts)
             return
-        if self.parts and (self.space or s[0].isspace()):
+        if self.parts and (self.space or s[0] in _SPACES):
             self.parts.append(" ")
-        self.parts.append(" ".join(words))
-        self.space = s[-1].isspace()
+        self.parts.append(words)
+        self.space = s[-1] in _SPACES
 
     def raw(self, s: str) -> None:
         head, *rest = s.split("\n")
         self.parts.append(head)
         for line in rest:
+            blank = self.gap if not "".join(self.parts).strip() and self.lines else 0
             self.end_line(keep=True)
+            self.gap = max(self.gap, blank + 1) if blank else self.gap
             self.parts.append(line)
 
     def end_line(self, keep: bool = False) -> None:
         line = "".join(self.parts)
-        line = line.rstrip() if keep else line.strip()
-        if line:
+        line = line.rstrip(_SPACES) if keep else line.strip(_SPACES)
+        if line.strip():
             self.put(line)
         elif keep and self.lines:
             self.gap = max(self.gap, 1)
         self.parts, self.space = [], False
 
     def put(self, line: str) -> None:
-        if self.gap and self.lines:
-            self.lines.append("")
+        if self.lines:
+            self.lines += [""] * self.gap
         self.gap = 0
         pad = "".join(self.indent)
         if self.marker:
@@ -254,43 +312,67 @@ class Flow:
     def block(self, spaced: bool) -> None:
         self.end_line()
         if spaced:
-            self.gap = 1
+            self.gap = max(self.gap, 1)
 
     def done(self) -> str:
         self.end_line()
         return "\n".join(self.lines)
 
 
-def _table_lines(rows: list[list[tuple[str, int]]]) -> list[str]:
-    """Rows of (text, columns) cells as lines with aligned columns."""
+def _table_lines(rows: list[list[tuple[str, int, int]]]) -> list[str]:
+    """Rows of (text, columns, rows) cells as lines with aligned columns; a
+    place that a cell from above reaches into stays empty."""
     widths: dict[int, int] = {}
+    placed, below = [], {}  # below: rows that a column is still taken for
     for row in rows:
-        at = 0
-        for text, span in row:
+        cells, at, taken = [], 0, dict(below)
+        for text, span, deep in row:
+            while taken.get(at, 0):
+                at += 1
+            cells.append((at, text, span))
             if span == 1 and len(text) <= WIDEST_CELL:
                 widths[at] = max(widths.get(at, 0), len(text))
+            for c in range(at, at + span):
+                below[c] = max(below.get(c, 0), deep)
             at += span
+        below = {c: n - 1 for c, n in below.items() if n > 1}
+        placed.append(cells)
     lines = []
-    for row in rows:
+    for cells in placed:
         out, at = [], 0
-        for text, span in row:
-            out.append(text.ljust(sum(widths.get(c, 0) + 2 for c in range(at, at + span)) - 2))
-            at += span
+        for start, text, span in cells:
+            out += [" " * widths.get(c, 0) for c in range(at, start)]
+            out.append(text.ljust(sum(widths.get(c, 0) + 2 for c in range(start, start + span)) - 2))
+            at = start + span
         lines.append("  ".join(out).rstrip())
     return [x for x in lines if x]
 
 
+def _style_texts(root: Node) -> list[str]:
+    texts, todo = [], [root]
+    while todo:
+        x = todo.pop()
+        if x.tag == "style":
+            texts += [c for c in x.children if isinstance(c, str)]
+        todo.extend(c for c in reversed(x.children) if not isinstance(c, str))
+    return texts
+
+
 def render(root: Node) -> str:
     """Visible text of a tree; walks with its own stack, at any depth."""
     flows = [Flow()]
     lists: list[list] = []  # [kind, next number]
-    tables: list[list[list[tuple[str, int]]]] = []
+    tables: list[list[list[tuple[str, int, int]]]] = []
+    sheet = Sheet(_style_texts(root))
+    visible = True
     pre = 0
     todo: list = [root]
     while todo:
         x = todo.pop()
         flow = flows[-1]
         if isinstance(x, str):
+            if not visible:
+                continue
             if pre and len(flows) == 1:
                 flow.raw(x)
             else:
@@ -298,11 +380,14 @@ def render(root: Node) -> str:
             continue
         if isinstance(x, tuple):  # the end of an element
             tag, node = x
-            if tag in ("td", "th"):
-                text = " ".join(flows.pop().done().split("\n"))
-                m = _SPAN.search(node.attrs)
-                tables[-1][-1].append((" ".join(text.split()), max(1, int(m.group(1))) if m else 1))
+            if tag == "#visible":
+                visible = node
+            elif tag in ("td", "th"):
+                text = _SPACE_RUN.sub(" ", flows.pop().done()).strip(" ")
+                span, deep = (min(1000, max(1, number_of(node, n) or 1)) for n in ("colspan", "rowspan"))
+                tables[-1][-1].append((text, span, deep))
             elif tag == "table":
+                flow.end_line()  # text straight in the table stands before it
                 for line in _table_lines(tables.pop()):
                     flow.put(line)
                 flow.gap = 1
@@ -324,8 +409,14 @@ def render(root: Node) -> str:
                 flow.block(tag in SPACED)
             continue
         tag = x.tag
-        if tag in HIDDEN or (x.attrs and hides(x.attrs)):
+        if tag in HIDDEN:
+            continue
+        shown = shows(x, sheet)
+        if shown is False:
             continue
+        if shown != "" and bool(shown) != visible:
+            todo.append(("#visible", visible))
+            visible = bool(shown)
         if tag == "br":
             flow.end_line(keep=True)
             continue
@@ -345,13 +436,15 @@ def render(root: Node) -> str:
             todo.append((tag, x))
         elif tag in ("ul", "ol", "menu", "dir"):
             flow.block(not lists)
-            m = re.search(r"start\s*=\s*[\"']?(-?\d{1,9})", x.attrs) if tag == "ol" else None
-            lists.append([tag, int(m.group(1)) if m else 1])
+            first = number_of(x, "start") if tag == "ol" else None
+            lists.append([tag, 1 if first is None else first])
             todo.append((tag, x))
         elif tag == "li":
             flow.end_line()
             marker = "- "
             if lists and lists[-1][0] == "ol":
+                value = number_of(x, "value")
+                lists[-1][1] = lists[-1][1] if value is None else value
                 marker = f"{lists[-1][1]}. "
                 lists[-1][1] += 1
             flow.indent.append(" " * len(marker))
@@ -365,11 +458,14 @@ def render(root: Node) -> str:
             flow.block(tag == "blockquote")
             flow.indent.append("  ")
             todo.append((tag, x))
-        elif tag in BLOCK or tag in SPACED:
+        elif tag in BLOCK or tag in SPACED or tag == "caption":
             flow.block(tag in SPACED)
             todo.append((tag, x))
-        todo.extend(reversed(x.children))
-    return flows[0].done()
+        children = x.children
+        if tag == "details" and "open" not in attributes(x.attrs):  # closed: its summary shows
+            children = [c for c in children if not isinstance(c, str) and c.tag == "summary"][:1]
+        todo.extend(reversed(children))
+    return flows[0].done().replace("\xa0", " ")
 
 
 def visible_text(page: str) -> str:

@@ -1,20 +1,24 @@
 """Near-duplicate documents by SimHash, linked through Golay-code keys.
 
-A 64-bit fingerprint is cut into three segments of at most 23 bits. Two
-fingerprints at three or fewer differing bits leave at least two segments with
-at most one differing bit each (pigeonhole). The binary Golay code (23, 12)
-is perfect: every 23-bit word lies within three bits of exactly one codeword.
-So if x and y differ in at most one bit, the codeword of x lies within four
-bits of y. Each fingerprint therefore offers, for every pair of segments, one
-key from its own codewords, and looks up one key for every combination of
-codewords within four bits of its segments (one to six per segment). An
-equi-join on the keys finds every link; the bit distance verifies it.
+A 64-bit fingerprint is cut into three segments of at most 23 bits. The binary
+Golay code (23, 12) is perfect: every 23-bit word lies within three bits of
+exactly one codeword, so if x and y differ in at most one bit, the codeword of
+x lies within four bits of y, and y finds it among one to six codewords.
+
+Three differing bits fall on the segments in one of two ways (pigeonhole).
+Either each has one: the codewords of all three segments make a key of 36 bits.
+Or one segment has two or more, so of the other two one is equal and one has at
+most one: the equal segment itself and the other's codeword make a key of 33 or
+34 bits, for each ordered pair of segments. A fingerprint offers the seven keys
+of its own codewords and looks up those of the codewords near it. An equi-join
+on the keys finds every link; the bit distance verifies it. Keys are wide, so
+unrelated fingerprints meet rarely.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, permutations
 
 import numpy as np
 import pyarrow as pa
@@ -112,11 +116,14 @@ def golay_keys(fps: DataFrame) -> DataFrame:
             segments = [((fp >> np.uint64(a)) & np.uint64((1 << n) - 1)).astype(np.int64) for a, n in SEGMENTS]
             own = [code.own(s) for s in segments]
             near = [code.within_four(s) for s in segments]
-            offered, wanted = [], []
-            for number, (i, j) in enumerate(combinations(range(len(SEGMENTS)), 2)):
-                offered.append(number << 24 | own[i] << 12 | own[j])
-                a, b = near[i][:, :, None], near[j][:, None, :]
-                wanted.append(np.where((a < 0) | (b < 0), -1, number << 24 | a << 12 | b).reshape(len(fp), -1))
+            # A key is numbered by its kind, so that kinds never meet.
+            offered = [own[0] << 24 | own[1] << 12 | own[2]]
+            a, b, c = near[0][:, :, None, None], near[1][:, None, :, None], near[2][:, None, None, :]
+            wanted = [np.where((a < 0) | (b < 0) | (c < 0), -1, a << 24 | b << 12 | c).reshape(len(fp), -1)]
+            for kind, (equal, other) in enumerate(permutations(range(len(SEGMENTS)), 2), 1):
+                base = kind << 40 | segments[equal] << 12
+                offered.append(base | own[other])
+                wanted.append(np.where(near[other] < 0, -1, base[:, None] | near[other]))
             wanted = np.concatenate(wanted, axis=1)
             kept = wanted >= 0
             offsets = np.r_[0, np.cumsum(kept.sum(1))].astype(np.int32)
@@ -124,11 +131,11 @@ def golay_keys(fps: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([
                 batch.column("fp"),
                 pa.ListArray.from_arrays(np.arange(0, width * len(fp) + 1, width, dtype=np.int32),
-                                         np.stack(offered, axis=1).reshape(-1).astype(np.int32)),
-                pa.ListArray.from_arrays(offsets, wanted[kept].astype(np.int32)),
+                                         np.stack(offered, axis=1).reshape(-1)),
+                pa.ListArray.from_arrays(offsets, wanted[kept]),
             ], ["fp", "own", "near"])
 
-    return fps.select("fp").mapInArrow(run, "fp long, own array<int>, near array<int>")
+    return fps.select("fp").mapInArrow(run, "fp long, own array<long>, near array<long>")
 
 
 def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:

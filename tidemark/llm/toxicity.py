@@ -34,12 +34,10 @@ CLEAN_SAMPLE = 8000
 PREFIXES = (3, 4, 5, 6, 7, 8)
 #: A beginning becomes an arc only if no single word makes up more of its documents.
 MOST_OF_ONE_WORD = 0.6
-#: Toxic documents and log odds that a candidate arc needs, and the candidates
-#: with the most evidence that the driver judges, at most.
+#: Toxic documents and log odds that an arc needs. (Arcs are features of the
+#: sample, so its bounds bound them.)
 LEAST_DOCS = 3
-LEAST_ODDS = 0.7
-MOST_CANDIDATES = 30_000
-MOST_ARCS = 20_000
+LEAST_ODDS = 1.0
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 PATTERNS = ("insult", "insult at target", "threat", "threat at target", "negated", "reported")
@@ -210,36 +208,58 @@ def _seed_arcs() -> dict[str, tuple[int, float]]:
             for c, words in SEEDS.items() for w in words.split()}
 
 
-def _learn_arcs(counts: dict[str, tuple[int, int]], toxic: int, clean: int, candidates: int) -> dict[str, tuple[int, float]]:
-    """Arcs from document counts (toxic, clean) of the candidates.
+def _judge(counted: DataFrame, kinds: list[list[int]], candidates: int) -> list[dict[str, tuple[int, float]]]:
+    """Arcs from the document counts of the candidates: for the rows of either
+    half, learned from the other, and for all other texts, learned from both.
 
     A candidate becomes an insult arc if the log-likelihood ratio of its counts
-    exceeds what the best of ``candidates`` random ones would reach; its weight
-    is the smoothed log odds."""
-    arcs = _seed_arcs()
-    if not toxic or not clean:
-        return arcs
-    rate = toxic / (toxic + clean)
+    exceeds what the best of ``candidates`` random ones would reach, and no one
+    word makes up most of a beginning's toxic documents; its weight is the
+    smoothed log odds. Spark judges all candidates; the driver gets those that
+    pass, and the counts of the seeds apart from them.
+    """
+    sets = {"first": (1,), "second": (0,), "all": (0, 1)}
+    seeds = _seed_arcs()
     bar = 2 * math.log(max(2, candidates))
-    found = []
-    top: Counter = Counter()  # toxic documents of the commonest word of each beginning
-    for f, (t, _) in counts.items():
-        if not f.endswith("*"):
-            for n in PREFIXES:
-                top[f[:n] + "*"] = max(top[f[:n] + "*"], t)
-    for f, (t, c) in counts.items():
-        odds = math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1))
-        own = arcs.get(f)
-        if own and own[0] in (INSULT, THREAT):
-            arcs[f] = (own[0], max(0.0, odds))
-        elif not own and t >= LEAST_DOCS and t > rate * (t + c) and top[f] <= MOST_OF_ONE_WORD * t:
-            p = t / (t + c)
-            ratio = 2 * (t * math.log(p / rate) + (c * math.log((1 - p) / (1 - rate)) if c else 0))
-            if ratio > bar and odds > 1:
-                found.append((ratio, f, odds))
-    for _, f, odds in sorted(found, reverse=True)[:MOST_ARCS]:
-        arcs[f] = (INSULT, odds)
-    return arcs
+
+    def summed(kind: str, halves: tuple[int, ...]) -> Column:
+        return sum((F.col(f"{kind}{h}") for h in halves[1:]), F.col(f"{kind}{halves[0]}"))
+
+    word = F.col("feature")
+    is_word = ~word.endswith("*")
+    begins = F.array(*[F.concat(F.substring(word, 1, n), F.lit("*")) for n in PREFIXES])
+    tops = counted.where(is_word).select(F.explode(F.array_distinct(begins)).alias("feature"), *[
+        summed("t", halves).alias(f"top_{name}") for name, halves in sets.items()]) \
+        .groupBy("feature").agg(*[F.max(f"top_{name}").alias(f"top_{name}") for name in sets])
+    judged, odds_of = counted.join(tops, "feature", "left"), {}
+    for name, halves in sets.items():
+        toxic, clean = (sum(kinds[k][h] for h in halves) for k in (1, 0))
+        t, c = summed("t", halves), summed("c", halves)
+        if not toxic or not clean:
+            judged = judged.withColumn(f"odds_{name}", F.lit(None).cast("double")).withColumn(f"arc_{name}", F.lit(False))
+            continue
+        rate = toxic / (toxic + clean)
+        odds = F.log((t + 0.5) / (toxic + 1)) - F.log((c + 0.5) / (clean + 1))
+        share = t / F.greatest(t + c, F.lit(1))
+        ratio = 2 * (t * F.log(share / rate) + F.when(c > 0, c * F.log((1 - share) / (1 - rate))).otherwise(0.0))
+        arc = (t >= LEAST_DOCS) & (share > rate) & (ratio > bar) & (odds > LEAST_ODDS) \
+            & (F.coalesce(f"top_{name}", F.lit(0)) <= MOST_OF_ONE_WORD * t)
+        judged = judged.withColumn(f"odds_{name}", odds).withColumn(f"arc_{name}", arc)
+    seeded = word.isin(list(seeds))
+    passed = judged.where(seeded | F.col("arc_first") | F.col("arc_second") | F.col("arc_all")) \
+        .select("feature", *[f"{x}_{name}" for name in sets for x in ("odds", "arc")]).collect()
+    out = []
+    for name in sets:
+        arcs = dict(seeds)
+        for r in passed:
+            odds, own = r[f"odds_{name}"], seeds.get(r["feature"])
+            if own:
+                if own[0] in (INSULT, THREAT) and odds is not None:
+                    arcs[r["feature"]] = (own[0], max(0.0, odds))
+            elif r[f"arc_{name}"]:
+                arcs[r["feature"]] = (INSULT, odds)
+        out.append(arcs)
+    return out
 
 
 def _count_features(sample: DataFrame) -> DataFrame:
@@ -325,19 +345,10 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, toxic_sample: int =
         return fixed
     counted = stored(_count_features(sample), "features")
     candidates = counted.count()
-    toxic, clean = F.col("t0") + F.col("t1"), F.col("c0") + F.col("c1")
-    odds = F.log((toxic + 0.5) / (sum(kinds[1]) + 1)) - F.log((clean + 0.5) / (sum(kinds[0]) + 1))
-    leaning = counted.where((odds > LEAST_ODDS) | F.col("feature").isin(list(_seed_arcs())))
-    counts = {r.feature: r for r in
-              leaning.orderBy((odds * toxic).desc(), "feature").limit(MOST_CANDIDATES).collect()}
-
-    def arcs(halves: tuple[int, ...]) -> dict[str, tuple[int, float]]:
-        pairs = {f: (sum(r[f"t{h}"] for h in halves), sum(r[f"c{h}"] for h in halves)) for f, r in counts.items()}
-        return _learn_arcs(pairs, sum(kinds[1][h] for h in halves), sum(kinds[0][h] for h in halves), candidates)
-
-    seen = _weights_of(sample, [arcs((1,)), arcs((0,))], ["toxic"], "toxic int, weights array<double>").collect()
+    first, second, whole = _judge(counted, kinds, candidates)
+    seen = _weights_of(sample, [first, second], ["toxic"], "toxic int, weights array<double>").collect()
     weights = np.array([r.weights for r in seen])
-    return Model(arcs((0, 1)), _fit_logistic(_design(weights), np.array([float(r.toxic) for r in seen])))
+    return Model(whole, _fit_logistic(_design(weights), np.array([float(r.toxic) for r in seen])))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
@@ -349,10 +360,10 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     rows get equal scores; an empty table gives no rows. Only ``doc_id`` and
     ``text`` are read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.arcs, model.beta))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = Model(*shared.value)
         lexicon = Lexicon(model.arcs)
         for batch in batches:
             for part in text_slices(batch):
@@ -372,11 +383,15 @@ def held_out(doc_id: Column) -> Column:
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """Rows of ``docs``, all columns, that score below ``threshold``; no shuffle."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    """Rows of ``docs``, all columns, that score below ``threshold``; no shuffle.
+
+    Null and empty texts score like a text without patterns, so they stay;
+    repeated rows stay or go together; an empty table gives no rows.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((model.arcs, model.beta))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = Model(*shared.value)
         lexicon = Lexicon(model.arcs)
         for batch in batches:
             for part in text_slices(batch):
