@@ -38,7 +38,7 @@ PAIR_BUCKETS = 1 << 24
 #: Buckets in one row of a stored bitmap (the size of Spark's bitmaps).
 _PART_BITS = 8 * 4096
 #: Text bytes whose windows are counted together in a task.
-SPAN_BYTES = 16 << 20
+SPAN_BYTES = 5 << 20
 #: Parts that a group's phrases are ranked in before the last ranking.
 RANK_PARTS = 64
 #: Every byte of a text becomes its lower case, a space (between words) or a line feed (between pieces).
@@ -60,7 +60,7 @@ def pieces_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.nda
     words = pc.split_pattern(pieces, " ")
     piece_of = np.repeat(np.arange(len(pieces)), pc.list_value_length(words).to_numpy(zero_copy_only=False))
     coded = words.flatten().dictionary_encode()
-    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    codes = coded.indices.to_numpy(zero_copy_only=False)
     blank = pc.index(coded.dictionary, "").as_py()
     if blank >= 0:
         kept = codes != blank
@@ -87,7 +87,7 @@ def _positions(span: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.Array,
     """Word codes, piece numbers, words, group codes and groups of a span."""
     codes, piece, words, text = pieces_of(span.column("text"))
     groups = span.column("grp").dictionary_encode()
-    group = groups.indices.to_numpy(zero_copy_only=False).astype(np.int64)[text]
+    group = groups.indices.to_numpy(zero_copy_only=False)[text]
     return codes, piece, words, group, groups.dictionary
 
 
@@ -112,6 +112,7 @@ def frequent_pairs(texts: DataFrame, least: int, buckets: int) -> bytes:
             for i in range(0, len(found), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(found[i:i + (1 << 16)].astype(np.int32)),
                                                   pa.array(n[i:i + (1 << 16)].astype(np.int32))], ["bucket", "n"])
+            pa.default_memory_pool().release_unused()
 
     counted = texts.mapInArrow(run, "bucket int, n int").groupBy("bucket").agg(F.sum("n").alias("n"))
     part = F.floor(F.col("bucket") / F.lit(_PART_BITS))
@@ -139,12 +140,13 @@ def windows(texts: DataFrame, longest: int, bitmap, buckets: int) -> DataFrame:
             columns, open_ = [codes], np.ones(len(codes), bool)
             for lead in range(1, longest):
                 open_ = open_[:-1] & goes_on[lead - 1:]
-                column = np.full(len(codes), -1, np.int64)
+                column = np.full(len(codes), -1, np.int32)
                 column[:len(open_)][open_] = codes[lead:][open_]
                 columns.append(column)
-            table = pa.table([pa.array(group.astype(np.int32))] + [pa.array(c.astype(np.int32)) for c in columns],
-                             ["grp", *names])
+            table = pa.table([pa.array(group), *map(pa.array, columns)], ["grp", *names])
+            del columns, column, bucket, goes_on, open_, piece
             counted = table.group_by(["grp", *names]).aggregate([([], "count_all")])
+            del table
             for part in counted.to_batches(max_chunksize=1 << 15):
                 def words_of(name):
                     code = part.column(name)
@@ -152,6 +154,8 @@ def windows(texts: DataFrame, longest: int, bitmap, buckets: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [groups.take(part.column("grp")), *map(words_of, names), part.column("count_all")],
                     ["grp", *names, "n"])
+            del counted
+            pa.default_memory_pool().release_unused()
 
     schema = "grp string, " + ", ".join(f"{w} string" for w in names) + ", n long"
     return texts.mapInArrow(run, schema)
