@@ -144,8 +144,9 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     if not 0 <= max_bits <= 3:
         raise ValueError("the segments guarantee links of up to three bits")
     keys = golay_keys(fps)
-    offers = keys.select(F.col("fp").alias("u"), F.explode("own").alias("key"))
-    wants = keys.select(F.col("fp").alias("v"), F.explode("near").alias("key"))
+    # Estimates do not see how many keys an array holds, so a broadcast is ruled out.
+    offers = keys.select(F.col("fp").alias("u"), F.explode("own").alias("key")).hint("merge")
+    wants = keys.select(F.col("fp").alias("v"), F.explode("near").alias("key")).hint("merge")
     close = (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_bits) & (F.col("u") < F.col("v"))
     return offers.join(wants, (offers.key == wants.key) & close).select("u", "v").distinct()
 
