@@ -25,8 +25,8 @@ OVERHEAD = 16
 BINS = 1024
 #: A cut is good enough when it misses its goal by this part of a shard.
 TOLERANCE = 0.001
-#: A group of equal texts above this part of a shard is dealt out in pieces.
-GROUP_PART = 0.05
+#: A group of equal texts larger than a shard is dealt out in pieces of this part of one.
+PIECE_PART = 0.05
 #: Rows of one shard that one task numbers.
 SLOT_ROWS = 50_000
 DIMS = ("source", "lang", "n_chars", "size")
@@ -143,8 +143,8 @@ def kd_shards(docs: DataFrame, shards: int | None = None,
     decides the number). Size is the UTF-8 length of the text (null: 0) plus
     ``OVERHEAD``. Shards hold near-equal bytes; slots count from 0 without gaps
     in each. Equal texts take the coordinates of one point and so share a
-    shard, unless the group exceeds ``GROUP_PART`` of a shard: it is then dealt
-    out by document id. Null or missing metadata sits at coordinate 0, repeated
+    shard, unless the group exceeds a whole shard: it is then dealt out by
+    document id. Null or missing metadata sits at coordinate 0, repeated
     rows each get a slot, ties are ordered by a hash, an empty table gives no
     rows, and other columns are ignored.
 
@@ -156,9 +156,9 @@ def kd_shards(docs: DataFrame, shards: int | None = None,
     if shards is None:
         shards = max(1, -(-total[0] // target_bytes))
     leaf = max(1.0, total[0] / shards)
-    pieces = F.ceil(F.col("w") / F.lit(max(1.0, leaf * GROUP_PART))).cast("int")
+    pieces = F.when(F.col("w") <= leaf, 1).otherwise(F.ceil(F.col("w") / F.lit(max(1.0, leaf * PIECE_PART)))).cast("int")
     groups = rows.groupBy("grp").agg(F.sum("size").alias("w"), *[F.min(f"c{d}").alias(f"c{d}") for d in range(len(DIMS))]) \
-        .select("grp", F.greatest(F.lit(1), pieces).alias("pieces"), "c0", "c1", "c2", "c3")
+        .select("grp", pieces.alias("pieces"), "c0", "c1", "c2", "c3")
     placed = rows.select("doc_id", "size", "text_crc32", "grp").join(groups, "grp")
     piece = F.when(F.col("pieces") == 1, F.lit(0)).otherwise(
         F.pmod(F.xxhash64(F.col("doc_id"), F.lit(1)), F.col("pieces")))
