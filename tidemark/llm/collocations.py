@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import hashes, mix, salted_join, stored, text_slices
+from tidemark.llm.common import alone, hashes, mix, salted_join, stored, text_slices
 
 LONGEST = 5
 LEAST = 100
@@ -119,7 +119,7 @@ def frequent_pairs(texts: DataFrame, least: int, buckets: int) -> bytes:
     maps = counted.where(F.col("n") >= least).groupBy(part.alias("part")).agg(
         F.bitmap_construct_agg(F.col("bucket").cast("long") % _PART_BITS).alias("bits"))
     bits = np.zeros(-(-buckets // _PART_BITS) * _PART_BITS // 8, np.uint8)
-    for row in maps.collect():  # one row for every _PART_BITS buckets
+    for row in alone(texts.sparkSession, maps.collect):  # one row for every _PART_BITS buckets
         bits[row.part * _PART_BITS // 8:(row.part + 1) * _PART_BITS // 8] = np.frombuffer(bytes(row.bits), np.uint8)
     return bits.tobytes()
 
@@ -169,18 +169,22 @@ def phrase_counts(docs: DataFrame, group: str = "lang", longest: int = LONGEST,
     texts = _texts(docs, group)
     bitmap = spark.sparkContext.broadcast(frequent_pairs(texts, least, buckets))
     names = [f"w{i + 1}" for i in range(longest)]
-    longest_windows = windows(texts, longest, bitmap, buckets).groupBy("grp", *names).agg(F.sum("n").alias("n"))
-    # Prefixes are made from distinct longest windows. A level that cuts a window
-    # inside its padding repeats the shorter phrase, so it does not count.
-    shorter = longest_windows.rollup("grp", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("open"))
-    k = F.lit(longest) - F.length(F.regexp_replace(F.bin("open"), "0", ""))
-    last = F.expr("case k " + " ".join(f"when {i + 1} then {w}" for i, w in enumerate(names)) + " end")
+    counted = alone(spark, lambda: stored(
+        windows(texts, longest, bitmap, buckets).groupBy("grp", *names).agg(F.sum("n").alias("n")), "windows"))
+    # Prefixes are made from distinct longest windows, which are the top order themselves. A level that
+    # cuts a window inside its padding repeats the shorter phrase, so it does not count.
+    top = counted.where((F.col("n") >= least) & F.col(names[-1]).isNotNull()).select(
+        "grp", F.lit(longest).alias("k"), F.array(*names).alias("words"), F.col("n").alias("f"))
+    prefix = names[:-1]
+    shorter = counted.rollup("grp", *prefix).agg(F.sum("n").alias("f"), F.grouping_id().alias("open"))
+    k = F.lit(longest - 1) - F.length(F.regexp_replace(F.bin("open"), "0", ""))
+    last = F.expr("case k " + " ".join(f"when {i + 1} then {w}" for i, w in enumerate(prefix)) + " end")
     totals = F.col("k") == 0
     summed = shorter.withColumn("k", k).where((F.col("k") >= 0) & F.col("grp").isNotNull()
                                               & (totals | (F.lit(least) <= F.col("f")) & last.isNotNull()))
-    kept = stored(summed.select("grp", "k", F.when(~totals, F.array(*names)).alias("words"), "f"), "phrases")
-    phrases = kept.where("k > 0").select("grp", "k", F.slice("words", F.lit(1), F.col("k")).alias("words"), "f")
-    return phrases, kept.where(totals).select("grp", F.col("f").alias("n"))
+    summed = summed.select("grp", "k", F.when(~totals, F.slice(F.array(*prefix), F.lit(1), F.greatest("k", F.lit(1)))).alias("words"), "f")
+    kept = alone(spark, lambda: stored(summed.unionByName(top), "phrases"))
+    return kept.where("k > 0"), kept.where("k = 0").select("grp", F.col("f").alias("n"))
 
 
 def collocations(docs: DataFrame, group: str = "lang", longest: int = LONGEST, least: int = LEAST, best: int = BEST,

@@ -51,6 +51,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Setting that deletes shuffle files when the statement ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def alone(spark: SparkSession, action):
+    """Run an action whose result is stored or collected: its shuffle files are
+    deleted once it has ended, as nothing reads them again."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        return action()
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def doc_key(text: Column) -> Column:
     """64-bit digest of a text; with ``doc_id`` it identifies a document row
     up to repeated rows, which get equal results (null text: digest of '')."""
