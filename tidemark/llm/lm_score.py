@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hashes, mix, ranges, split_words, stored, text_slices
+from tidemark.llm.common import alone, hashes, mix, ranges, split_words, stored, text_slices
 
 #: Text bytes per chunk (one document at least).
 CHUNK = 6 << 20
@@ -64,8 +64,6 @@ SLICES = 16
 PARTIALS = 64
 #: Bytes of stored chunks that one training task starts from.
 TASK_BYTES = 48 << 20
-#: Setting that deletes shuffle files when the statement ends.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _U = np.uint64
 #: Stand for the end token and for what precedes a text.
@@ -192,10 +190,10 @@ def _spans(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def contexts(words: np.ndarray, types: np.ndarray, ids: np.ndarray, sizes: np.ndarray,
-             buckets: tuple[int, ...]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+             buckets: tuple[int, ...]) -> tuple[list[np.ndarray], np.ndarray]:
     """What precedes every position: the hashes of the word before, the two
-    before and the skipped one, reduced to buckets, and the types of the last
-    three words."""
+    before and the skipped one, reduced to buckets, and the type of the word
+    before."""
     begins = np.cumsum(sizes) - sizes
     since = np.arange(len(ids)) - np.repeat(begins, sizes)
 
@@ -208,14 +206,14 @@ def contexts(words: np.ndarray, types: np.ndarray, ids: np.ndarray, sizes: np.nd
     one, two = back(words, 1, _PAD), back(words, 2, _PAD)
     hashed = (mix(one + _U(1)), mix(one * _U(0x9E3779B97F4A7C15) + mix(two)), mix(two + _U(2)))
     return ([(h & _U(n - 1)).astype(np.uint16) for h, n in zip(hashed, buckets)],
-            [back(types, k, np.uint8(0)).astype(np.uint16) for k in (1, 2, 3)])
+            back(types, 1, np.uint8(0)).astype(np.uint16))
 
 
 def class_features(words, types, ids, sizes, buckets) -> tuple[list[np.ndarray], list[int]]:
     """Feature numbers of every position by kind, for the class factor, and the
     number of features of each kind. The last kind is the constant."""
     hashed, before = contexts(words, types, ids, sizes, buckets)
-    return [*hashed, *before, np.zeros(len(ids), np.uint16)], [*buckets, TYPES, TYPES, TYPES, 1]
+    return [*hashed, before, np.zeros(len(ids), np.uint16)], [*buckets, TYPES, 1]
 
 
 def group_features(words, types, ids, sizes, buckets, class_of) -> tuple[list[np.ndarray], list[int]]:
@@ -338,7 +336,7 @@ def _factors(model: dict, row: dict, ids: np.ndarray, sizes: np.ndarray):
 
 def _kinds(buckets: tuple[int, ...]) -> list[tuple[int, int]]:
     """Features and outcomes of every kind, first of the class factor, then of the group factor."""
-    return [(n, CLASSES) for n in (*buckets, TYPES, TYPES, TYPES, 1)] + [(n, GROUPS) for n in (*buckets, CLASSES)]
+    return [(n, CLASSES) for n in (*buckets, TYPES, 1)] + [(n, GROUPS) for n in (*buckets, CLASSES)]
 
 
 def _split(flat: np.ndarray, buckets: tuple[int, ...]) -> dict:
@@ -347,7 +345,7 @@ def _split(flat: np.ndarray, buckets: tuple[int, ...]) -> dict:
     for n, outcomes in _kinds(buckets):
         tables.append(flat[at:at + n * outcomes].reshape(n, outcomes))
         at += n * outcomes
-    return {"class_weights": tables[:len(buckets) + 4], "group_weights": tables[len(buckets) + 4:]}
+    return {"class_weights": tables[:len(buckets) + 2], "group_weights": tables[len(buckets) + 2:]}
 
 
 def train(table: DataFrame, classes: np.ndarray, buckets: tuple[int, ...], tasks: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -386,7 +384,7 @@ def train(table: DataFrame, classes: np.ndarray, buckets: tuple[int, ...], tasks
         changes = table.select("held", "sizes", "ids", "n_ids", "words", "types").coalesce(tasks) \
             .mapInArrow(run, "slice int, grp int, n long, vector binary")
         partial = _sum_changes(changes, ["slice", "grp"]).withColumn("grp", F.lit(0))
-        total = _alone(spark, _sum_changes(partial, ["slice"]).orderBy("slice").collect)
+        total = alone(spark, _sum_changes(partial, ["slice"]).orderBy("slice").collect)
         if total:
             change = np.concatenate([np.frombuffer(r.vector, np.float32) for r in total])
             weights = weights + change / np.float32(total[0].n)
@@ -394,16 +392,6 @@ def train(table: DataFrame, classes: np.ndarray, buckets: tuple[int, ...], tasks
     return weights
 
 
-def _alone(spark, action):
-    """Run an action, its shuffle files deleted once its result is there."""
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
-        return action()
-    finally:
-        spark.conf.set(CLEANUP, before)
-
-
 def word_counts(table: DataFrame) -> DataFrame:
     """``word, type, n``: training tokens of every word that has any."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -545,7 +533,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                        F.coalesce(held_out, F.lit(False)).alias("held"))
     table = stored(chunks(rows), "chunks")
-    counts = _alone(spark, lambda: stored(word_counts(table), "word-counts"))
+    counts = alone(spark, lambda: stored(word_counts(table), "word-counts"))
     model = learn(table, counts)
-    found = _alone(spark, lambda: stored(chunk_counts(table, counts), "chunk-counts"))
+    found = alone(spark, lambda: stored(chunk_counts(table, counts), "chunk-counts"))
     return score_chunks(table, found, model).withColumn("train_tokens", F.lit(model["n"]).cast("long"))
