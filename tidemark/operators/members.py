@@ -2,8 +2,8 @@
 the day-over-day change spliced at the days that it touches (W1).
 
 A distinct count does not merge, the set behind it does. Per (entity, day) the
-member ids are kept as bitmaps, one row for every 32,768 consecutive ids that
-occur; counts, times and names of an (entity, day) are a row beside them. Both
+member ids are kept as bitmaps, one 64-bit word for every 64 consecutive ids
+that occur, so that a set is no larger than its members as plain rows; counts, times and names of an (entity, day) are a row beside them. Both
 depend on that day's events alone, so a load replaces the days it touches. A
 dimension row then follows from its entity's days: bitmaps are or-ed and
 counted, the rest is summed. Only entities that stand in a touched day, before
@@ -48,17 +48,19 @@ def day_facts(stg: DataFrame, of: Entity) -> DataFrame:
 
 
 def day_members(stg: DataFrame, of: Entity) -> DataFrame:
-    """``key, event_date, bucket, bits``: the members of every (entity, day). A
-    member counts once per map task before it reaches a bitmap."""
-    once = stg.groupBy(of.key, "event_date", of.member).agg(F.count("*").alias("n"))
-    return once.groupBy(of.key, "event_date", F.bitmap_bucket_number(of.member).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(of.member)).alias("bits"))
+    """``key, event_date, bucket, bits``: the members of every (entity, day),
+    member ``64 * bucket + i`` as bit i. Words are fixed-width, so members meet
+    in one hash aggregate, map-side first."""
+    member = F.col(of.member).cast("long")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), member.bitwiseAND(F.lit(63)).cast("int"))
+    return stg.groupBy(of.key, "event_date", F.shiftright(member, 6).alias("bucket")).agg(
+        F.coalesce(F.bit_or(bit), F.lit(0).cast("long")).alias("bits"))
 
 
 def dimension(facts: DataFrame, members: DataFrame, of: Entity) -> DataFrame:
     """The dimension rows of all entities in ``facts`` and ``members``."""
-    sets = members.groupBy(of.key, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
-    sizes = sets.groupBy(of.key).agg(F.sum(F.bitmap_count("bits")).alias(of.members_as))
+    sets = members.groupBy(of.key, "bucket").agg(F.bit_or("bits").alias("bits"))
+    sizes = sets.groupBy(of.key).agg(F.sum(F.bit_count("bits").cast("long")).alias(of.members_as))
     whole = facts.groupBy(of.key).agg(
         F.max(of.name).alias(of.name), F.min("lo").alias("first_seen_at"), F.max("hi").alias("last_seen_at"),
         F.sum("n").cast("bigint").alias("total_events"))
