@@ -10,8 +10,8 @@ Per batch (a refresh or a stream's micro-batch):
 
 1. bronze <- merge of the batch into the current bronze (later load wins,
    order-independent);
-2. the winning rows of the batch's keys are typed and tagged once; their
-   keys are deleted from *both* silver tables (a repaired row leaves
+2. the winning rows of the batch's keys, kept from that merge, are typed and
+   tagged; their keys are deleted from *both* silver tables (a repaired row leaves
    quarantine) and from the fact, and the rows are inserted where they now
    belong; without silver tables they are built from all of bronze;
 3. the activity rollup and daily activity are recomputed for the touched days,
@@ -25,6 +25,8 @@ nothing else.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import EPOCH_FLOOR
 from tidemark.operators import gold, silver
-from tidemark.operators.merge import merge_bronze, upsert
+from tidemark.operators.merge import merge_parts, upsert
 from tidemark.schemas import BRONZE_COLUMNS, FACT_COLUMNS, QUARANTINE_COLUMNS, STG_COLUMNS
 from tidemark.sources.run_ledger import recorded
 from tidemark.sources.tables import Conflict, Entry, TableStore, day_values, days_with_ids
@@ -140,35 +142,53 @@ def _apply(store: TableStore, batch: DataFrame, current: dict[str, Entry],
     days = touched_days(store, current, batch, keys)
     staged: dict[str, Entry] = {}
     old = store.read("bronze", current, days=days)
-    staged["bronze"] = store.stage_parts("bronze", merge_bronze(old, batch), DAY["bronze"](), days,
-                                         current, "event_id")
-    if "stg" not in current:
-        days = None  # no silver yet: build it from all of bronze
-
-    # A row's day is the UTC date of its event time in every event-grain table,
-    # so the days that bronze touched cover every day they can change on. The
-    # winners of the batch's keys and all rows without a key are typed and
-    # tagged once.
-    rows = store.read("bronze", staged, days=days)
-    if days is not None:
-        rows = rows.where("event_id is null").unionByName(rows.join(keys, "event_id", "left_semi")
-                                                          .select(*rows.columns))
-    tagged = silver.base_events(rows).persist()  # batch-sized, feeds three tables
+    untouched, winners = merge_parts(old, batch, keys=keys)
+    winners.persist()  # batch-sized, feeds four tables
     try:
-        clean = tagged.where(F.col("dq_reason").isNull()).select(*STG_COLUMNS)
-        rejected = tagged.where(F.col("dq_reason").isNotNull()).select(*QUARANTINE_COLUMNS)
-        # Keys leave both silver tables, so a repaired row leaves quarantine.
-        for table, new in (("stg", clean), ("quarantine", rejected), ("fact", gold.fact_events(clean))):
-            if days is not None:
-                new = upsert(store.read(table, current, days=days).select(*new.columns), new,
-                             delete_keys=keys, replace_null_keys=True)
-            staged[table] = store.stage_parts(table, new, DAY[table](), days, current)
+        staged["bronze"] = store.stage_parts(
+            "bronze", winners if untouched is None else untouched.unionByName(winners),
+            DAY["bronze"](), days, current, "event_id")
+        rows = winners
+        if "stg" not in current:  # no silver yet: build it from all of bronze
+            days, rows = None, store.read("bronze", staged)
+        _stage_silver(store, current, staged, days, rows, keys)
     finally:
-        tagged.unpersist()
+        winners.unpersist()
     _stage_gold(store, current, staged, days, name_rule)
     return staged
 
 
+def _together(jobs: dict[str, Callable[[], Entry]]) -> dict[str, Entry]:
+    """Stage tables that do not depend on each other at the same time, so that
+    one's last tasks and its commit leave no cores idle."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = {table: pool.submit(job) for table, job in jobs.items()}
+    return {table: r.result() for table, r in running.items()}
+
+
+def _stage_silver(store: TableStore, current: dict[str, Entry], staged: dict[str, Entry],
+                  days: set[str] | None, rows: DataFrame, keys: DataFrame) -> None:
+    """Silver tables and the fact after a bronze merge.
+
+    A row's day is the UTC date of its event time in every event-grain table,
+    so the days that bronze touched cover every day they can change on.
+    ``rows`` are the winners of the batch's keys and all rows without a key.
+    """
+    tagged = silver.base_events(rows)
+    clean = tagged.where(F.col("dq_reason").isNull()).select(*STG_COLUMNS)
+    rejected = tagged.where(F.col("dq_reason").isNotNull()).select(*QUARANTINE_COLUMNS)
+
+    def stage(table: str, new: DataFrame) -> Entry:
+        # Keys leave both silver tables, so a repaired row leaves quarantine.
+        if days is not None:
+            new = upsert(store.read(table, current, days=days).select(*new.columns), new,
+                         delete_keys=keys, replace_null_keys=True)
+        return store.stage_parts(table, new, DAY[table](), days, current)
+
+    staged.update(_together({"stg": lambda: stage("stg", clean), "quarantine": lambda: stage("quarantine", rejected),
+                             "fact": lambda: stage("fact", gold.fact_events(clean))}))
+
+
 def _stage_gold(store: TableStore, current: dict[str, Entry], staged: dict[str, Entry],
                 days: set[str] | None, name_rule: str) -> None:
     """Gold after a silver upsert.
@@ -184,15 +204,20 @@ def _stage_gold(store: TableStore, current: dict[str, Entry], staged: dict[str,
     staged["rollup"] = store.stage_parts(
         "rollup", gold.activity_rollup(store.read("stg", staged, days=days)), day, days, current)
     stg, rollup = store.read("stg", staged), store.read("rollup", staged)
-    if name_rule == "max" and "daily" in current and days is not None:
-        daily = gold.daily_from_rollup(store.read("rollup", staged, days=days))
-        staged["daily"] = store.stage_parts("daily", daily, day, days, current)
-    else:
-        staged["daily"] = store.stage_parts("daily", gold.repo_daily_activity(stg, name_rule, rollup),
-                                            day, None, current)
-    staged["momentum"] = store.stage("momentum", gold.repo_momentum(store.read("daily", staged)))
-    staged["dim_repo"] = store.stage("dim_repo", gold.dim_repo(stg, name_rule, rollup))
-    staged["dim_actor"] = store.stage("dim_actor", gold.dim_actor(stg, name_rule, rollup))
+
+    def stage_daily() -> Entry:
+        if name_rule == "max" and "daily" in current and days is not None:
+            daily = gold.daily_from_rollup(store.read("rollup", staged, days=days))
+            return store.stage_parts("daily", daily, day, days, current)
+        return store.stage_parts("daily", gold.repo_daily_activity(stg, name_rule, rollup), day, None, current)
+
+    def stage_momentum() -> Entry:
+        staged["daily"] = stage_daily()
+        return store.stage("momentum", gold.repo_momentum(store.read("daily", staged)))
+
+    staged.update(_together({"momentum": stage_momentum,
+                             "dim_repo": lambda: store.stage("dim_repo", gold.dim_repo(stg, name_rule, rollup)),
+                             "dim_actor": lambda: store.stage("dim_actor", gold.dim_actor(stg, name_rule, rollup))}))
 
 
 def read_model(store: TableStore, name: str, columns: list[str] | None = None) -> DataFrame:
