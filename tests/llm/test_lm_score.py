@@ -2,6 +2,7 @@ import math
 import random
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -160,6 +161,35 @@ def test_gradient_steps_raise_the_likelihood():
     assert all(a < b for a, b in zip(likelihood, likelihood[1:]))
 
 
+def test_sums_of_a_feature_equal_reduceat_to_the_last_bit():
+    rng = np.random.default_rng(7)
+    for n, kinds in ((1, 1), (5, 9), (8, 1), (9, 1), (3000, 2000), (3000, 300), (3000, 3)):
+        f, g = rng.integers(0, kinds, n).astype(np.uint16), rng.standard_normal((n, 32)).astype(np.float32)
+        order = np.argsort(f, kind="stable")
+        row, start = np.unique(f[order], return_index=True)
+        wanted = np.add.reduceat(g[order], start, axis=0)
+        got_row, got = L.feature_sums(g, f)
+        back = np.argsort(got_row)
+        assert np.array_equal(got_row[back], row) and np.array_equal(got[back], wanted), (n, kinds)
+
+
+def test_reduceat_gets_long_runs_only(monkeypatch):
+    runs = []
+
+    class Add:
+        @staticmethod
+        def reduceat(values, start, **more):
+            runs.append((len(start), len(values)))
+            return np.add.reduceat(values, start, **more)
+
+    monkeypatch.setattr(L, "np", SimpleNamespace(**{**vars(np), "add": Add}))
+    rng = np.random.default_rng(5)
+    features = [np.r_[rng.integers(0, 4000, 5000), np.zeros(100)].astype(np.uint16)]
+    L.gradient_steps([np.zeros((4000, 4), np.float32)], [np.full(4000, L.FIRST_SQUARES, np.float32)],
+                     features, rng.integers(0, 4, 5100))
+    assert runs and all(n * 8 < size for n, size in runs)
+
+
 def test_buckets_grow_with_the_corpus():
     sizes = [L.buckets_for(n) for n in (0, 1 << 20, 1 << 25, 1 << 28, 1 << 31, 1 << 60)]
     assert sizes[0] == sizes[1] == L.BUCKETS and sizes[2] == tuple(2 * b for b in L.BUCKETS)

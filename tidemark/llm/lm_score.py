@@ -52,6 +52,9 @@ SMALL_CORPUS, GROWTH, MOST_BUCKETS = 1 << 22, 8, 1 << 16
 #: Rounds of training; each takes another share of the texts.
 ROUNDS = 3
 BATCH = 8192
+#: Rows of a feature that are added up without ``reduceat``. Up to so many both
+#: add in one order, so the sums are equal to the last bit.
+SHORT = 8
 RATE = 0.3
 #: Where the sum of squared gradients starts: rare features move little.
 FIRST_SQUARES = 10.0
@@ -209,22 +212,19 @@ def contexts(words: np.ndarray, types: np.ndarray, ids: np.ndarray, sizes: np.nd
             back(types, 1, np.uint8(0)).astype(np.uint16))
 
 
-def class_features(words, types, ids, sizes, buckets) -> tuple[list[np.ndarray], list[int]]:
-    """Feature numbers of every position by kind, for the class factor, and the
-    number of features of each kind. The last kind is the constant."""
-    hashed, before = contexts(words, types, ids, sizes, buckets)
-    return [*hashed, before, np.zeros(len(ids), np.uint16)], [*buckets, TYPES, 1]
+def class_features(hashed: list[np.ndarray], before: np.ndarray) -> list[np.ndarray]:
+    """Feature numbers of every position by kind, for the class factor, from
+    its ``contexts``. The last kind is the constant."""
+    return [*hashed, before, np.zeros(len(before), np.uint16)]
 
 
-def group_features(words, types, ids, sizes, buckets, class_of) -> tuple[list[np.ndarray], list[int]]:
+def group_features(hashed: list[np.ndarray], mine: np.ndarray, buckets: tuple[int, ...]) -> list[np.ndarray]:
     """The same for the group factor: every n-gram and skip together with the
-    class that was drawn, and the class alone."""
-    hashed, _ = contexts(words, types, ids, sizes, buckets)
-    mine = class_of[types[ids]].astype(np.uint16)
+    class that was drawn (``mine``), and the class alone."""
     # Multiplying by an odd number permutes the buckets in another way for each class.
     mixed = [(h * (mine * np.uint16(0x9E3B) | np.uint16(1)) + mine * np.uint16(0x6D2B)) & np.uint16(n - 1)
              for h, n in zip(hashed, buckets)]
-    return [*mixed, mine], [*buckets, CLASSES]
+    return [*mixed, mine]
 
 
 def scores(weights: list[np.ndarray], features: list[np.ndarray]) -> np.ndarray:
@@ -245,6 +245,38 @@ def probabilities(weights: list[np.ndarray], features: list[np.ndarray]) -> np.n
     return z
 
 
+def feature_sums(g: np.ndarray, f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct features of a batch and, for each, the sum of its rows of ``g``.
+
+    Of many short runs of rows ``reduceat`` makes a call per run and column. So
+    runs go by falling length, and runs of up to ``SHORT`` rows are added up row
+    by row for all of them at once; the sums are those of ``reduceat``.
+    """
+    order = np.argsort(f, kind="stable")  # a radix sort: features are 16-bit numbers
+    f = f[order]
+    start = np.flatnonzero(np.r_[True, f[1:] != f[:-1]])
+    size = np.diff(start, append=len(f))
+    by_size = np.argsort(-size.astype(np.int16), kind="stable")
+    start, size = start[by_size], size[by_size]
+    total = np.empty((len(start), g.shape[1]), g.dtype)
+    # Runs with more than k rows are the first longer[k].
+    longer = len(size) - np.searchsorted(size[::-1], np.arange(SHORT + 1), side="right")
+    long = int(longer[SHORT])
+    if long:
+        begin = np.cumsum(size[:long]) - size[:long]
+        rows = np.take(g, order[ranges(start[:long], size[:long])], axis=0, mode="clip")
+        np.add.reduceat(rows, begin, axis=0, out=total[:long])
+    np.take(g, order[start[long:]], axis=0, mode="clip", out=total[long:])
+    if longer[1] > long:
+        rest = np.take(g, order[start[long:longer[1]] + 1], axis=0, mode="clip")
+        for k in range(2, SHORT):
+            if longer[k] <= long:
+                break
+            rest[:longer[k] - long] += np.take(g, order[start[long:longer[k]] + k], axis=0, mode="clip")
+        total[long:longer[1]] += rest
+    return f[start], total
+
+
 def gradient_steps(weights: list[np.ndarray], squares: list[np.ndarray], features: list[np.ndarray],
                    target: np.ndarray) -> None:
     """Adagrad steps over batches of positions, in place."""
@@ -253,18 +285,17 @@ def gradient_steps(weights: list[np.ndarray], squares: list[np.ndarray], feature
         part, y = [f[i:i + BATCH] for f in features], target[i:i + BATCH]
         g = probabilities(weights, part)
         g[np.arange(len(y)), y] -= 1
-        held = np.empty_like(g)
         for w, s, f in zip(weights, squares, part):
             if len(w) == 1:
                 row, total = np.zeros(1, np.int64), g.sum(axis=0, keepdims=True)
             else:
-                order = np.argsort(f, kind="stable")  # a radix sort: features are 16-bit numbers
-                f = f[order]
-                start = np.flatnonzero(np.r_[True, f[1:] != f[:-1]])
-                row, total = f[start], np.add.reduceat(np.take(g, order, axis=0, mode="clip", out=held), start, axis=0)
-            s[row] += np.einsum("ij,ij->i", total, total) / np.float32(w.shape[1])
-            total *= (np.float32(RATE) / np.sqrt(s[row]))[:, None]
-            w[row] = np.clip(w[row] - total, -bound, bound)
+                row, total = feature_sums(g, f)
+            sums = s[row] + np.einsum("ij,ij->i", total, total) / np.float32(w.shape[1])
+            s[row] = sums
+            total *= (np.float32(RATE) / np.sqrt(sums))[:, None]
+            now = np.take(w, row, axis=0, mode="clip")
+            now -= total
+            w[row] = np.clip(now, -bound, bound, out=now)
 
 
 def word_groups(words: np.ndarray) -> np.ndarray:
@@ -326,12 +357,13 @@ def _factors(model: dict, row: dict, ids: np.ndarray, sizes: np.ndarray):
     """For both factors: weights, features and outcomes of the positions ``ids``
     of a chunk, and the positions meant (the end token has no group)."""
     words, types = _array(row, "words", np.uint64), _array(row, "types", np.uint8)
-    class_of, buckets = model["classes"], model["buckets"]
-    features, _ = class_features(words, types, ids, sizes, buckets)
-    yield model["class_weights"], features, class_of[types[ids]], slice(None)
-    features, _ = group_features(words, types, ids, sizes, buckets, class_of)
-    drawn = np.flatnonzero(types[ids] != 0)
-    yield model["group_weights"], [f[drawn] for f in features], word_groups(words)[ids[drawn]], drawn
+    hashed, before = contexts(words, types, ids, sizes, model["buckets"])
+    kinds = types[ids]
+    outcome = model["classes"][kinds]
+    yield model["class_weights"], class_features(hashed, before), outcome, slice(None)
+    drawn = np.flatnonzero(kinds != 0)
+    features = group_features([h[drawn] for h in hashed], outcome[drawn].astype(np.uint16), model["buckets"])
+    yield model["group_weights"], features, word_groups(words)[ids[drawn]], drawn
 
 
 def _kinds(buckets: tuple[int, ...]) -> list[tuple[int, int]]:
