@@ -190,6 +190,26 @@ def test_reduceat_gets_long_runs_only(monkeypatch):
     assert runs and all(n * 8 < size for n, size in runs)
 
 
+def test_chunks_and_slices_reach_python_one_at_a_time(spark, monkeypatch):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    seen, alone = [], L.alone
+
+    def noted(session, action):
+        seen.append(session.conf.get(name))
+        return alone(session, action)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    before = spark.conf.get(name)
+    monkeypatch.setattr(L, "alone", noted)
+    assert L.score(doc_frame(spark, [(i, f"a b{i} c") for i in range(20)]), fold()).count() == 20
+    assert seen == ["1"] * (L.ROUNDS + 2) and spark.conf.get(name) == before
+    few = spark.range(0, 5, 1, 1).mapInArrow(sizes, "n long")
+    assert [r.n for r in L._one_by_one(spark, few.collect)] == [1] * 5
+
+
 def test_buckets_grow_with_the_corpus():
     sizes = [L.buckets_for(n) for n in (0, 1 << 20, 1 << 25, 1 << 28, 1 << 31, 1 << 60)]
     assert sizes[0] == sizes[1] == L.BUCKETS and sizes[2] == tuple(2 * b for b in L.BUCKETS)

@@ -185,6 +185,19 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             pa.default_memory_pool().release_unused()
 
 
+def _one_by_one(spark, action):
+    """Run an action on chunks or slices of weights: Python gets them one at a
+    time. A row holds megabytes, and a batch of all that a task reads would
+    stand in the JVM and in Python while the task works."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1")
+    try:
+        return action()
+    finally:
+        spark.conf.set(name, before)
+
+
 def _spans(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
     """Ranges of documents with about ``SPAN`` tokens (one document at least)."""
     group = (np.cumsum(sizes) - sizes) // SPAN
@@ -416,7 +429,7 @@ def train(table: DataFrame, classes: np.ndarray, buckets: tuple[int, ...], tasks
         changes = table.select("held", "sizes", "ids", "n_ids", "words", "types").coalesce(tasks) \
             .mapInArrow(run, "slice int, grp int, n long, vector binary")
         partial = _sum_changes(changes, ["slice", "grp"]).withColumn("grp", F.lit(0))
-        total = alone(spark, _sum_changes(partial, ["slice"]).orderBy("slice").collect)
+        total = _one_by_one(spark, lambda: alone(spark, _sum_changes(partial, ["slice"]).orderBy("slice").collect))
         if total:
             change = np.concatenate([np.frombuffer(r.vector, np.float32) for r in total])
             weights = weights + change / np.float32(total[0].n)
@@ -488,8 +501,9 @@ def _cells(table: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], ["cell", "n"])
 
     out = np.zeros(TYPES * TYPES, np.int64)
-    for r in table.select("cells", "cell_n").mapInArrow(run, "cell int, n long") \
-            .groupBy("cell").agg(F.sum("n").alias("n")).collect():
+    summed = table.select("cells", "cell_n").mapInArrow(run, "cell int, n long") \
+        .groupBy("cell").agg(F.sum("n").alias("n"))
+    for r in _one_by_one(table.sparkSession, summed.collect):
         out[r.cell] = r.n
     return out.reshape(TYPES, TYPES)
 
@@ -565,7 +579,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                        F.coalesce(held_out, F.lit(False)).alias("held"))
     table = stored(chunks(rows), "chunks")
-    counts = alone(spark, lambda: stored(word_counts(table), "word-counts"))
+    counts = _one_by_one(spark, lambda: alone(spark, lambda: stored(word_counts(table), "word-counts")))
     model = learn(table, counts)
-    found = alone(spark, lambda: stored(chunk_counts(table, counts), "chunk-counts"))
+    found = _one_by_one(spark, lambda: alone(spark, lambda: stored(chunk_counts(table, counts), "chunk-counts")))
     return score_chunks(table, found, model).withColumn("train_tokens", F.lit(model["n"]).cast("long"))
