@@ -1,6 +1,9 @@
 import math
 import random
+import tracemalloc
+from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -125,3 +128,30 @@ def test_without_one_kind_in_a_half_the_seeds_decide(spark):
     counted = spark.createDataFrame([("zorg", 5, 0, 0, 0)], "feature string, t0 long, t1 long, c0 long, c1 long")
     first, second, whole = X._judge(counted, [[50, 50], [10, 0]], 2)
     assert first == X._seed_arcs() and whole["zorg"][0] == X.INSULT
+
+
+def test_counts_of_candidates_equal_a_plain_version_in_little_memory():
+    rng = random.Random(8)
+    words = [f"{a}{b}{i:x}{c}" for i in range(6000) for a in "bd" for b in ("ö", "u") for c in ("", ".", "*", "ing")]
+    texts = [" ".join(rng.choices(words, k=700)) for _ in range(300)]
+    texts += [None, "", " a  ab abc *abc* abcd* ABC İstanbul ß \x1c\x1cx a*b*c ***", "abc abc\tabcd"]
+    kinds = np.array([rng.randrange(4) for _ in texts])
+    wanted = Counter()
+    for kind, text in zip(kinds.tolist(), texts):
+        forms = {X.normal_form(w) for w in (text or "").encode().split()}
+        wanted.update((f, kind) for f in {a for f in forms for a in X.features_of(f)})
+    column = pa.array(texts, pa.string())
+    tracemalloc.start()
+    arcs, of_kind, n = X.document_counts(column, kinds)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(arcs) == len(wanted) and dict(zip(zip(arcs.to_pylist(), of_kind.tolist()), n.tolist())) == wanted
+    assert most < 20 * column.nbytes  # a counter of (arc, kind) takes about 40 times as much
+
+
+def test_the_lexicon_remembers_a_bounded_number_of_words(monkeypatch):
+    monkeypatch.setattr(X.Lexicon, "MOST_SEEN", 10)
+    lexicon = X.Lexicon({"idiot": (X.INSULT, 2.0)})
+    for i in range(100):
+        assert lexicon(b"idiot!") == (X.INSULT, 2.0) and lexicon(b"w%d" % i)[0] == X.OTHER
+    assert len(lexicon.seen) <= 12

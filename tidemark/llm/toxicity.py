@@ -15,16 +15,16 @@ sample's size is a parameter. Every document is scored over its whole text.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import split_words, stored, text_bytes, text_slices
+from tidemark.llm.common import split_words, stored, text_slices
 
 THRESHOLD = 0.3
 #: Labelled documents that the grammar is learned from, at most.
@@ -110,9 +110,42 @@ def features_of(word: str) -> list[str]:
     return [word] + [word[:n] + "*" for n in PREFIXES if len(word) >= n]
 
 
+def document_counts(texts: pa.Array, kinds: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Candidate arcs, kinds, and how many texts of the kind have the arc.
+
+    The arcs are those of ``features_of``, held as columns: a text has far more
+    of them than words.
+    """
+    codes, distinct, sizes = split_words(texts)
+    forms = pa.array([normal_form(w) for w in distinct.cast(pa.binary()).to_pylist()], pa.string())
+    length = pc.utf8_length(forms).to_numpy(zero_copy_only=False)
+    text_of = np.repeat(np.arange(len(sizes)), sizes)
+    text_of, word_of = np.divmod(np.unique(text_of * max(1, len(distinct)) + codes), max(1, len(distinct)))
+    arcs, of_kind, counts = [], [], []
+    for n in (None, *PREFIXES):  # arcs of different lengths are different
+        has = np.flatnonzero(length >= (n or 3))
+        names = forms.take(pa.array(has))
+        if n:
+            names = pc.binary_join_element_wise(pc.utf8_slice_codeunits(names, 0, n), "*", "")
+        coded = names.dictionary_encode()
+        arc = np.full(len(forms), -1, np.int64)
+        arc[has] = coded.indices.to_numpy(zero_copy_only=False)
+        mine = arc[word_of]
+        pairs = np.unique(text_of[mine >= 0] * max(1, len(coded.dictionary)) + mine[mine >= 0])
+        text, arc = np.divmod(pairs, max(1, len(coded.dictionary)))
+        found, count = np.unique(arc * 4 + kinds[text], return_counts=True)
+        arcs.append(coded.dictionary.take(pa.array(found // 4)))
+        of_kind.append(found % 4)
+        counts.append(count)
+    return pa.concat_arrays(arcs), np.concatenate(of_kind), np.concatenate(counts)
+
+
 class Lexicon:
     """The lexical transducer; remembers the distinct words it has seen."""
 
+    #: Words remembered at a time.
+    MOST_SEEN = 250_000
+
     def __init__(self, arcs: dict[str, tuple[int, float]]):
         self.arcs = arcs
         self.lengths = sorted({len(a) - 1 for a in arcs if a.endswith("*")})
@@ -129,7 +162,7 @@ class Lexicon:
                         c, w = self.arcs.get(form[:n] + "*", (OTHER, 0.0))
                         if c != OTHER and w > hit[1]:
                             hit = (c, w)
-            if len(self.seen) > 2_000_000:
+            if len(self.seen) > self.MOST_SEEN:
                 self.seen.clear()
             self.seen[word] = hit
         return hit
@@ -266,25 +299,12 @@ def _count_features(sample: DataFrame) -> DataFrame:
     """``feature, t0, t1, c0, c1``: toxic and clean documents of either half of
     the sample that have a candidate, if ``LEAST_DOCS`` toxic ones do."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forms: dict[bytes, list[str]] = {}
         for batch in batches:
             for part in text_slices(batch):
-                counts: Counter = Counter()
-                kinds = (2 * part.column("toxic").to_numpy() + part.column("half").to_numpy()).tolist()
-                for kind, text in zip(kinds, text_bytes(part.column("text"))):
-                    have = set()
-                    for w in set(text.split()):
-                        fs = forms.get(w)
-                        if fs is None:
-                            fs = features_of(normal_form(w))
-                            if len(forms) < 500_000:
-                                forms[w] = fs
-                        have.update(fs)
-                    counts.update((f, kind) for f in have)
-                keys = list(counts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
-                     pa.array(list(counts.values()), pa.int64())], ["feature", "kind", "n"])
+                kinds = 2 * part.column("toxic").to_numpy() + part.column("half").to_numpy()
+                arcs, kind, n = document_counts(part.column("text"), kinds)
+                yield pa.RecordBatch.from_arrays([arcs, pa.array(kind, pa.int32()), pa.array(n, pa.int64())],
+                                                 ["feature", "kind", "n"])
 
     rows = sample.select("toxic", "half", "text").mapInArrow(run, "feature string, kind int, n long")
     return rows.groupBy("feature").agg(*[
