@@ -1,12 +1,15 @@
 import random
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from tidemark.llm import common
 from tidemark.llm import packing as P
 from tidemark.llm.registry import tokenizer_path
 
@@ -99,3 +102,12 @@ def test_nnls_finds_the_least_squares_solution():
 def test_unknown_tokenizer_fails(spark):
     with pytest.raises(OSError):
         P.pack_documents(doc_frame(spark, [(1, "a")]), "/nowhere.json")
+
+
+def test_slices_give_arrow_memory_back(monkeypatch):
+    released = []
+    monkeypatch.setattr(common.pa, "default_memory_pool", lambda: SimpleNamespace(release_unused=lambda: released.append(1)))
+    batch = pa.RecordBatch.from_arrays([pa.array(["one", None, "three", "four"])], ["text"])
+    slices = list(common.text_slices(batch, budget=4))
+    assert [x for s in slices for x in s.column("text").to_pylist()] == ["one", None, "three", "four"]
+    assert len(released) == len(slices) > 1

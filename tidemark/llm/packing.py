@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import CHUNK_BYTES, ranges, split_words, stored, text_slices
+from tidemark.llm.common import ranges, split_words, stored, text_slices
 
 CAPACITY = 4096
 END_ID = 1
@@ -134,7 +134,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
         encoder = None
         for batch in batches:
             encoder = encoder or WordEncoder(tokenizer.value)
-            for part in text_slices(batch, budget=2 * CHUNK_BYTES):
+            for part in text_slices(batch):
                 ids, count = encoder.ids(part.column("text"))
                 total = count + 1
                 ends = np.cumsum(total)
